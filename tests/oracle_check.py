@@ -50,6 +50,19 @@ def _rows(columns, rows):
     return sorted(out, key=repr), [columns[i] for i in order]
 
 
+_SPARK_TYPES = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN",
+    "smallint": "SMALLINT", "float": "FLOAT", "tinyint": "TINYINT",
+}
+
+
+def _spark_type(t: str) -> str:
+    if t.startswith("decimal"):
+        return t.upper()
+    return _SPARK_TYPES.get(t, t.upper())
+
+
 def duck_connection(sf_dir: str):
     import duckdb
 
@@ -79,6 +92,11 @@ def compare(spark, name: str, sf_dir: str, con=None) -> tuple[bool, str]:
     d_sorted, d_cols = _rows(d_cols, d_rows)
     if s_cols != d_cols:
         return False, f"{name}: columns differ spark={s_cols} oracle={d_cols}"
+    s_types = {f.name: _spark_type(f.dataType.simpleString()) for f in sdf.schema.fields}
+    d_types = {d[0]: str(d[1]) for d in cur.description}
+    bad_types = {c: (s_types[c], d_types[c]) for c in s_types if c in d_types and s_types[c] != d_types[c]}
+    if bad_types:
+        return False, f"{name}: column types differ (spark, oracle): {bad_types}"
     if len(s_sorted) != len(d_sorted):
         return False, f"{name}: row count spark={len(s_sorted)} oracle={len(d_sorted)}"
     for a, b in zip(s_sorted, d_sorted):
