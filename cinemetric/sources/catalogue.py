@@ -207,13 +207,71 @@ class Catalogue:
 
     @cached_property
     def movie_documents(self) -> DataFrame:
-        """Movies with their genres embedded as ``array<struct<id,name>>`` (document model)
-        and the same list as the loader's single-quoted literal text (``genres_literal``)."""
-        g = self.movie_genres.join(self.genres, "genre_id").select(
-            "movie_id", F.struct(F.col("genre_id").alias("id"), F.col("genre_name").alias("name")).alias("g")
-        )
-        lists = g.groupBy("movie_id").agg(F.array_sort(F.collect_list("g")).alias("genres"))
-        docs = self.movies.join(lists, "movie_id", "left")
-        return docs.withColumn(
-            "genres_literal", F.regexp_replace(F.to_json(F.coalesce("genres", F.array())), '"', "'")
+        """Movies in the document model: ``id``, scalars, ``release_date`` as ISO text, and
+        ``genres`` / ``production_companies`` as ``array<struct<id,name>>`` (sorted by id),
+        plus the loader's single-quoted literal text of the genre list (``genres_literal``)."""
+        def embedded(bridge: DataFrame, dim: DataFrame, key: str, name: str, alias: str) -> DataFrame:
+            items = bridge.join(dim, key).select(
+                "movie_id", F.struct(F.col(key).cast("long").alias("id"), F.col(name).alias("name")).alias("x")
+            )
+            return items.groupBy("movie_id").agg(F.array_sort(F.collect_list("x")).alias(alias))
+
+        g = embedded(self.movie_genres, self.genres, "genre_id", "genre_name", "genres")
+        c = embedded(self.movie_production_companies, self.production_companies, "company_id", "name",
+                     "production_companies")
+        docs = self.movies.join(g, "movie_id", "left").join(c, "movie_id", "left")
+        return docs.select(
+            F.col("movie_id").alias("id"),
+            "title",
+            "adult",
+            "overview",
+            F.col("language").alias("original_language"),
+            F.col("popularity").cast("double").alias("popularity"),
+            F.date_format("released_date", "yyyy-MM-dd").alias("release_date"),
+            F.col("runtime").cast("double").alias("runtime"),
+            "genres",
+            "production_companies",
+            F.regexp_replace(F.to_json(F.coalesce("genres", F.array())), '"', "'").alias("genres_literal"),
+        )
+
+    @cached_property
+    def credit_documents(self) -> DataFrame:
+        """Credits documents: ``id`` (movie) with ``cast`` and ``crew`` arrays of structs in
+        credit order (cast by order, crew by person then job)."""
+        people = self.people.select("person_id", "name", "gender")
+        cast = self.movie_cast.join(people, "person_id").select(
+            "movie_id",
+            F.struct(
+                F.coalesce("cast_order", F.lit(99)).alias("_k"),
+                F.col("person_id").cast("long").alias("id"), "name", "gender", "character",
+                F.col("cast_order").alias("order"),
+                F.concat(F.lit("c"), F.col("movie_id").cast("string"), F.lit("-"), F.col("person_id").cast("string")).alias("credit_id"),
+            ).alias("x"),
+        )
+        crew = self.movie_crew.join(people, "person_id").select(
+            "movie_id",
+            F.struct(
+                F.col("person_id").cast("long").alias("id"), "job", "name", "gender", "department",
+                F.concat(F.lit("w"), F.col("movie_id").cast("string"), F.lit("-"), F.col("person_id").cast("string"),
+                         F.lit("-"), F.col("job")).alias("credit_id"),
+            ).alias("x"),
+        )
+        drop_key = lambda arr: F.transform(arr, lambda x: x.dropFields("_k"))
+        cast_docs = cast.groupBy("movie_id").agg(drop_key(F.array_sort(F.collect_list("x"))).alias("cast"))
+        crew_docs = crew.groupBy("movie_id").agg(F.array_sort(F.collect_list("x")).alias("crew"))
+        return cast_docs.join(crew_docs, "movie_id", "full").select(
+            F.col("movie_id").alias("id"), F.coalesce("cast", F.array()).alias("cast"),
+            F.coalesce("crew", F.array()).alias("crew"),
+        )
+
+    @cached_property
+    def rating_documents(self) -> DataFrame:
+        """Ratings documents: ``userId, movieId, rating (double), timestamp (epoch seconds)``."""
+        return self.ratings.select(
+            F.col("user_id").alias("userId"),
+            F.col("movie_id").alias("movieId"),
+            F.col("rating").cast("double").alias("rating"),
+            F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("created_at")).alias(
+                "timestamp"
+            ),
         )
