@@ -73,13 +73,13 @@ def two_format_date(c) -> Column:
 
 def tolerant_int(c) -> Column:
     """C-05: ``int(float(x))`` — truncates, invalid → NULL."""
-    d = F.try_cast(F.trim(_c(c).cast("string")), T.DoubleType())
-    return F.when(F.isnan(d), F.lit(None)).otherwise(F.try_cast(d, T.LongType()))
+    d = (F.trim(_c(c).cast("string"))).try_cast(T.DoubleType())
+    return F.when(F.isnan(d), F.lit(None)).otherwise((d).try_cast(T.LongType()))
 
 
 def tolerant_float(c) -> Column:
     """C-06: ``float(x)``, invalid or NaN → NULL."""
-    d = F.try_cast(F.trim(_c(c).cast("string")), T.DoubleType())
+    d = (F.trim(_c(c).cast("string"))).try_cast(T.DoubleType())
     return F.when(F.isnan(d), F.lit(None)).otherwise(d)
 
 
@@ -107,20 +107,20 @@ def is_missing(c) -> Column:
 
 def epoch_to_timestamp(c) -> Column:
     """C-10: epoch seconds (float text) → timestamp (UTC wall clock), invalid → NULL."""
-    d = F.try_cast(_c(c).cast("string"), T.DoubleType())
+    d = (_c(c).cast("string")).try_cast(T.DoubleType())
     return F.when(F.isnan(d), F.lit(None)).otherwise(
-        F.timestamp_micros(F.try_cast(d * 1_000_000, T.LongType())).cast("timestamp_ntz")
+        F.timestamp_micros((d * 1_000_000).try_cast(T.LongType())).cast("timestamp_ntz")
     )
 
 
 def to_popularity(c) -> Column:
     """C-11: DECIMAL(10,2) as the relational column stores it."""
-    return F.try_cast(_c(c), T.DecimalType(10, 2))
+    return (_c(c)).try_cast(T.DecimalType(10, 2))
 
 
 def to_rating(c) -> Column:
     """C-11: DECIMAL(3,1)."""
-    return F.try_cast(_c(c), T.DecimalType(3, 1))
+    return (_c(c)).try_cast(T.DecimalType(3, 1))
 
 
 def zero_as_null(c) -> Column:
@@ -145,7 +145,7 @@ GENDER_LABELS = ("Unknown", "Female", "Male", "Non-binary")
 
 def gender_code(c) -> Column:
     """C-15: NULL or unknown code → 0."""
-    g = F.try_cast(_c(c), T.IntegerType())
+    g = (_c(c)).try_cast(T.IntegerType())
     return F.when(g.isin(0, 1, 2, 3), g).otherwise(F.lit(0))
 
 
@@ -254,7 +254,7 @@ def not_blank(c) -> Column:
 
 def numeric_id(c) -> Column:
     """F-13: value usable as a number."""
-    return F.try_cast(_c(c).cast("string"), T.LongType()).isNotNull()
+    return (_c(c).cast("string")).try_cast(T.LongType()).isNotNull()
 
 
 def contains_any_field(cols: Sequence, text: str) -> Column:
