@@ -21,6 +21,29 @@ def _movie_id(c: str):
     return (F.col(c) + 1).cast("int")
 
 
+def media_events_from(raw: DataFrame) -> DataFrame:
+    """The media event shape (type names of the funnel, nullable user/movie, session =
+    user and day) from the raw event feed.  Works on batch and streaming DataFrames."""
+    ev = raw.select("event_id", "ts", "event_type", "user_id", "props")
+    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
+    renamed = (
+        F.when(F.col("event_type") == "view", "page_view")
+        .when(F.col("event_type") == "signup", "search")
+        .when(F.col("event_type") == "error", "add_to_cart")
+        .otherwise(F.col("event_type"))
+    )
+    return ev.select(
+        "event_id",
+        "ts",
+        renamed.alias("type"),
+        F.when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("user_id")).alias("user_id"),
+        F.when(k % 10 == 0, F.lit(None)).otherwise(k + 1).alias("movie_id"),
+        F.concat(F.col("user_id").cast("string"), F.lit(":"), F.col("ts").cast("date").cast("string")).alias(
+            "session_id"
+        ),
+    )
+
+
 class Catalogue:
     """Catalogue views over one data folder.  Views are cached per instance (the Python
     objects, not the data), so one query that uses a view twice lets Spark reuse the scan."""
@@ -178,24 +201,7 @@ class Catalogue:
 
     @cached_property
     def media_events(self) -> DataFrame:
-        ev = self.tables.events.select("event_id", "ts", "event_type", "user_id", "props")
-        k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-        renamed = (
-            F.when(F.col("event_type") == "view", "page_view")
-            .when(F.col("event_type") == "signup", "search")
-            .when(F.col("event_type") == "error", "add_to_cart")
-            .otherwise(F.col("event_type"))
-        )
-        return ev.select(
-            "event_id",
-            "ts",
-            renamed.alias("type"),
-            F.when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("user_id")).alias("user_id"),
-            F.when(k % 10 == 0, F.lit(None)).otherwise(k + 1).alias("movie_id"),
-            F.concat(F.col("user_id").cast("string"), F.lit(":"), F.col("ts").cast("date").cast("string")).alias(
-                "session_id"
-            ),
-        )
+        return media_events_from(self.tables.events)
 
     @cached_property
     def user_profiles(self) -> DataFrame:
