@@ -33,7 +33,11 @@ def build_session(
     cluster configuration; a local scratch checkpoint folder is only chosen when the
     setting is absent (tests, laptops).
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app_name)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
     if master:
         builder = builder.master(master)
     for key, value in SCALE_CONF.items():
