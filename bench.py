@@ -17,8 +17,8 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
+import uuid
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -39,7 +39,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     warmup = int(os.environ.get("BENCH_WARMUP", "1"))
 
-    from cinemetric.session import build_session
+    from cinemetric.session import build_session, checkpoint_dir
     from cinemetric.sources.catalogue import Catalogue, materialize
 
     spark = build_session(f"local[{cpus}]", cpus * 2, app_name="cinemetric-bench",
@@ -49,9 +49,11 @@ def main() -> None:
     registry = {**entry._search_queries(), **entry._event_queries(), **entry._document_queries(),
                 **entry._load_queries(), **entry._probe_queries()}
 
-    scratch = tempfile.mkdtemp(prefix="cinemetric-bench-")
+    # the load writes into the shared folder named by spark.checkpoint.dir (never a
+    # machine-local temp dir), one fresh sub-folder per run
+    target = os.path.join(checkpoint_dir(spark), f"bench-catalogue-{uuid.uuid4().hex}")
     t0 = time.perf_counter()
-    cat = materialize(Catalogue(spark, sf_dir), os.path.join(scratch, "catalogue"))
+    cat = materialize(Catalogue(spark, sf_dir), target)
     load_sec = time.perf_counter() - t0
 
     timings: dict[str, float] = {}

@@ -19,7 +19,9 @@ def keep_movies(df: DataFrame, movie_ids: DataFrame | None, key: str = "movie_id
     """Restrict ``df`` to the movie ids of ``movie_ids`` (``None`` = all)."""
     if movie_ids is None:
         return df
-    return df.join(movie_ids.select(F.col(key)).distinct(), key, "left_semi")
+    # a semi-join ignores repeated keys on its right side, so no distinct() (and no extra
+    # aggregation + shuffle) is needed here
+    return df.join(movie_ids.select(F.col(key)), key, "left_semi")
 
 
 def rating_stats(ratings: DataFrame, movie_ids: DataFrame | None = None) -> DataFrame:
@@ -70,6 +72,38 @@ def genre_lists(cat, movie_ids: DataFrame | None = None, alias: str = "genres")
     return name_list(named, "movie_id", "genre_name", alias)
 
 
+def movie_facts(cat, with_genres: bool = True) -> DataFrame:
+    """Per movie, in ONE aggregation: exact ``rating_sum`` / ``rating_count`` and the
+    sorted distinct genre names (``genres``).
+
+    Rating rows and genre rows are unioned (never joined, so nothing fans out) and grouped
+    by ``movie_id``; sum, count and the name set all combine map-side, so a movie holding a
+    third of all ratings costs one partial row per task.  Queries join this once to their
+    candidate movies instead of re-deriving the candidates inside each enrichment branch.
+    """
+    rating_rows = cat.ratings.select("movie_id", "rating", F.lit(None).cast("string").alias("genre_name"))
+    facts = rating_rows
+    if with_genres:
+        genre_rows = cat.movie_genres.join(cat.genres, "genre_id").select(
+            "movie_id", F.lit(None).cast("decimal(3,1)").alias("rating"), "genre_name"
+        )
+        facts = rating_rows.unionByName(genre_rows)
+    aggs = [F.sum("rating").alias("rating_sum"), F.count("rating").alias("rating_count")]
+    if with_genres:
+        names = F.array_sort(F.collect_set("genre_name"))
+        aggs.append(F.when(F.size(names) > 0, F.array_join(names, ", ")).alias("genres"))
+    return facts.groupBy("movie_id").agg(*aggs)
+
+
+def facts_of(cat, with_genres: bool = True) -> DataFrame:
+    """The per-movie facts: the stored table when the catalogue was materialised (the load
+    job keeps it current), else computed on the fly by ``movie_facts``."""
+    stored = getattr(cat, "stored_facts", None)
+    if stored is not None:
+        return stored
+    return movie_facts(cat, with_genres)
+
+
 def ilike_contains(c, text: str) -> Column:
     """``c ILIKE '%text%'`` (F-03); ``%`` and ``_`` inside ``text`` stay wildcards."""
     c = F.col(c) if isinstance(c, str) else c
@@ -97,6 +131,25 @@ def all_of(preds: Sequence[Column | None]) -> Column | None:
     return out
 
 
+def nested_lists(parts: dict[str, tuple[DataFrame, Column]], key: str = "movie_id") -> DataFrame:
+    """Several per-key lists in ONE aggregation.
+
+    ``parts`` maps an output name to (rows, element struct).  The rows of all parts are
+    unioned with one struct column per part (NULL in the other parts' rows) and grouped
+    once; ``collect_list`` skips NULLs, so each output list holds only its own part.  One
+    shuffle on ``key`` replaces one aggregation and one join per list.
+    """
+    names = list(parts)
+    # element types come from analysis only (no job runs)
+    types = {n: rows.select(elem.alias("_e")).schema["_e"].dataType for n, (rows, elem) in parts.items()}
+    union = None
+    for name, (rows, elem) in parts.items():
+        cols = [F.col(key)] + [(elem if n == name else F.lit(None).cast(types[n])).alias(n) for n in names]
+        part = rows.select(*cols)
+        union = part if union is None else union.unionByName(part)
+    return union.groupBy(key).agg(*[F.collect_list(n).alias(n) for n in names])
+
+
 def top_k_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, salt_from: Sequence[str], buckets: int = 32
 ) -> DataFrame:

@@ -21,9 +21,10 @@ from cinemetric.plans.common import (
     avg_at_least,
     avg_below,
     exact_avg,
-    genre_lists,
     ilike_contains,
     keep_movies,
+    facts_of,
+    nested_lists,
     null_as_zero,
     rating_stats,
     top_k_per_group,
@@ -36,52 +37,41 @@ from cinemetric.plans.common import (
 # ---------------------------------------------------------------------------------------
 
 
-def _sorted_structs(df: DataFrame, key: str, sort_fields: list[Column], fields: list[str], alias: str) -> DataFrame:
-    """Per key, ``fields`` as an array of structs ordered by ``sort_fields`` (ties broken by
-    the remaining fields).  Used for the nested detail record only: the arrays hold one
-    movie's genres/cast/crew/companies."""
-    sort_struct = F.struct(*[s.alias(f"k{i}") for i, s in enumerate(sort_fields)], *[F.col(f) for f in fields])
-    agg = df.groupBy(key).agg(F.array_sort(F.collect_list(sort_struct)).alias("_arr"))
-    return agg.select(key, F.transform("_arr", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(alias))
+def _sorted(arr: str, fields: list[str]) -> Column:
+    """Sort an array of structs whose leading fields are sort keys, then drop the keys."""
+    return F.transform(F.array_sort(F.col(arr)), lambda x: F.struct(*[x[f].alias(f) for f in fields]))
 
 
 def movie_full_details(cat, movie_ids: DataFrame | None = None) -> DataFrame:
     """Q-01: base row + exact AVG/COUNT of ratings + genres (by name), cast (by cast_order,
-    nulls last), crew (by department, job, name) and companies (by name) as arrays."""
+    nulls last), crew (by department, job, name) and companies (by name) as arrays.
+
+    The four lists come out of one aggregation over the union of the four bridge tables
+    (``nested_lists``) and meet the movies in one join; the arrays hold one movie's credits."""
     movies = keep_movies(cat.movies, movie_ids)
-    ids = movies.select("movie_id") if movie_ids is not None else None
-    stats = rating_stats(cat.ratings, ids)
-    genres = _sorted_structs(
-        keep_movies(cat.movie_genres, ids).join(cat.genres, "genre_id"),
-        "movie_id",
-        [F.col("genre_name")],
-        ["genre_id", "genre_name"],
-        "genres",
-    )
-    cast = _sorted_structs(
-        keep_movies(cat.movie_cast, ids).join(cat.people, "person_id"),
-        "movie_id",
-        [F.col("cast_order").isNull(), F.col("cast_order"), F.col("person_id")],
-        ["person_id", "name", "gender", "character", "cast_order"],
-        "cast",
-    )
-    crew = _sorted_structs(
-        keep_movies(cat.movie_crew, ids).join(cat.people, "person_id"),
-        "movie_id",
-        [F.col("department"), F.col("job"), F.col("name"), F.col("person_id")],
-        ["person_id", "name", "gender", "department", "job"],
-        "crew",
-    )
-    companies = _sorted_structs(
-        keep_movies(cat.movie_production_companies, ids).join(cat.production_companies, "company_id"),
+    stats = facts_of(cat, False).select("movie_id", "rating_sum", "rating_count")
+    people = cat.people.select("person_id", "name", "gender")
+    g = keep_movies(cat.movie_genres, movie_ids).join(cat.genres, "genre_id")
+    c = keep_movies(cat.movie_cast, movie_ids).join(people, "person_id")
+    w = keep_movies(cat.movie_crew, movie_ids).join(people, "person_id")
+    p = keep_movies(cat.movie_production_companies, movie_ids).join(cat.production_companies, "company_id")
+    lists = nested_lists({
+        "genres": (g, F.struct(F.col("genre_name").alias("k0"), "genre_id", "genre_name")),
+        "cast": (c, F.struct(F.col("cast_order").isNull().alias("k0"), F.col("cast_order").alias("k1"),
+                             F.col("person_id").alias("k2"), "person_id", "name", "gender", "character", "cast_order")),
+        "crew": (w, F.struct(F.col("department").alias("k0"), F.col("job").alias("k1"), F.col("name").alias("k2"),
+                             F.col("person_id").alias("k3"), "person_id", "name", "gender", "department", "job")),
+        "production_companies": (p, F.struct(F.col("name").alias("k0"), F.col("company_id").alias("k1"),
+                                             "company_id", "name")),
+    })
+    lists = lists.select(
         "movie_id",
-        [F.col("name"), F.col("company_id")],
-        ["company_id", "name"],
-        "production_companies",
+        _sorted("genres", ["genre_id", "genre_name"]).alias("genres"),
+        _sorted("cast", ["person_id", "name", "gender", "character", "cast_order"]).alias("cast"),
+        _sorted("crew", ["person_id", "name", "gender", "department", "job"]).alias("crew"),
+        _sorted("production_companies", ["company_id", "name"]).alias("production_companies"),
     )
-    out = movies
-    for part in (stats, genres, cast, crew, companies):
-        out = out.join(part, "movie_id", "left")
+    out = movies.join(stats, "movie_id", "left").join(lists, "movie_id", "left")
     empty = F.array()
     return out.select(
         "movie_id",
@@ -130,30 +120,23 @@ def details_as_text(details: DataFrame) -> DataFrame:
 
 def deep_fetch(cat, movie_ids: DataFrame | None = None) -> DataFrame:
     """Q-43: movie + genres[] + companies[] as ``{id, name}`` lists, ``[]`` when none.
-    Correlated ``json_agg`` sub-queries become two per-movie pre-aggregations."""
+    The two correlated ``json_agg`` sub-queries become one two-list aggregation + one join."""
     movies = keep_movies(cat.movies, movie_ids).select("movie_id", "title", "released_date", "overview", "runtime")
-    ids = movies.select("movie_id") if movie_ids is not None else None
-    g = (
-        keep_movies(cat.movie_genres, ids)
-        .join(cat.genres, "genre_id")
-        .groupBy("movie_id")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("genre_id").alias("id"), F.col("genre_name").alias("name")))).alias("genres"))
-    )
-    c = (
-        keep_movies(cat.movie_production_companies, ids)
-        .join(cat.production_companies, "company_id")
-        .groupBy("movie_id")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("company_id").alias("id"), F.col("name")))).alias("production_companies"))
-    )
-    out = movies.join(g, "movie_id", "left").join(c, "movie_id", "left")
+    g = keep_movies(cat.movie_genres, movie_ids).join(cat.genres, "genre_id")
+    c = keep_movies(cat.movie_production_companies, movie_ids).join(cat.production_companies, "company_id")
+    lists = nested_lists({
+        "genres": (g, F.struct(F.col("genre_id").alias("id"), F.col("genre_name").alias("name"))),
+        "production_companies": (c, F.struct(F.col("company_id").alias("id"), F.col("name").alias("name"))),
+    })
+    out = movies.join(lists, "movie_id", "left")
     return out.select(
         "movie_id",
         "title",
         "released_date",
         "overview",
         "runtime",
-        F.coalesce("genres", F.array()).alias("genres"),
-        F.coalesce("production_companies", F.array()).alias("production_companies"),
+        F.coalesce(F.array_sort("genres"), F.array()).alias("genres"),
+        F.coalesce(F.array_sort("production_companies"), F.array()).alias("production_companies"),
     )
 
 
@@ -179,8 +162,7 @@ def title_search(cat, text: str, limit: int = 20, offset: int = 0) -> DataFrame:
     """Q-02: title ILIKE, exact AVG, rating count, all genre names; AVG DESC NULLS LAST,
     popularity DESC (nulls first)."""
     movies = cat.movies.filter(ilike_contains("title", text))
-    ids = movies.select("movie_id")
-    out = movies.join(rating_stats(cat.ratings, ids), "movie_id", "left").join(genre_lists(cat, ids), "movie_id", "left")
+    out = movies.join(facts_of(cat), "movie_id", "left")
     out = out.select(
         "movie_id",
         "title",
@@ -198,7 +180,7 @@ def title_search(cat, text: str, limit: int = 20, offset: int = 0) -> DataFrame:
 
 
 def _movies_with_avg(cat, movies: DataFrame, with_count: bool) -> DataFrame:
-    stats = rating_stats(cat.ratings, movies.select("movie_id"))
+    stats = facts_of(cat, False).select("movie_id", "rating_sum", "rating_count")
     out = movies.join(stats, "movie_id", "left").withColumn("avg_rating", exact_avg())
     if with_count:
         out = out.withColumn("num_ratings", F.coalesce("rating_count", F.lit(0)))
@@ -234,7 +216,7 @@ def date_range_search(cat, start: str, end: str, limit: int = 20, offset: int =
 
 def min_rating_search(cat, min_rating: float, limit: int = 20, offset: int = 0) -> DataFrame:
     """Q-06: rated movies only, HAVING AVG >= min (exact); AVG DESC."""
-    stats = rating_stats(cat.ratings).filter(avg_at_least(min_rating))
+    stats = facts_of(cat, False).filter((F.col("rating_count") > 0) & avg_at_least(min_rating))
     out = cat.movies.join(stats, "movie_id").select(
         "movie_id", "title", "released_date", exact_avg().alias("avg_rating"), F.col("rating_count").alias("num_ratings")
     )
@@ -247,7 +229,7 @@ def actor_search(cat, name_text: str, limit: int = 20, offset: int = 0) -> DataF
     people = cat.people.filter(ilike_contains("name", name_text)).select("person_id")
     roles = cat.movie_cast.join(people, "person_id", "left_semi").select("movie_id", "character").distinct()
     movies = cat.movies.select("movie_id", "title", "released_date").join(roles, "movie_id")
-    stats = rating_stats(cat.ratings, roles.select("movie_id"))
+    stats = facts_of(cat, False).select("movie_id", "rating_sum", "rating_count")
     out = movies.join(stats, "movie_id", "left").select(
         "movie_id", "title", "released_date", "character", exact_avg().alias("avg_rating")
     )
@@ -302,9 +284,7 @@ def combined_search(
     if actor:
         p = cat.people.filter(ilike_contains("name", actor)).select("person_id")
         movies = movies.join(cat.movie_cast.join(p, "person_id", "left_semi").select("movie_id"), "movie_id", "left_semi")
-    filtered = genre or actor or pred is not None
-    ids = movies.select("movie_id") if filtered else None
-    out = movies.join(rating_stats(cat.ratings, ids), "movie_id", "left").join(genre_lists(cat, ids), "movie_id", "left")
+    out = movies.join(facts_of(cat), "movie_id", "left")
     avg0 = F.coalesce(exact_avg(), F.lit(0.0))
     out = out.select(
         "movie_id",
@@ -341,6 +321,10 @@ def _avg_tier(tier: str) -> Column | None:
 
 
 def _browse_groups(cat, tier: str, movie_id: int | None, user_id: int | None) -> DataFrame:
+    cond = _avg_tier(tier)
+    if movie_id is None and user_id is None:
+        groups = facts_of(cat).filter(F.col("rating_count") > 0)
+        return groups.filter(cond) if cond is not None else groups
     ratings = cat.ratings
     if movie_id is not None:
         ratings = ratings.filter(F.col("movie_id") == movie_id)
@@ -349,8 +333,9 @@ def _browse_groups(cat, tier: str, movie_id: int | None, user_id: int | None) ->
         rated = cat.ratings.filter(F.col("user_id") == user_id).select("movie_id")
         ratings = ratings.join(rated, "movie_id", "left_semi")
     stats = rating_stats(ratings).filter(F.col("rating_count") > 0)
-    cond = _avg_tier(tier)
-    return stats.filter(cond) if cond is not None else stats
+    stats = stats.filter(cond) if cond is not None else stats
+    # the genre list of the page comes from the facts as well (all genres of the movie)
+    return stats.join(facts_of(cat).select("movie_id", "genres"), "movie_id", "left")
 
 
 def ratings_browse(
@@ -366,7 +351,7 @@ def ratings_browse(
     six sort modes (``random`` uses a seeded ``rand``)."""
     groups = _browse_groups(cat, tier, movie_id, user_id)
     movies = cat.movies.select("movie_id", "title", "released_date", "popularity").join(groups, "movie_id")
-    out = movies.join(genre_lists(cat, groups.select("movie_id")), "movie_id", "left").select(
+    out = movies.select(
         "movie_id",
         "title",
         "released_date",
@@ -392,7 +377,7 @@ def ratings_browse(
 def ratings_browse_count(cat, tier: str = "all", movie_id: int | None = None, user_id: int | None = None) -> DataFrame:
     """Q-12 total: number of movies passing the filters and the HAVING tier (A-07)."""
     groups = _browse_groups(cat, tier, movie_id, user_id)
-    rated = groups.join(cat.movies.select("movie_id"), "movie_id", "left_semi")
+    rated = groups.select("movie_id").join(cat.movies.select("movie_id"), "movie_id", "left_semi")
     return rated.agg(F.count(F.lit(1)).alias("total_movies"))
 
 
@@ -421,7 +406,7 @@ def company_top_movies(cat, company_id: int, limit: int = 10) -> DataFrame:
     scalar sub-query becomes one pre-aggregation)."""
     ids = cat.movie_production_companies.filter(F.col("company_id") == company_id).select("movie_id")
     movies = cat.movies.join(ids, "movie_id").select("movie_id", "title", "released_date", "popularity")
-    out = _movies_with_avg(cat, movies, False)
+    out = _movies_with_avg(cat, movies, False)  # correlated AVG sub-query → one join
     out = top_k(out, [pg_desc("popularity"), F.col("movie_id")], limit)
     return out.select(
         "movie_id", "title", "released_date", zero_as_null("popularity").alias("popularity"),

@@ -298,9 +298,13 @@ def materialize(cat: Catalogue, folder: str, files_per_view: int | None = None)
     """Write every catalogue view as Parquet under ``folder`` (one directory per view) and
     return a catalogue that reads them.  This is the load step: queries then scan stored,
     clustered tables instead of re-deriving the views from the raw tables."""
+    from cinemetric.plans.common import movie_facts
+
     n = files_per_view or int(cat.spark.conf.get("spark.sql.shuffle.partitions"))
-    for name, key in STORED_VIEWS.items():
-        df = getattr(cat, name)
+    views = {name: getattr(cat, name) for name in STORED_VIEWS}
+    views["movie_facts"] = movie_facts(cat)
+    for name, df in views.items():
+        key = STORED_VIEWS.get(name, "movie_id")
         df.repartitionByRange(n, key).sortWithinPartitions(key).write.mode("overwrite").parquet(f"{folder}/{name}")
     return StoredCatalogue(cat.spark, folder, cat.tables.folder)
 
@@ -315,8 +319,13 @@ class StoredCatalogue:
         self._raw = Catalogue(spark, raw_folder)
         self.tables = self._raw.tables
 
+    @property
+    def stored_facts(self) -> DataFrame:
+        """Per-movie rating sum/count and genre list written by ``materialize``."""
+        return self.__getattr__("movie_facts")
+
     def __getattr__(self, name: str):
-        if name in STORED_VIEWS:
+        if name in STORED_VIEWS or name == "movie_facts":
             df = self.spark.read.parquet(f"{self.folder}/{name}")
             self.__dict__[name] = df
             return df
