@@ -296,3 +296,32 @@ def genre_names_of(movies: DataFrame) -> DataFrame:
         "movie_id", "pos", F.coalesce(F.col("g.id"), F.lit(0)).alias("genre_id"),
         F.coalesce(F.col("g.name"), F.lit("Unknown")).alias("genre_name"),
     )
+
+
+def genre_movies_all(movies: DataFrame, per_genre: int = 50) -> DataFrame:
+    """Q-35 for every embedded genre id: its ``per_genre`` most popular documents."""
+    from cinemetric.plans.common import top_k_per_group
+
+    rows = movies.select(F.col("id").alias("movie_id"), "title", F.col("release_date").alias("released_date"),
+                         "popularity", F.explode("genres").alias("g"))
+    rows = rows.select(F.col("g.id").alias("genre_id"), "movie_id", "title", "released_date", "popularity").dropDuplicates(
+        ["genre_id", "movie_id"]
+    )
+    top = top_k_per_group(rows, ["genre_id"], [mongo_desc("popularity"), F.col("movie_id")], per_genre, ["movie_id"])
+    return top.select("genre_id", "movie_id", "title", "released_date")
+
+
+def genre_movie_counts(movies: DataFrame) -> DataFrame:
+    """Q-35 counts for every embedded genre id (a document counts once per genre)."""
+    ids = movies.select(F.col("id"), F.explode(F.array_distinct(F.transform("genres", lambda g: g["id"]))).alias("genre_id"))
+    return ids.groupBy("genre_id").agg(F.count(F.lit(1)).alias("movie_count"))
+
+
+def company_movies_all(movies: DataFrame, per_company: int = 50) -> DataFrame:
+    """Q-36 for every embedded company id: first ``per_company`` documents by id, each once."""
+    from cinemetric.plans.common import top_k_per_group
+
+    rows = movies.select(F.col("id").alias("movie_id"), "title", F.col("release_date").alias("released_date"),
+                         F.explode(F.array_distinct(F.transform("production_companies", lambda c: c["id"]))).alias("company_id"))
+    top = top_k_per_group(rows, ["company_id"], [F.col("movie_id")], per_company, ["movie_id"])
+    return top.select("company_id", "movie_id", "title", "released_date")

@@ -694,3 +694,59 @@ def movie_genre_names(cat, movie_ids: DataFrame | None = None) -> DataFrame:
     return keep_movies(cat.movie_genres, movie_ids).join(cat.genres, "genre_id").select(
         "movie_id", "genre_id", "genre_name"
     )
+
+
+# ---------------------------------------------------------------------------------------
+# Batch forms of the per-key drill-downs: every key at once, each key's page as a salted
+# per-group top-k (a key holding a third of the rows is ranked by many tasks, not one).
+# ---------------------------------------------------------------------------------------
+
+
+def genre_movies_all(cat, text: str | None = None, per_genre: int = 100) -> DataFrame:
+    """Q-13 for every genre: its first ``per_genre`` movies by title (optionally ILIKE)."""
+    movies = cat.movies.select("movie_id", "title", "released_date")
+    if text:
+        movies = movies.filter(ilike_contains("title", text))
+    rows = cat.movie_genres.join(movies, "movie_id")
+    top = top_k_per_group(rows, ["genre_id"], [pg_asc("title"), F.col("movie_id")], per_genre, ["movie_id"])
+    return top.select("genre_id", "movie_id", "title", "released_date")
+
+
+def company_top_movies_all(cat, per_company: int = 10) -> DataFrame:
+    """Q-14 for every company: top ``per_company`` movies by popularity DESC (nulls first),
+    with each movie's AVG rating."""
+    rows = cat.movie_production_companies.join(
+        cat.movies.select("movie_id", "title", "released_date", "popularity"), "movie_id"
+    )
+    top = top_k_per_group(rows, ["company_id"], [pg_desc("popularity"), F.col("movie_id")], per_company, ["movie_id"])
+    out = _movies_with_avg(cat, top, False)
+    return out.select(
+        "company_id", "movie_id", "title", "released_date", zero_as_null("popularity").alias("popularity"),
+        zero_as_null("avg_rating").alias("avg_rating"),
+    )
+
+
+def company_movies_recent_all(cat, per_company: int = 50) -> DataFrame:
+    """Q-16 for every company: latest ``per_company`` movies (release date DESC NULLS LAST)."""
+    rows = cat.movie_production_companies.join(
+        cat.movies.select("movie_id", "title", "released_date", F.col("popularity").cast("double").alias("popularity")),
+        "movie_id",
+    )
+    top = top_k_per_group(rows, ["company_id"], [desc_nulls_last("released_date"), F.col("movie_id")], per_company,
+                          ["movie_id"])
+    return top.select("company_id", "movie_id", "title", "released_date", "popularity")
+
+
+def sibling_companies_all(cat, movie_ids: DataFrame | None = None) -> DataFrame:
+    """Q-20 in batch form: for every (movie, company) link, the movie's other companies."""
+    links = keep_movies(cat.movie_production_companies, movie_ids)
+    other = links.withColumnRenamed("company_id", "other_company_id")
+    names = cat.production_companies.select(F.col("company_id").alias("other_company_id"), F.col("name").alias("other_name"))
+    pairs = links.join(other, "movie_id").filter(F.col("company_id") != F.col("other_company_id"))
+    return pairs.join(names, "other_company_id").select("movie_id", "company_id", "other_company_id", "other_name")
+
+
+def ratings_latest_per_user(cat, per_user: int = 50) -> DataFrame:
+    """Q-25 for every user: the user's ``per_user`` newest ratings."""
+    r = cat.ratings.select("rating_id", "user_id", "movie_id", F.col("rating").cast("double").alias("rating"), "created_at")
+    return top_k_per_group(r, ["user_id"], [pg_desc("created_at"), F.col("rating_id")], per_user, ["rating_id"])
