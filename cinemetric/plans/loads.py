@@ -74,6 +74,22 @@ def remapped_ratings(cat) -> DataFrame:
     return N.remap_rating_ids(ST.small_ratings(cat), links.select("movieId", F.col("tmdbId")))
 
 
+def movie_documents_loaded(cat) -> DataFrame:
+    """S-05 / N-14: movie document rows parsed by name (C-02 JSON first, literal second;
+    C-05..C-07 tolerant numbers and bools)."""
+    return I.parse_movie_documents(ST.movie_document_rows(cat))
+
+
+def credit_documents_loaded(cat) -> DataFrame:
+    """S-06: credits documents parsed from their text lists."""
+    return I.parse_credit_documents(ST.credit_document_rows(cat))
+
+
+def keywords_loaded(cat) -> DataFrame:
+    """S-02: keyword rows parsed into (movie, keyword list)."""
+    return I.parse_keyword_rows(ST.keyword_rows(cat))
+
+
 # -- V: validation ---------------------------------------------------------------------------
 
 

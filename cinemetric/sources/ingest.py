@@ -164,6 +164,16 @@ def read_links(spark: SparkSession, path: str) -> DataFrame:
                       C.tolerant_int("tmdbId").alias("tmdbId"))
 
 
+# Raw movie-file columns the cleaned file does not keep.
+PRUNED_MOVIE_COLUMNS = ("belongs_to_collection", "homepage", "imdb_id", "video", "budget", "revenue", "status",
+                        "vote_average", "vote_count", "production_countries", "spoken_languages")
+
+
+def prune_columns(df: DataFrame, columns=PRUNED_MOVIE_COLUMNS) -> DataFrame:
+    """F-21: drop raw columns (absent ones are ignored)."""
+    return df.drop(*[c for c in columns if c in df.columns])
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """S-11: CSV with a header, no index column (replaces ``path``)."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -131,3 +131,37 @@ def small_ratings(cat) -> DataFrame:
         F.col("rating").cast("double").alias("rating"),
         F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("created_at")).alias("timestamp"),
     )
+
+
+def _literal(arr) -> F.Column:
+    """A list as the catalogue files write it: Python-style single-quoted text."""
+    return F.regexp_replace(F.to_json(F.coalesce(arr, F.array())), '"', "'")
+
+
+def movie_document_rows(cat) -> DataFrame:
+    """Movie documents file rows by column name (all text; lists single-quoted)."""
+    d = cat.movie_documents
+    return d.select(
+        F.col("id").cast("string").alias("id"), "title", F.col("title").alias("original_title"), "release_date",
+        F.when(F.col("adult"), "True").otherwise("False").alias("adult"),
+        F.col("popularity").cast("string").alias("popularity"), F.col("runtime").cast("string").alias("runtime"),
+        F.col("genres_literal").alias("genres"), _literal(F.col("production_companies")).alias("production_companies"),
+    )
+
+
+def credit_document_rows(cat) -> DataFrame:
+    """Credits file rows: movie id and single-quoted cast / crew lists."""
+    c = cat.credit_documents
+    return c.select(F.col("id").cast("string").alias("id"), _literal(F.col("cast")).alias("cast"),
+                    _literal(F.col("crew")).alias("crew"))
+
+
+def keyword_rows(cat) -> DataFrame:
+    """Keywords file rows: movie id and its single-quoted keyword list (ids by name order)."""
+    kw = cat.movie_keywords.join(cat.keywords, "keyword_id")
+    lists = kw.groupBy("movie_id").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("keyword_id").cast("long").alias("id"),
+                                             F.col("keyword_name").alias("name")))).alias("kw")
+    )
+    return lists.select(F.col("movie_id").cast("long").alias("seq"), F.col("movie_id").cast("string").alias("id"),
+                        _literal(F.col("kw")).alias("keywords"))

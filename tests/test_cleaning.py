@@ -105,3 +105,22 @@ def test_regex_and_contains(spark):
     assert got == [False, True]
     got = [r.m for r in df.select("i", C.contains_any_field(["a", "b"], "NONE").alias("m")).orderBy("i").collect()]
     assert got == [False, False]   # NULL is '' here, not the text 'none'
+
+
+def test_convert_string_lists_counts(spark):
+    df = spark.createDataFrame(
+        [(1, "[{'id': 1, 'name': 'A'}]"), (2, '[{"id": 2, "name": "B"}]'), (3, "[{'id': 3, 'name': 'x', 'v': None}]"),
+         (4, "broken")], "i int, v string")
+    p, raw = C.jsonish("v")
+    staged = df.select("i", p.alias("genres"), raw.alias("genres_raw"))
+    out, counts = C.convert_string_lists(staged, "genres", "genres_raw")
+    got = {r.i: [e.name for e in r.genres] for r in out.collect()}
+    assert got == {1: ["A"], 2: ["B"], 3: ["x"], 4: []}
+    assert counts.collect()[0].converted == 1   # only row 4 was still text after loading
+
+
+def test_prune_columns(spark):
+    from cinemetric.sources.ingest import prune_columns
+
+    df = spark.createDataFrame([(1, "x", "y")], "id int, homepage string, title string")
+    assert prune_columns(df).columns == ["id", "title"]
