@@ -302,11 +302,9 @@ def genre_movies_all(movies: DataFrame, per_genre: int = 50) -> DataFrame:
     """Q-35 for every embedded genre id: its ``per_genre`` most popular documents."""
     from cinemetric.plans.common import top_k_per_group
 
+    # each document once per distinct genre id it lists
     rows = movies.select(F.col("id").alias("movie_id"), "title", F.col("release_date").alias("released_date"),
-                         "popularity", F.explode("genres").alias("g"))
-    rows = rows.select(F.col("g.id").alias("genre_id"), "movie_id", "title", "released_date", "popularity").dropDuplicates(
-        ["genre_id", "movie_id"]
-    )
+                         "popularity", F.explode(F.array_distinct(F.transform("genres", lambda g: g["id"]))).alias("genre_id"))
     top = top_k_per_group(rows, ["genre_id"], [mongo_desc("popularity"), F.col("movie_id")], per_genre, ["movie_id"])
     return top.select("genre_id", "movie_id", "title", "released_date")
 
