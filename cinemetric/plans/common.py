@@ -140,13 +140,11 @@ def nested_lists(parts: dict[str, tuple[DataFrame, Column]], key: str = "movie_i
     shuffle on ``key`` replaces one aggregation and one join per list.
     """
     names = list(parts)
-    # element types come from analysis only (no job runs)
-    types = {n: rows.select(elem.alias("_e")).schema["_e"].dataType for n, (rows, elem) in parts.items()}
     union = None
     for name, (rows, elem) in parts.items():
-        cols = [F.col(key)] + [(elem if n == name else F.lit(None).cast(types[n])).alias(n) for n in names]
-        part = rows.select(*cols)
-        union = part if union is None else union.unionByName(part)
+        part = rows.select(F.col(key), elem.alias(name))
+        # the other parts' struct columns are filled with NULLs by the union itself
+        union = part if union is None else union.unionByName(part, allowMissingColumns=True)
     return union.groupBy(key).agg(*[F.collect_list(n).alias(n) for n in names])
 
 

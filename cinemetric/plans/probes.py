@@ -46,11 +46,9 @@ def probe_combined(cat, genre: str, actor: str, year_from: int, year_to: int, so
 
 def probe_deep_fetch(cat, movie_id: int | None = None) -> DataFrame:
     """Deep fetch of one movie (the first id when none is given)."""
-    if movie_id is None:
-        ids = top_k(cat.movies.select("movie_id"), [F.col("movie_id")], 1)
-    else:
-        ids = cat.movies.filter(F.col("movie_id") == movie_id).select("movie_id")
-    return S.deep_fetch(cat, ids)
+    # the first id is a scalar sub-query: computed once, then a plain filter in each branch
+    key = cat.movies.select(F.min("movie_id")).scalar() if movie_id is None else F.lit(movie_id)
+    return S.deep_fetch(cat, movie_id=key)
 
 
 def latency_summary(measurements: DataFrame, keys: list[str], latency: str = "latency_ms") -> DataFrame:

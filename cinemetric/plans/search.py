@@ -118,12 +118,18 @@ def details_as_text(details: DataFrame) -> DataFrame:
     )
 
 
-def deep_fetch(cat, movie_ids: DataFrame | None = None) -> DataFrame:
+def deep_fetch(cat, movie_ids: DataFrame | None = None, movie_id: Column | None = None) -> DataFrame:
     """Q-43: movie + genres[] + companies[] as ``{id, name}`` lists, ``[]`` when none.
-    The two correlated ``json_agg`` sub-queries become one two-list aggregation + one join."""
-    movies = keep_movies(cat.movies, movie_ids).select("movie_id", "title", "released_date", "overview", "runtime")
-    g = keep_movies(cat.movie_genres, movie_ids).join(cat.genres, "genre_id")
-    c = keep_movies(cat.movie_production_companies, movie_ids).join(cat.production_companies, "company_id")
+    The two correlated ``json_agg`` sub-queries become one two-list aggregation + one join.
+    ``movie_id`` (a literal or scalar sub-query Column) restricts every branch by a plain
+    filter, which needs no join at all."""
+    def pick(df: DataFrame) -> DataFrame:
+        df = keep_movies(df, movie_ids)
+        return df.filter(F.col("movie_id") == movie_id) if movie_id is not None else df
+
+    movies = pick(cat.movies).select("movie_id", "title", "released_date", "overview", "runtime")
+    g = pick(cat.movie_genres).join(cat.genres, "genre_id")
+    c = pick(cat.movie_production_companies).join(cat.production_companies, "company_id")
     lists = nested_lists({
         "genres": (g, F.struct(F.col("genre_id").alias("id"), F.col("genre_name").alias("name"))),
         "production_companies": (c, F.struct(F.col("company_id").alias("id"), F.col("name").alias("name"))),

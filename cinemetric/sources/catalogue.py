@@ -342,7 +342,7 @@ class StoredCatalogue:
     @property
     def stored_facts(self) -> DataFrame:
         """Per-movie rating sum/count and genre list written by ``materialize``."""
-        return self.__getattr__("movie_facts")
+        return getattr(self, "movie_facts")  # instance cache first, then __getattr__
 
     def __getattr__(self, name: str):
         if name in STORED_VIEWS or name == "movie_facts":
