@@ -309,11 +309,13 @@ def materialize(cat: Catalogue, folder: str, files_per_view: int | None = None)
     from cinemetric.plans.common import movie_facts
 
     spark = cat.spark
-    n = files_per_view or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(name: str, df: DataFrame) -> None:
         key = STORED_VIEWS.get(name, "movie_id")
-        df.repartitionByRange(n, key).sortWithinPartitions(key).write.mode("overwrite").parquet(f"{folder}/{name}")
+        # without an explicit count, AQE sizes the range partitions (advisory partition size),
+        # so file sizes follow the data: one small file locally, ~128 MB files at scale
+        ranged = df.repartitionByRange(files_per_view, key) if files_per_view else df.repartitionByRange(key)
+        ranged.sortWithinPartitions(key).write.mode("overwrite").parquet(f"{folder}/{name}")
 
     for name in STORED_VIEWS:
         if name not in DERIVED_VIEWS:
