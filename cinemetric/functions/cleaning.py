@@ -69,8 +69,6 @@ def convert_string_lists(df, field: str, raw_field: str, element: T.DataType = N
     """C-03: rows whose list is still text (``raw_field`` set by ``jsonish``) are converted
     in place with the literal-first parser; other rows are untouched.  Returns the converted
     table and a one-row count of converted rows."""
-    from pyspark.sql import DataFrame  # noqa: F401  (type only)
-
     is_text = F.col(raw_field).isNotNull()
     out = df.withColumn(field, F.when(is_text, literal_list(F.col(raw_field), element)).otherwise(F.col(field))).withColumn(
         raw_field, F.lit(None).cast("string")
