@@ -481,12 +481,31 @@ def link_list_summary(links: DataFrame, dim_key: str) -> DataFrame:
     )
 
 
-def sibling_genres(cat, movie_ids: DataFrame | None = None) -> DataFrame:
-    """Q-19 in batch form: for every (movie, genre) link, the movie's other genres."""
-    links = keep_movies(cat.movie_genres, movie_ids)
-    other = links.withColumnRenamed("genre_id", "other_genre_id").join(cat.genres.withColumnRenamed("genre_id", "other_genre_id"), "other_genre_id")
-    pairs = links.join(other, "movie_id").filter(F.col("genre_id") != F.col("other_genre_id"))
-    return pairs.select("movie_id", "genre_id", "other_genre_id", F.col("genre_name").alias("other_genre_name"))
+def _siblings(requests: DataFrame, bridge: DataFrame, dim: DataFrame, key: str, name: str, alias: str) -> DataFrame:
+    """For each requested (movie, dimension id) link: the movie's *other* dimension rows.
+
+    The movie's list is aggregated once per movie and joined to the requests; each request
+    keeps the list minus itself.  No self-join, so no pair rows are ever produced."""
+    lists = bridge.join(dim, key).groupBy("movie_id").agg(
+        F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), F.col(key).alias("k")))).alias("_all")
+    )
+    out = requests.select("movie_id", key).join(lists, "movie_id", "left")
+    return out.select(
+        "movie_id", key,
+        F.filter(F.coalesce("_all", F.array()), lambda x: x["k"] != F.col(key)).alias(alias),
+    )
+
+
+def sibling_genres(cat, requests: DataFrame | None = None) -> DataFrame:
+    """Q-19 in batch form: for every requested (movie, genre) link (default: all links) the
+    movie's other genres, by name."""
+    req = cat.movie_genres if requests is None else requests
+    return _siblings(req, cat.movie_genres, cat.genres, "genre_id", "genre_name", "other_genres")
+
+
+def siblings_as_text(df: DataFrame, alias: str) -> DataFrame:
+    cols = [c for c in df.columns if c != alias]
+    return df.select(*cols, F.array_join(F.transform(alias, lambda x: x["n"]), ", ").alias(alias))
 
 
 def sibling_companies(cat, movie_id: int, company_id: int) -> DataFrame:
@@ -743,13 +762,12 @@ def company_movies_recent_all(cat, per_company: int = 50) -> DataFrame:
     return top.select("company_id", "movie_id", "title", "released_date", "popularity")
 
 
-def sibling_companies_all(cat, movie_ids: DataFrame | None = None) -> DataFrame:
-    """Q-20 in batch form: for every (movie, company) link, the movie's other companies."""
-    links = keep_movies(cat.movie_production_companies, movie_ids)
-    other = links.withColumnRenamed("company_id", "other_company_id")
-    names = cat.production_companies.select(F.col("company_id").alias("other_company_id"), F.col("name").alias("other_name"))
-    pairs = links.join(other, "movie_id").filter(F.col("company_id") != F.col("other_company_id"))
-    return pairs.join(names, "other_company_id").select("movie_id", "company_id", "other_company_id", "other_name")
+def sibling_companies_all(cat, requests: DataFrame | None = None) -> DataFrame:
+    """Q-20 in batch form: for every requested (movie, company) link (default: all links)
+    the movie's other companies, by name."""
+    req = cat.movie_production_companies if requests is None else requests
+    return _siblings(req, cat.movie_production_companies, cat.production_companies, "company_id", "name",
+                     "other_companies")
 
 
 def ratings_latest_per_user(cat, per_user: int = 50) -> DataFrame:
