@@ -105,6 +105,26 @@ def reject_with_children(
     return {name: child.join(bad, key, "left_anti") for name, child in children.items()}
 
 
+def reject_input_rows(
+    tables: dict[str, tuple[DataFrame, Sequence[Rule]]], key: str
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """N-13: one input row feeds a parent row and its child rows (all carrying ``key``).  If
+    any of them breaks a rule, the whole input row is rejected: the parent and *every* child
+    of that key.  Returns (accepted tables, rejected keys with the reasons, table-qualified).
+
+    Set-based: the failing keys of all tables are unioned and aggregated once, then each table
+    is anti-joined with them — no per-row transaction, no ordering between tables."""
+    failures = None
+    for name, (df, rules) in tables.items():
+        bad = check(df, rules).filter(F.size("reasons") > 0).select(
+            key, F.transform("reasons", lambda r: F.concat(F.lit(f"{name}: "), r)).alias("reasons")
+        )
+        failures = bad if failures is None else failures.unionByName(bad)
+    rejected = failures.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("reasons")))).alias("reasons"))
+    accepted = {name: df.join(rejected.select(key), key, "left_anti") for name, (df, _) in tables.items()}
+    return accepted, rejected
+
+
 def retain(df: DataFrame, ts: str, as_of, ttl_seconds: int) -> DataFrame:
     """V-03: TTL as a filter: keep rows with ``ts >= as_of - ttl`` (a row exactly at the
     limit stays)."""

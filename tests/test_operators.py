@@ -138,3 +138,16 @@ def test_synthetic_users_and_remap(spark):
     links = links.select("movieId", F.col("tmdbId").cast("double").cast("int").alias("tmdbId"))
     out = N.remap_rating_ids(small, links).collect()
     assert [(r.userId, r.movieId) for r in out] == [(1, 862)]
+
+
+def test_bad_child_rejects_whole_input_row(spark):
+    movies = spark.createDataFrame([(1, "ok"), (2, "fine"), (3, None)], "movie_id int, title string")
+    cast = spark.createDataFrame([(1, "c1", "x" * 60), (1, "c2", "y"), (2, "c3", "z")], "movie_id int, name string, credit_id string")
+    accepted, rejected = V.reject_input_rows(
+        {"movies": (movies.withColumn("language", F.lit("en")), V.movie_rules()), "cast": (cast, [V.max_length("credit_id", 50)])},
+        "movie_id",
+    )
+    assert sorted(r.movie_id for r in accepted["movies"].collect()) == [2]
+    assert sorted(r.name for r in accepted["cast"].collect()) == ["c3"]   # c2 is fine but shares movie 1
+    got = {r.movie_id: r.reasons for r in rejected.collect()}
+    assert got == {1: ["cast: credit_id longer than 50"], 3: ["movies: title is required"]}
