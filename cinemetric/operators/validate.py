@@ -116,11 +116,12 @@ def reject_input_rows(
     is anti-joined with them — no per-row transaction, no ordering between tables."""
     failures = None
     for name, (df, rules) in tables.items():
-        bad = check(df, rules).filter(F.size("reasons") > 0).select(
-            key, F.transform("reasons", lambda r: F.concat(F.lit(f"{name}: "), r)).alias("reasons")
+        bad = check(df, rules).select(key, F.explode("reasons").alias("reason")).select(
+            key, F.concat(F.lit(f"{name}: "), F.col("reason")).alias("reason")
         )
         failures = bad if failures is None else failures.unionByName(bad)
-    rejected = failures.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("reasons")))).alias("reasons"))
+    # collect_set de-duplicates map-side: a key's set is bounded by the distinct rule names
+    rejected = failures.groupBy(key).agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
     accepted = {name: df.join(rejected.select(key), key, "left_anti") for name, (df, _) in tables.items()}
     return accepted, rejected
 
