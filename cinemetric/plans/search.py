@@ -673,15 +673,19 @@ def recent_movies(movies: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def movie_find(cat, text: str, limit: int = 100) -> DataFrame:
-    """Q-28 / U-01: title hits (top ``limit`` by title) plus, when the text is a number, the
-    movie with that id placed first unless it is already among the hits."""
-    hits = cat.movies.filter(ilike_contains("title", text)).select("movie_id", "title", "released_date", "popularity")
-    hits = top_k(hits, [pg_asc("title"), F.col("movie_id")], limit).withColumn("rank", F.lit(1))
-    out = hits
-    if text.isdigit():
-        by_id = cat.movies.filter(F.col("movie_id") == int(text)).select("movie_id", "title", "released_date", "popularity")
-        out = by_id.join(hits.select("movie_id"), "movie_id", "left_anti").withColumn("rank", F.lit(0)).unionByName(hits)
-    return out.select("rank", "movie_id", "title", "released_date", zero_as_null("popularity").alias("popularity"))
+    """Q-28 / U-01: title hits (first ``limit`` by title; a title hit carries no popularity)
+    plus, when the text is a number, the movie with that id placed first (``rank`` 0) unless
+    it is already among the hits."""
+    hits = cat.movies.filter(ilike_contains("title", text)).select("movie_id", "title", "released_date")
+    hits = top_k(hits, [pg_asc("title"), F.col("movie_id")], limit).select(
+        F.lit(1).alias("rank"), "movie_id", "title", "released_date", F.lit(None).cast("double").alias("popularity")
+    )
+    if not text.isdigit():
+        return hits
+    by_id = cat.movies.filter(F.col("movie_id") == int(text)).select(
+        F.lit(0).alias("rank"), "movie_id", "title", "released_date", F.col("popularity").cast("double").alias("popularity")
+    )
+    return by_id.join(hits.select("movie_id"), "movie_id", "left_anti").unionByName(hits)
 
 
 def autocomplete_movies(cat, prefix: str, limit: int = 20) -> DataFrame:

@@ -92,3 +92,20 @@ def test_tree_top_k_matches_plain_order_limit(spark):
     assert got == want
     got_off = [r.id for r in top_k(df, order, 1200, offset=300).collect()]
     assert got_off == want[300:1500]
+
+
+class _Cat:
+    def __init__(self, movies):
+        self.movies = movies
+
+
+def test_movie_find_union_semantics(spark):
+    m = spark.createDataFrame(
+        [(12, "Film 12", None, 0.0), (7, "Apollo 12", None, 3.5), (99, "Other", None, 1.0)],
+        "movie_id int, title string, released_date date, popularity double")
+    hit_has_id = S.movie_find(_Cat(m), "12").orderBy("rank", "title").collect()
+    assert [(r.rank, r.movie_id, r.popularity) for r in hit_has_id] == [(1, 7, None), (1, 12, None)]
+    m2 = m.filter("movie_id != 12").unionByName(
+        spark.createDataFrame([(12, "Twelve", None, 0.0)], "movie_id int, title string, released_date date, popularity double"))
+    got = S.movie_find(_Cat(m2), "12").orderBy("rank", "title").collect()
+    assert [(r.rank, r.movie_id, r.popularity) for r in got] == [(0, 12, 0.0), (1, 7, None)]
