@@ -697,7 +697,10 @@ def autocomplete_movies(cat, prefix: str, limit: int = 20) -> DataFrame:
 
 
 def autocomplete_people(cat, prefix: str, limit: int = 20) -> DataFrame:
-    people = cat.people.select("person_id", "name", "gender")
+    """Q-29 people: name ILIKE, by name, with the gender label (C-15)."""
+    from cinemetric.functions.cleaning import gender_label
+
+    people = cat.people.select("person_id", "name", "gender", gender_label("gender").alias("gender_display"))
     if len(prefix) < 2:
         return people.limit(0)
     return top_k(people.filter(ilike_contains("name", prefix)), [pg_asc("name"), F.col("person_id")], limit)
