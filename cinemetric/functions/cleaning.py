@@ -118,11 +118,11 @@ def is_missing(c) -> Column:
 
 
 def epoch_to_timestamp(c) -> Column:
-    """C-10: epoch seconds (float text) → timestamp (UTC wall clock), invalid → NULL."""
+    """C-10: epoch seconds (float text) → UTC wall-clock ``timestamp_ntz``, invalid → NULL.
+    Built as epoch + interval, so the session time zone plays no part."""
     d = (_c(c).cast("string")).try_cast(T.DoubleType())
-    return F.when(F.isnan(d), F.lit(None)).otherwise(
-        F.timestamp_micros((d * 1_000_000).try_cast(T.LongType())).cast("timestamp_ntz")
-    )
+    secs = F.when(~F.isnan(d), d).try_cast(T.DecimalType(18, 6))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=secs)
 
 
 def to_popularity(c) -> Column:
