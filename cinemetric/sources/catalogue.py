@@ -17,6 +17,11 @@ from cinemetric.operators.keys import last_by, ordered_index
 from cinemetric.sources.tables import ParquetTables
 
 
+# Columns of the line items and of their orders that the catalogue views use.
+LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+
+
 def _movie_id(c: str):
     return (F.col(c) + 1).cast("int")
 
@@ -78,12 +83,7 @@ class Catalogue:
     @cached_property
     def ratings(self) -> DataFrame:
         """Last rating per (user, movie) wins, ordered by ship date then order/supplier/quantity."""
-        t = self.tables
-        items = t.lineitem.filter(F.col("l_linenumber") == 5).select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
-        )
-        orders = t.orders.select("o_orderkey", "o_custkey")
-        rows = items.join(orders, items.l_orderkey == orders.o_orderkey).select(
+        rows = self.line_orders(5).select(
             F.col("o_custkey").alias("user_id"),
             _movie_id("l_partkey").alias("movie_id"),
             (F.col("l_quantity") / 10).cast("decimal(3,1)").alias("rating"),
@@ -114,9 +114,8 @@ class Catalogue:
 
     @cached_property
     def movie_genres(self) -> DataFrame:
-        t = self.tables
-        items = t.lineitem.filter(F.col("l_linenumber") == 1).select("l_partkey", "l_suppkey")
-        sup = t.supplier.select("s_suppkey", "s_nationkey")
+        items = self.lines(1).select("l_partkey", "l_suppkey")
+        sup = self.tables.supplier.select("s_suppkey", "s_nationkey")
         return (
             items.join(sup, items.l_suppkey == sup.s_suppkey)
             .select(_movie_id("l_partkey").alias("movie_id"), (F.col("s_nationkey") + 1).alias("genre_id"))
@@ -130,7 +129,7 @@ class Catalogue:
     @cached_property
     def movie_production_companies(self) -> DataFrame:
         return (
-            self.tables.lineitem.filter(F.col("l_linenumber") == 2)
+            self.lines(2)
             .select(_movie_id("l_partkey").alias("movie_id"), _movie_id("l_suppkey").alias("company_id"))
             .distinct()
         )
@@ -143,12 +142,27 @@ class Catalogue:
             (F.col("c_custkey") % 4).cast("int").alias("gender"),
         )
 
-    def _line_orders(self, line: int, *cols: str) -> DataFrame:
-        t = self.tables
-        items = t.lineitem.filter(F.col("l_linenumber") == line).select("l_orderkey", "l_partkey", "l_quantity")
-        orders = t.orders.select("o_orderkey", *cols)
+    def lines(self, number: int) -> DataFrame:
+        """Line items of one line number.  After ``materialize`` stages the line items
+        (partitioned by line number) this reads one partition directory only."""
+        staged = self.__dict__.get("staged_lines")
+        if staged is not None:
+            return staged.filter(F.col("l_linenumber") == number)
+        return self.tables.lineitem.filter(F.col("l_linenumber") == number)
+
+    def line_orders(self, number: int) -> DataFrame:
+        """Line items of one line number with their order's columns (inner join).  Staged
+        line items already carry the order columns, so no join runs then."""
+        staged = self.__dict__.get("staged_lines")
+        if staged is not None:
+            return staged.filter((F.col("l_linenumber") == number) & F.col("o_orderkey").isNotNull())
+        items = self.lines(number).select(*LINE_COLUMNS)
+        orders = self.tables.orders.select(*ORDER_COLUMNS)
         return items.join(orders, items.l_orderkey == orders.o_orderkey)
 
+    def _line_orders(self, line: int, *cols: str) -> DataFrame:
+        return self.line_orders(line).select("l_orderkey", "l_partkey", "l_quantity", *cols)
+
     @cached_property
     def movie_cast(self) -> DataFrame:
         rows = self._line_orders(3, "o_custkey", "o_orderpriority")
@@ -302,10 +316,12 @@ def materialize(cat: Catalogue, folder: str, files_per_view: int | None = None)
     """Write every catalogue view as Parquet under ``folder`` (one directory per view) and
     return a catalogue that reads them.
 
-    Two phases: the base tables are derived from the raw tables and written; the document
-    views and the per-movie facts are then derived from the *written* base tables.  Each
-    phase therefore starts from files (short lineage: a lost executor recomputes from
-    Parquet, not from the raw joins), and shared inputs are computed once."""
+    Three phases: the line items are staged once (one scan, one join with their orders,
+    partitioned by line number); the base tables are derived from the staged lines and the
+    small raw tables and written; the document views and the per-movie facts are derived
+    from the *written* base tables.  Each phase starts from files (short lineage: a lost
+    executor recomputes from Parquet, not from the raw joins), and shared inputs are
+    computed once."""
     from cinemetric.plans.common import movie_facts
 
     spark = cat.spark
@@ -317,10 +333,20 @@ def materialize(cat: Catalogue, folder: str, files_per_view: int | None = None)
         ranged = df.repartitionByRange(files_per_view, key) if files_per_view else df.repartitionByRange(key)
         ranged.sortWithinPartitions(key).write.mode("overwrite").parquet(f"{folder}/{name}")
 
+    # phase 0: the line items, scanned and joined with their orders ONCE, written partitioned
+    # by line number; every line-based view then reads one partition directory, no join
+    t = cat.tables
+    items = t.lineitem.select(*LINE_COLUMNS)
+    orders = t.orders.select(*ORDER_COLUMNS)
+    staged = items.join(orders, items.l_orderkey == orders.o_orderkey, "left")
+    staged.write.mode("overwrite").partitionBy("l_linenumber").parquet(f"{folder}/_staged_lines")
+    base = Catalogue(spark, t.folder)
+    base.__dict__["staged_lines"] = spark.read.parquet(f"{folder}/_staged_lines")
+    # phase 1: base views
     for name in STORED_VIEWS:
         if name not in DERIVED_VIEWS:
-            write(name, getattr(cat, name))
-    # second phase: a catalogue whose base views are the written tables
+            write(name, getattr(base, name))
+    # phase 2: a catalogue whose base views are the written tables
     stored_base = Catalogue(spark, cat.tables.folder)
     for name in STORED_VIEWS:
         if name not in DERIVED_VIEWS:
@@ -340,6 +366,10 @@ class StoredCatalogue:
         self.folder = folder
         self._raw = Catalogue(spark, raw_folder)
         self.tables = self._raw.tables
+        try:  # staging builders (loads jobs) read the staged line items too, when present
+            self._raw.__dict__["staged_lines"] = spark.read.parquet(f"{folder}/_staged_lines")
+        except Exception:  # noqa: BLE001 - a catalogue written without staged lines
+            pass
 
     @property
     def stored_facts(self) -> DataFrame:

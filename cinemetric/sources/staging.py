@@ -46,12 +46,9 @@ def movie_file_rows(cat) -> DataFrame:
 
 
 def _line_rows(cat, line: int, *order_cols: str) -> DataFrame:
-    t = cat.tables
-    items = t.lineitem.filter(F.col("l_linenumber") == line).select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
+    return cat.line_orders(line).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", *order_cols
     )
-    orders = t.orders.select("o_orderkey", *order_cols)
-    return items.join(orders, items.l_orderkey == orders.o_orderkey).drop("o_orderkey")
 
 
 def rating_rows(cat, line: int = 5) -> DataFrame:
