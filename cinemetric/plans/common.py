@@ -81,20 +81,34 @@ def movie_facts(cat, with_genres: bool = True) -> DataFrame:
     third of all ratings costs one partial row per task.  Queries join this once to their
     candidate movies instead of re-deriving the candidates inside each enrichment branch.
     """
-    rating_rows = cat.ratings.select("movie_id", "rating", F.lit(None).cast("string").alias("genre_name"))
-    facts = rating_rows
-    if with_genres:
-        genre_rows = cat.movie_genres.join(cat.genres, "genre_id").select(
-            "movie_id", F.lit(None).cast("decimal(3,1)").alias("rating"), "genre_name"
-        )
-        facts = rating_rows.unionByName(genre_rows)
+    named = cat.movie_genres.join(cat.genres, "genre_id").select("movie_id", "genre_name") if with_genres else None
+    return facts_from(cat.ratings, named)
+
+
+def facts_from(ratings: DataFrame, named_genres: DataFrame | None) -> DataFrame:
+    """``movie_facts`` over explicit inputs: ratings ``(movie_id, rating)`` and genre names
+    ``(movie_id, genre_name)`` (``None`` = ratings only)."""
+    facts = ratings.select("movie_id", "rating", F.lit(None).cast("string").alias("genre_name"))
+    if named_genres is not None:
+        genre_rows = named_genres.select("movie_id", F.lit(None).cast("decimal(3,1)").alias("rating"), "genre_name")
+        facts = facts.unionByName(genre_rows)
     aggs = [F.sum("rating").alias("rating_sum"), F.count("rating").alias("rating_count")]
-    if with_genres:
+    if named_genres is not None:
         names = F.array_sort(F.collect_set("genre_name"))
         aggs.append(F.when(F.size(names) > 0, F.array_join(names, ", ")).alias("genres"))
     return facts.groupBy("movie_id").agg(*aggs)
 
 
+def refresh_facts(facts: DataFrame, ratings: DataFrame, named_genres: DataFrame, changed: DataFrame) -> DataFrame:
+    """Incremental maintenance of the stored facts after a change batch: rows of the
+    ``changed`` movies are re-aggregated from the (new) ratings and genres — both
+    semi-joined to the changed ids first — and replace the old rows; all other rows are kept
+    as they are.  Cost grows with the batch, not with the table."""
+    ids = changed.select("movie_id")
+    fresh = facts_from(ratings.join(ids, "movie_id", "left_semi"), named_genres.join(ids, "movie_id", "left_semi"))
+    return facts.join(ids, "movie_id", "left_anti").unionByName(fresh)
+
+
 def facts_of(cat, with_genres: bool = True) -> DataFrame:
     """The per-movie facts: the stored table when the catalogue was materialised (the load
     job keeps it current), else computed on the fly by ``movie_facts``."""

@@ -141,6 +141,17 @@ def ratings_after_upsert(cat) -> DataFrame:
     return W.upsert(cur, ST.rating_changes(cat).select("user_id", "movie_id", "rating"), ["user_id", "movie_id"])
 
 
+def facts_after_rating_batch(cat) -> DataFrame:
+    """W-02 + fact maintenance: upsert the rating batch, then refresh the per-movie facts of
+    the movies the batch touched only."""
+    from cinemetric.plans.common import facts_of, refresh_facts
+
+    changes = ST.rating_changes(cat).select("user_id", "movie_id", "rating")
+    ratings = W.upsert(cat.ratings.select("user_id", "movie_id", "rating"), changes, ["user_id", "movie_id"])
+    named = cat.movie_genres.join(cat.genres, "genre_id").select("movie_id", "genre_name")
+    return refresh_facts(facts_of(cat), ratings, named, changes)
+
+
 def ratings_strict_insert(cat, as_of) -> DataFrame:
     """W-03: the same batch as strict inserts; existing pairs are refused."""
     cur = cat.ratings.select("user_id", "movie_id", "rating", "created_at")
