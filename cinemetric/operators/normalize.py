@@ -94,6 +94,16 @@ def remap_rating_ids(ratings: DataFrame, links: DataFrame) -> DataFrame:
     return joined.select("userId", F.col("tmdbId").alias("movieId"), "rating", "timestamp")
 
 
+def remap_counts(ratings: DataFrame, merged: DataFrame) -> DataFrame:
+    """A-18 for N-12: ratings before the id remap, after it, and lost (one pass each side,
+    no join between them)."""
+    sides = ratings.select(F.lit(0).alias("_side")).unionByName(merged.select(F.lit(1).alias("_side")))
+    return sides.agg(
+        F.count_if(F.col("_side") == 0).alias("original_ratings"),
+        F.count_if(F.col("_side") == 1).alias("merged_ratings"),
+    ).withColumn("lost_ratings", F.col("original_ratings") - F.col("merged_ratings"))
+
+
 def load_counts(accepted: DataFrame, rejected: DataFrame, label: str) -> DataFrame:
     """A-18: one audit row: input = ok + errors."""
     flags = accepted.select(F.lit(True).alias("_ok")).unionByName(rejected.select(F.lit(False).alias("_ok")))

@@ -90,6 +90,11 @@ def keywords_loaded(cat) -> DataFrame:
     return I.parse_keyword_rows(ST.keyword_rows(cat))
 
 
+def remap_audit(cat) -> DataFrame:
+    """A-18 for N-12: original / merged / lost rating counts of the id remap."""
+    return N.remap_counts(ST.small_ratings(cat), remapped_ratings(cat))
+
+
 # -- V: validation ---------------------------------------------------------------------------
 
 

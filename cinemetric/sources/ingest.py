@@ -165,8 +165,8 @@ def read_links(spark: SparkSession, path: str) -> DataFrame:
 
 
 # Raw movie-file columns the cleaned file does not keep.
-PRUNED_MOVIE_COLUMNS = ("belongs_to_collection", "homepage", "imdb_id", "video", "budget", "revenue", "status",
-                        "vote_average", "vote_count", "production_countries", "spoken_languages")
+PRUNED_MOVIE_COLUMNS = ("belongs_to_collection", "budget", "homepage", "imdb_id", "production_countries",
+                        "spoken_languages", "status", "title", "video", "vote_average", "vote_count")
 
 
 def prune_columns(df: DataFrame, columns=PRUNED_MOVIE_COLUMNS) -> DataFrame:

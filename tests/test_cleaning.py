@@ -122,5 +122,5 @@ def test_convert_string_lists_counts(spark):
 def test_prune_columns(spark):
     from cinemetric.sources.ingest import prune_columns
 
-    df = spark.createDataFrame([(1, "x", "y")], "id int, homepage string, title string")
-    assert prune_columns(df).columns == ["id", "title"]
+    df = spark.createDataFrame([(1, "x", "y", "z")], "id int, homepage string, title string, original_title string")
+    assert prune_columns(df).columns == ["id", "original_title"]
