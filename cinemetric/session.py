@@ -55,11 +55,14 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (a local test run) is a fresh
-    scratch folder created and registered.
+    The cluster's setting always wins.  Only when it is unset in local mode (tests) is a fresh
+    scratch folder created and registered; on a cluster an unset setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder would not survive the loss of the executor that wrote it
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for cluster runs")
         configured = tempfile.mkdtemp(prefix="cinemetric-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
