@@ -151,3 +151,23 @@ def test_bad_child_rejects_whole_input_row(spark):
     assert sorted(r.name for r in accepted["cast"].collect()) == ["c3"]   # c2 is fine but shares movie 1
     got = {r.movie_id: r.reasons for r in rejected.collect()}
     assert got == {1: ["cast: credit_id longer than 50"], 3: ["movies: title is required"]}
+
+
+def test_hot_key_top_k_and_last_wins(spark):
+    from pyspark.sql import Window
+
+    from cinemetric.plans.common import top_k_per_group
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1).alias("k"),   # key 0: a third of the rows
+        F.col("id"), ((F.col("id") * 7919) % 100003).alias("v"),
+    )
+    order = [F.col("v").desc(), F.col("id")]
+    got = top_k_per_group(df, ["k"], order, 5, ["id"])
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(*order))).filter("r <= 5").drop("r")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    last = last_by(df, ["k"], ["v", "id"], ["id"])
+    want_last = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(F.col("v").desc(), F.col("id").desc())))
+    want_last = want_last.filter("r = 1").select("k", "id")
+    assert last.exceptAll(want_last).count() == 0 and want_last.exceptAll(last).count() == 0
