@@ -118,6 +118,33 @@ def facts_of(cat, with_genres: bool = True) -> DataFrame:
     return movie_facts(cat, with_genres)
 
 
+def search_documents(cat) -> DataFrame:
+    """One search document per movie: scalars, exact rating facts, the genre-name list and
+    the embedded genre / company / cast lists (sorted by id), built with one list aggregation
+    (``nested_lists``) and two joins.  The load writes it; probe-style queries then filter it
+    with higher-order array predicates in a single scan instead of joining bridges."""
+    people = cat.people.select("person_id", "name")
+    lists = nested_lists({
+        "genre_list": (cat.movie_genres.join(cat.genres, "genre_id"),
+                       F.struct(F.col("genre_id").alias("id"), F.col("genre_name").alias("name"))),
+        "company_list": (cat.movie_production_companies.join(cat.production_companies, "company_id"),
+                         F.struct(F.col("company_id").alias("id"), F.col("name").alias("name"))),
+        "cast_list": (cat.movie_cast.join(people, "person_id"),
+                      F.struct(F.col("person_id").alias("id"), "name", "character")),
+    })
+    movies = cat.movies.select("movie_id", "title", "released_date", "overview", "runtime", "popularity")
+    out = movies.join(facts_of(cat), "movie_id", "left").join(lists, "movie_id", "left")
+    return out.select(
+        *movies.columns, "rating_sum", "rating_count", "genres",
+        *[F.coalesce(F.array_sort(c), F.array()).alias(c) for c in ("genre_list", "company_list", "cast_list")],
+    )
+
+
+def search_docs_of(cat) -> DataFrame | None:
+    """The stored search documents when the catalogue was materialised, else ``None``."""
+    return getattr(cat, "stored_search", None)
+
+
 def ilike_contains(c, text: str) -> Column:
     """``c ILIKE '%text%'`` (F-03); ``%`` and ``_`` inside ``text`` stay wildcards."""
     c = F.col(c) if isinstance(c, str) else c

@@ -11,7 +11,15 @@ from pyspark.sql import functions as F
 
 from cinemetric.functions.ordering import top_k
 from cinemetric.plans import search as S
-from cinemetric.plans.common import ilike_contains, year_range
+from cinemetric.plans.common import ilike_contains, search_docs_of, year_range
+
+
+def _matches(docs: DataFrame, list_col: str, text: str, *fields: str) -> DataFrame:
+    """One row per (movie, matching list element): the array form of a bridge join."""
+    hits = F.explode(F.filter(list_col, lambda x: x["name"].ilike(f"%{text}%"))).alias("_m")
+    return docs.select("movie_id", "title", "released_date", hits).select(
+        "movie_id", "title", "released_date", *[F.col(f"_m.{f}").alias(a) for f, a in fields]
+    )
 
 
 def probe_title(cat, text: str, limit: int = 50) -> DataFrame:
@@ -20,6 +28,10 @@ def probe_title(cat, text: str, limit: int = 50) -> DataFrame:
 
 
 def probe_genre(cat, genre: str, limit: int = 50) -> DataFrame:
+    docs = search_docs_of(cat)
+    if docs is not None:  # one scan of the search documents
+        m = _matches(docs, "genre_list", genre, ("id", "genre_id"))
+        return top_k(m, [F.col("movie_id"), F.col("genre_id")], limit).drop("genre_id")
     g = cat.genres.filter(ilike_contains("genre_name", genre)).select("genre_id")
     pairs = cat.movie_genres.join(g, "genre_id", "left_semi")
     m = cat.movies.select("movie_id", "title", "released_date").join(pairs, "movie_id")
@@ -32,6 +44,12 @@ def probe_year_range(cat, year_from: int, year_to: int, limit: int = 50) -> Data
 
 
 def probe_actor(cat, actor: str, limit: int = 50) -> DataFrame:
+    docs = search_docs_of(cat)
+    if docs is not None:  # one scan of the search documents
+        m = _matches(docs, "cast_list", actor, ("id", "person_id"), ("character", "character"))
+        return top_k(m, [F.col("movie_id"), F.col("person_id")], limit).select(
+            "movie_id", "title", "released_date", "character"
+        )
     p = cat.people.filter(ilike_contains("name", actor)).select("person_id")
     cast = cat.movie_cast.join(p, "person_id", "left_semi")
     m = cat.movies.select("movie_id", "title", "released_date").join(cast, "movie_id")

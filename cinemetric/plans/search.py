@@ -25,6 +25,7 @@ from cinemetric.plans.common import (
     keep_movies,
     facts_of,
     nested_lists,
+    search_docs_of,
     null_as_zero,
     rating_stats,
     top_k_per_group,
@@ -127,6 +128,13 @@ def deep_fetch(cat, movie_ids: DataFrame | None = None, movie_id: Column | None
         df = keep_movies(df, movie_ids)
         return df.filter(F.col("movie_id") == movie_id) if movie_id is not None else df
 
+    docs = search_docs_of(cat)
+    if docs is not None:  # one scan of the search documents
+        out = pick(docs).select(
+            "movie_id", "title", "released_date", "overview", "runtime",
+            F.array_sort("genre_list").alias("genres"), F.array_sort("company_list").alias("production_companies"),
+        )
+        return out
     movies = pick(cat.movies).select("movie_id", "title", "released_date", "overview", "runtime")
     g = pick(cat.movie_genres).join(cat.genres, "genre_id")
     c = pick(cat.movie_production_companies).join(cat.production_companies, "company_id")
@@ -280,8 +288,17 @@ def combined_search(
     """Q-10: optional title / genre (partial) / actor (partial) / year-range filters, each
     applied as a semi-join only when given (join elision); every movie kept with AVG 0 when
     unrated; the genre list shows all genres of the movie."""
-    movies = cat.movies.select("movie_id", "title", "released_date", "popularity")
     pred = all_of([ilike_contains("title", title) if title else None, year_range("released_date", year_start, year_end)])
+    docs = search_docs_of(cat)
+    if docs is not None:
+        # one scan: the genre / actor filters are array predicates on the search documents
+        out = docs.filter(all_of([
+            pred,
+            F.exists("genre_list", lambda g: g["name"].ilike(f"%{genre}%")) if genre else None,
+            F.exists("cast_list", lambda c: c["name"].ilike(f"%{actor}%")) if actor else None,
+        ]) if (pred is not None or genre or actor) else F.lit(True))
+        return _combined_output(out, sort_by, limit)
+    movies = cat.movies.select("movie_id", "title", "released_date", "popularity")
     if pred is not None:
         movies = movies.filter(pred)
     if genre:
@@ -290,7 +307,10 @@ def combined_search(
     if actor:
         p = cat.people.filter(ilike_contains("name", actor)).select("person_id")
         movies = movies.join(cat.movie_cast.join(p, "person_id", "left_semi").select("movie_id"), "movie_id", "left_semi")
-    out = movies.join(facts_of(cat), "movie_id", "left")
+    return _combined_output(movies.join(facts_of(cat), "movie_id", "left"), sort_by, limit)
+
+
+def _combined_output(out: DataFrame, sort_by: str, limit: int | None) -> DataFrame:
     avg0 = F.coalesce(exact_avg(), F.lit(0.0))
     out = out.select(
         "movie_id",

@@ -322,7 +322,7 @@ def materialize(cat: Catalogue, folder: str, files_per_view: int | None = None)
     from the *written* base tables.  Each phase starts from files (short lineage: a lost
     executor recomputes from Parquet, not from the raw joins), and shared inputs are
     computed once."""
-    from cinemetric.plans.common import movie_facts
+    from cinemetric.plans.common import movie_facts, search_documents
 
     spark = cat.spark
 
@@ -354,6 +354,9 @@ def materialize(cat: Catalogue, folder: str, files_per_view: int | None = None)
     for name in DERIVED_VIEWS:
         write(name, getattr(stored_base, name))
     write("movie_facts", movie_facts(stored_base))
+    # phase 3: per-movie search documents, from the written base tables and facts
+    docs_base = StoredCatalogue(spark, folder, cat.tables.folder)
+    write("movie_search", search_documents(docs_base))
     return StoredCatalogue(spark, folder, cat.tables.folder)
 
 
@@ -376,8 +379,16 @@ class StoredCatalogue:
         """Per-movie rating sum/count and genre list written by ``materialize``."""
         return getattr(self, "movie_facts")  # instance cache first, then __getattr__
 
+    @property
+    def stored_search(self) -> DataFrame | None:
+        """Per-movie search documents written by ``materialize`` (``None`` if absent)."""
+        try:
+            return getattr(self, "movie_search")
+        except Exception:  # noqa: BLE001 - catalogue written before search documents existed
+            return None
+
     def __getattr__(self, name: str):
-        if name in STORED_VIEWS or name == "movie_facts":
+        if name in STORED_VIEWS or name in ("movie_facts", "movie_search"):
             df = self.spark.read.parquet(f"{self.folder}/{name}")
             self.__dict__[name] = df
             return df
