@@ -175,8 +175,11 @@ def deep_fetch_as_text(df: DataFrame) -> DataFrame:
 def title_search(cat, text: str, limit: int = 20, offset: int = 0) -> DataFrame:
     """Q-02: title ILIKE, exact AVG, rating count, all genre names; AVG DESC NULLS LAST,
     popularity DESC (nulls first)."""
-    movies = cat.movies.filter(ilike_contains("title", text))
-    out = movies.join(facts_of(cat), "movie_id", "left")
+    docs = search_docs_of(cat)
+    if docs is not None:  # one scan of the search documents (facts already attached)
+        out = docs.filter(ilike_contains("title", text))
+    else:
+        out = cat.movies.filter(ilike_contains("title", text)).join(facts_of(cat), "movie_id", "left")
     out = out.select(
         "movie_id",
         "title",
@@ -203,20 +206,31 @@ def _movies_with_avg(cat, movies: DataFrame, with_count: bool) -> DataFrame:
 
 def genre_search(cat, genre_name: str, limit: int = 20, offset: int = 0) -> DataFrame:
     """Q-03: movies of the genre with this exact name; AVG + COUNT; popularity DESC."""
-    genre = cat.genres.filter(F.col("genre_name") == genre_name).select("genre_id")
-    ids = cat.movie_genres.join(genre, "genre_id", "left_semi").select("movie_id").distinct()
-    movies = keep_movies(cat.movies, ids).select("movie_id", "title", "released_date", "popularity")
-    out = _movies_with_avg(cat, movies, True)
+    docs = search_docs_of(cat)
+    if docs is not None:  # one scan: exact-name array predicate on the embedded genres
+        hit = docs.filter(F.exists("genre_list", lambda g: g["name"] == F.lit(genre_name)))
+        out = hit.select("movie_id", "title", "released_date", "popularity", exact_avg().alias("avg_rating"),
+                         F.coalesce("rating_count", F.lit(0)).alias("num_ratings"))
+    else:
+        genre = cat.genres.filter(F.col("genre_name") == genre_name).select("genre_id")
+        ids = cat.movie_genres.join(genre, "genre_id", "left_semi").select("movie_id")
+        movies = keep_movies(cat.movies, ids).select("movie_id", "title", "released_date", "popularity")
+        out = _movies_with_avg(cat, movies, True)
     out = top_k(out, [pg_desc("popularity"), F.col("movie_id")], limit, offset)
     return out.withColumn("popularity", F.col("popularity").cast("double"))
 
 
 def company_search(cat, company_name: str, limit: int = 20, offset: int = 0) -> DataFrame:
     """Q-04: movies of the company with this exact name; AVG only; popularity DESC."""
-    comp = cat.production_companies.filter(F.col("name") == company_name).select("company_id")
-    ids = cat.movie_production_companies.join(comp, "company_id", "left_semi").select("movie_id").distinct()
-    movies = keep_movies(cat.movies, ids).select("movie_id", "title", "released_date", "popularity")
-    out = _movies_with_avg(cat, movies, False)
+    docs = search_docs_of(cat)
+    if docs is not None:  # one scan: exact-name array predicate on the embedded companies
+        hit = docs.filter(F.exists("company_list", lambda c: c["name"] == F.lit(company_name)))
+        out = hit.select("movie_id", "title", "released_date", "popularity", exact_avg().alias("avg_rating"))
+    else:
+        comp = cat.production_companies.filter(F.col("name") == company_name).select("company_id")
+        ids = cat.movie_production_companies.join(comp, "company_id", "left_semi").select("movie_id")
+        movies = keep_movies(cat.movies, ids).select("movie_id", "title", "released_date", "popularity")
+        out = _movies_with_avg(cat, movies, False)
     out = top_k(out, [pg_desc("popularity"), F.col("movie_id")], limit, offset)
     return out.withColumn("popularity", F.col("popularity").cast("double"))
 
@@ -230,8 +244,13 @@ def date_range_search(cat, start: str, end: str, limit: int = 20, offset: int =
 
 def min_rating_search(cat, min_rating: float, limit: int = 20, offset: int = 0) -> DataFrame:
     """Q-06: rated movies only, HAVING AVG >= min (exact); AVG DESC."""
-    stats = facts_of(cat, False).filter((F.col("rating_count") > 0) & avg_at_least(min_rating))
-    out = cat.movies.join(stats, "movie_id").select(
+    docs = search_docs_of(cat)
+    rated = (F.col("rating_count") > 0) & avg_at_least(min_rating)
+    if docs is not None:  # one scan of the search documents
+        out = docs.filter(rated)
+    else:
+        out = cat.movies.join(facts_of(cat, False).filter(rated), "movie_id")
+    out = out.select(
         "movie_id", "title", "released_date", exact_avg().alias("avg_rating"), F.col("rating_count").alias("num_ratings")
     )
     return top_k(out, [pg_desc("avg_rating"), F.col("movie_id")], limit, offset)
@@ -375,8 +394,13 @@ def ratings_browse(
 ) -> DataFrame:
     """Q-12: rated movies with an AVG tier (HAVING), optional movie / rated-by-user filters,
     six sort modes (``random`` uses a seeded ``rand``)."""
-    groups = _browse_groups(cat, tier, movie_id, user_id)
-    movies = cat.movies.select("movie_id", "title", "released_date", "popularity").join(groups, "movie_id")
+    docs = search_docs_of(cat)
+    if docs is not None and movie_id is None and user_id is None:  # one scan of the search documents
+        cond = _avg_tier(tier)
+        movies = docs.filter((F.col("rating_count") > 0) & (cond if cond is not None else F.lit(True)))
+    else:
+        groups = _browse_groups(cat, tier, movie_id, user_id)
+        movies = cat.movies.select("movie_id", "title", "released_date", "popularity").join(groups, "movie_id")
     out = movies.select(
         "movie_id",
         "title",
