@@ -1,7 +1,8 @@
 """Benchmark: load the catalogue from the driver tables, then time the headline queries.
 
 Usage: ``python bench.py`` (env: ``BENCH_SF_DIR`` default /root/testdata/sf0.1,
-``BENCH_CPUS`` default 8, ``BENCH_RUNS`` default 3).  Prints one JSON line.
+``BENCH_CPUS`` default 8, ``BENCH_RUNS`` default 3, ``BENCH_EVENT_LOG`` an optional folder
+for Spark's event log, the place to read stage and task times from).  Prints one JSON line.
 
 Protocol (after the source's benchmark): each query's DataFrame is built once, like a
 prepared statement (client-side plan construction, reported per query in ``build_sec``);
@@ -44,8 +45,12 @@ def main() -> None:
     from cinemetric.session import build_session, checkpoint_dir
     from cinemetric.sources.catalogue import Catalogue, materialize
 
-    spark = build_session(f"local[{cpus}]", cpus * 2, app_name="cinemetric-bench",
-                          extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    event_log = os.environ.get("BENCH_EVENT_LOG")
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    spark = build_session(f"local[{cpus}]", cpus * 2, app_name="cinemetric-bench", extra=extra)
     import __spark_entry__ as entry
 
     registry = {**entry._search_queries(), **entry._event_queries(), **entry._document_queries(),
