@@ -51,10 +51,9 @@ def main() -> None:
         os.makedirs(event_log, exist_ok=True)
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
     spark = build_session(f"local[{cpus}]", cpus * 2, app_name="cinemetric-bench", extra=extra)
-    import __spark_entry__ as entry
+    from cinemetric import registry
 
-    registry = {**entry._search_queries(), **entry._event_queries(), **entry._document_queries(),
-                **entry._load_queries(), **entry._probe_queries()}
+    named = registry.all_queries()
 
     # the load writes into the shared folder named by spark.checkpoint.dir (never a
     # machine-local temp dir), one fresh sub-folder per run
@@ -68,7 +67,7 @@ def main() -> None:
     measurements: list[tuple[str, float]] = []
     for name in HEADLINE:
         start = time.perf_counter()
-        df = registry[name](cat)
+        df = named[name](cat)
         build[name] = round(time.perf_counter() - start, 4)
         samples = []
         for i in range(warmup + runs):

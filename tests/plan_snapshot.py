@@ -37,13 +37,12 @@ def main(argv):
     from cinemetric.session import build_session
     from cinemetric.sources.catalogue import Catalogue, StoredCatalogue
 
-    import __spark_entry__ as entry
+    from cinemetric import registry
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     stored_dir = argv[2] if len(argv) > 2 else None
     spark = build_session("local[8]", 16)
-    reg = {**entry._search_queries(), **entry._event_queries(), **entry._document_queries(),
-           **entry._load_queries(), **entry._probe_queries()}
+    reg = registry.all_queries()
     parts = ["# PLANS", "", f"Physical plans before execution (`{os.path.basename(sf_dir)}`, local[8], 16 shuffle",
              "partitions), condensed by `tests/plan_snapshot.py`.", ""]
     cat = Catalogue(spark, sf_dir)

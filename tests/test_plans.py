@@ -4,10 +4,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from cinemetric import registry
 
-REGISTRY = {**entry._search_queries(), **entry._event_queries(), **entry._document_queries(),
-            **entry._load_queries(), **entry._probe_queries()}
+REGISTRY = registry.all_queries()
 # only the file-parsing jobs may call Python (the literal-list fallback of C-01/C-02)
 PYTHON_ALLOWED = {"ingest_movies_parsed", "ingest_genre_dimension", "ingest_movie_genres", "ingest_company_dimension",
                   "ingest_movie_documents", "ingest_credit_documents", "ingest_keywords"}

@@ -4,10 +4,9 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from cinemetric import registry
 
-REGISTRY = {**entry._search_queries(), **entry._event_queries(), **entry._document_queries(),
-            **entry._load_queries(), **entry._probe_queries()}
+REGISTRY = registry.all_queries()
 
 
 @pytest.fixture(scope="module")
