@@ -190,16 +190,26 @@ def nested_lists(parts: dict[str, tuple[DataFrame, Column]], key: str = "movie_i
 
 
 def top_k_per_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, salt_from: Sequence[str], buckets: int = 32
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, salt_from: Sequence[str],
+    buckets: int | None = None,
 ) -> DataFrame:
     """Keep the first ``k`` rows of every group in ``order``.
 
-    Two windows: first per (group, salt bucket), then per group over at most
-    ``k * buckets`` survivors.  A group holding a third of the table is therefore ranked by
-    ``buckets`` tasks instead of one.
+    A salted tree of windows: rows are spread over B salt buckets per group (B =
+    ``spark.sql.shuffle.partitions``, at least 32) and each (group, bucket) keeps its first
+    ``k``; the survivors are merged into sqrt(B) buckets, then per group.  A group holding a
+    third of the table is therefore ranked by B tasks at the first level, and no later level
+    sees more than ``k * B`` rows of one group.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(buckets))
-    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    w2 = Window.partitionBy(*keys).orderBy(*order)
-    stage1 = df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= k)
-    return stage1.withColumn("_r", F.row_number().over(w2)).filter(F.col("_r") <= k).drop("_salt", "_r")
+    import math
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    b1 = buckets or max(32, n)
+    levels = [b1] + ([math.isqrt(b1)] if math.isqrt(b1) > 1 else [])
+    cur = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(b1)))
+    for b in levels:
+        cur = cur.withColumn("_salt", F.pmod(F.col("_salt"), F.lit(b)))
+        w = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        cur = cur.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return cur.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_salt", "_r")
