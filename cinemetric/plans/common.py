@@ -123,23 +123,35 @@ def search_documents(cat) -> DataFrame:
     the embedded genre / company / cast lists (sorted by id), built with one list aggregation
     (``nested_lists``) and two joins.  The load writes it; probe-style queries then filter it
     with higher-order array predicates in a single scan instead of joining bridges."""
-    people = cat.people.select("person_id", "name")
+    people = cat.people.select("person_id", "name", "gender")
     lists = nested_lists({
         "genre_list": (cat.movie_genres.join(cat.genres, "genre_id"),
                        F.struct(F.col("genre_id").alias("id"), F.col("genre_name").alias("name"))),
         "company_list": (cat.movie_production_companies.join(cat.production_companies, "company_id"),
                          F.struct(F.col("company_id").alias("id"), F.col("name").alias("name"))),
         "cast_list": (cat.movie_cast.join(people, "person_id"),
-                      F.struct(F.col("person_id").alias("id"), "name", "character")),
+                      F.struct(F.col("person_id").alias("id"), "name", "character", "gender", "cast_order")),
+        "crew_list": (cat.movie_crew.join(people, "person_id"),
+                      F.struct(F.col("person_id").alias("id"), "job", "name", "gender", "department")),
     })
-    movies = cat.movies.select("movie_id", "title", "released_date", "overview", "runtime", "popularity")
+    movies = cat.movies.select("movie_id", "title", "adult", "language", "released_date", "overview", "runtime",
+                               "popularity")
     out = movies.join(facts_of(cat), "movie_id", "left").join(lists, "movie_id", "left")
     return out.select(
         *movies.columns, "rating_sum", "rating_count", "genres",
-        *[F.coalesce(F.array_sort(c), F.array()).alias(c) for c in ("genre_list", "company_list", "cast_list")],
+        *[F.coalesce(F.array_sort(c), F.array()).alias(c)
+          for c in ("genre_list", "company_list", "cast_list", "crew_list")],
     )
 
 
+def resort(arr, keys, fields) -> Column:
+    """Re-order an array of structs by ``keys`` (functions of an element, compared in order,
+    then by the output fields) and reshape each element to ``fields`` ((name, function))."""
+    keyed = F.transform(arr, lambda x: F.struct(*[k(x).alias(f"k{i}") for i, k in enumerate(keys)],
+                                                *[f(x).alias(n) for n, f in fields]))
+    return F.transform(F.array_sort(keyed), lambda x: F.struct(*[x[n].alias(n) for n, _ in fields]))
+
+
 def search_docs_of(cat) -> DataFrame | None:
     """The stored search documents when the catalogue was materialised, else ``None``."""
     return getattr(cat, "stored_search", None)

@@ -25,6 +25,7 @@ from cinemetric.plans.common import (
     keep_movies,
     facts_of,
     nested_lists,
+    resort,
     search_docs_of,
     null_as_zero,
     rating_stats,
@@ -49,6 +50,9 @@ def movie_full_details(cat, movie_ids: DataFrame | None = None) -> DataFrame:
 
     The four lists come out of one aggregation over the union of the four bridge tables
     (``nested_lists``) and meet the movies in one join; the arrays hold one movie's credits."""
+    docs = search_docs_of(cat)
+    if docs is not None:  # one scan: the lists are embedded in the search documents
+        return _details_from_documents(keep_movies(docs, movie_ids))
     movies = keep_movies(cat.movies, movie_ids)
     stats = facts_of(cat, False).select("movie_id", "rating_sum", "rating_count")
     people = cat.people.select("person_id", "name", "gender")
@@ -92,6 +96,27 @@ def movie_full_details(cat, movie_ids: DataFrame | None = None) -> DataFrame:
     )
 
 
+def _details_from_documents(docs: DataFrame) -> DataFrame:
+    """Q-01 from the stored search documents: the embedded lists re-ordered as the relational
+    form orders them (genres / companies by name, cast by cast_order NULLS LAST, crew by
+    department, job, name)."""
+    f = lambda name: (name, lambda x: x[name])
+    return docs.select(
+        "movie_id", "title", "adult", "overview", "language",
+        zero_as_null("popularity").alias("popularity"), "released_date", "runtime",
+        zero_as_null(exact_avg()).alias("avg_rating"),
+        F.coalesce("rating_count", F.lit(0)).alias("num_ratings"),
+        resort("genre_list", [lambda x: x["name"]],
+               [("genre_id", lambda x: x["id"]), ("genre_name", lambda x: x["name"])]).alias("genres"),
+        resort("cast_list", [lambda x: x["cast_order"].isNull(), lambda x: x["cast_order"], lambda x: x["id"]],
+               [("person_id", lambda x: x["id"]), f("name"), f("gender"), f("character"), f("cast_order")]).alias("cast"),
+        resort("crew_list", [lambda x: x["department"], lambda x: x["job"], lambda x: x["name"], lambda x: x["id"]],
+               [("person_id", lambda x: x["id"]), f("name"), f("gender"), f("department"), f("job")]).alias("crew"),
+        resort("company_list", [lambda x: x["name"], lambda x: x["id"]],
+               [("company_id", lambda x: x["id"]), f("name")]).alias("production_companies"),
+    )
+
+
 def details_as_text(details: DataFrame) -> DataFrame:
     """Flatten the nested arrays of ``movie_full_details`` into ordered text columns."""
 
