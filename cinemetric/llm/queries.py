@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinemetric.llm import graph_search, mixing, packing, quality, range_join, secrets, simhash, token_files
+from cinemetric.llm import graph_search, kneser_ney, mixing, packing, quality, range_join, repeats, secrets, simhash, token_files
 from cinemetric.llm.shared import table, work_dir
 from cinemetric.llm.tokens import vocabulary
 
@@ -22,12 +22,24 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_documents(spark, path))
 
 
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = kneser_ney.train(docs.filter(id_crc32() % 10 != 0))
+    return kneser_ney.scored(docs, model).select(
+        "doc_id", (id_crc32() % 10 == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_tournament_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     packed = packing.pack(docs, vocabulary("byte_bpe_50k.json"), length=2048, end_id=1)
     return token_files.with_crc32(packed)
 
 
+def op4_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_digest(repeats.removed_spans(table(spark, sf_dir, "documents"), length=400))
+
+
 def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame):
     """The rule ensemble, learned from labels outside the held-out third."""
     labels = table(spark, sf_dir, "labels").filter(id_crc32() % 3 != 1)
@@ -67,7 +79,9 @@ def op10_pivot_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_kneser_ney": op2_kneser_ney,
     "op3_tournament_packing": op3_tournament_packing,
+    "op4_difference_cover": op4_difference_cover,
     "op5_rule_ensemble": op5_rule_ensemble,
     "op6_water_filling": op6_water_filling,
     "op7_byte_position_simhash": op7_byte_position_simhash,
