@@ -8,7 +8,6 @@ ends with a unique key so ``limit`` is deterministic.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
@@ -46,45 +45,13 @@ def mongo_desc(c) -> Column:
     return _col(c).desc_nulls_last()
 
 
-# From this many rows on, a top-k is reduced in a tree before the final merge.
-LARGE_TOP_K = 1000
-
-
 def top_k(df, order: list[Column], limit: int | None, offset: int = 0):
     """ORDER BY ... [OFFSET n] LIMIT k.  A plain order+limit plans as TakeOrderedAndProject
     (per-partition top-k, then one task merges k rows from every partition), never a full
-    global sort.  For large k that merge would receive k x partitions rows, so the input is
-    first cut down by ``tree_top_k``."""
-    if limit is not None and limit + offset >= LARGE_TOP_K:
-        df = tree_top_k(df, order, limit + offset)
+    global sort.  ``limit=None`` returns every row."""
     out = df.orderBy(*order)
     if offset:
         out = out.offset(offset)
     if limit is not None:
         out = out.limit(limit)
     return out
-
-
-def tree_top_k(df, order: list[Column], k: int):
-    """Rows that can be in the top ``k``: a superset, small enough for a final merge.
-
-    Level 0 keeps each input partition's first ``k`` rows (a local sort, no shuffle; the
-    position inside the partition comes from ``monotonically_increasing_id``).  Then the
-    partitions are merged in a tree: into B = ``spark.sql.shuffle.partitions`` buckets, then
-    into sqrt(B) buckets, keeping the first ``k`` rows of each bucket at every level.  The
-    final merge therefore sees at most ``k * sqrt(B)`` rows, whatever the input size."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    levels = [b for b in (n, math.isqrt(n)) if b > 1]
-    mid = F.monotonically_increasing_id()
-    cur = (
-        df.sortWithinPartitions(*order)
-        .withColumn("_mid", mid)
-        .withColumn("_grp", F.shiftright(F.col("_mid"), 33))
-        .filter(F.col("_mid") - F.shiftleft(F.col("_grp"), 33) < k)
-        .drop("_mid")
-    )
-    for b in levels:
-        cur = cur.withColumn("_grp", F.pmod(F.col("_grp"), F.lit(b)))
-        w = Window.partitionBy("_grp").orderBy(*order)
-        cur = cur.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
-    return cur.drop("_grp")

@@ -1,8 +1,9 @@
 """Surrogate ids and first/last-wins de-duplication.
 
 * ``ordered_index`` gives dense 1-based ids in the order of a natural key (SERIAL ids of a
-  dimension loaded in name order, N-01).  It range-partitions the rows, numbers them inside
-  each partition and adds the row counts of the earlier partitions; no step funnels the rows
+  dimension loaded in name order, N-01).  The keys alone are range-partitioned and written with
+  their partition and place in it; the ids are numbered from that one written table, so they
+  are unique whatever is recomputed, and joined back to the rows.  No step funnels the rows
   through a single task.
 * ``first_by`` / ``last_by`` keep one row per key by an explicit sequence (source order).
   They are ``min_by``/``max_by`` aggregates, so Spark combines them map-side: a key holding a
@@ -11,11 +12,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinemetric.session import checkpoint_dir
+
 
 def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -24,28 +29,34 @@ def _cols(cols) -> list[Column]:
 def ordered_index(df: DataFrame, order_cols: Sequence[str], id_col: str, start: int = 1) -> DataFrame:
     """Append ``id_col``: the 1-based position of each row in ``order_cols`` order.
 
-    Rows must be unique on ``order_cols`` (call ``distinct`` first) so the ids are stable
-    when a stage is recomputed after an executor loss.
+    Rows must be unique on ``order_cols`` (call ``distinct`` first).  The numbered keys are
+    written to the shared checkpoint folder when this is called.
     """
     spark = df.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
+    path = f"{checkpoint_dir(spark)}/ids-{uuid.uuid4().hex}"
+    keys = df.select(*order_cols)
+    ranged = keys.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
     # monotonically_increasing_id = (partition index << 33) + position inside the partition.
-    tagged = (
-        ranged.withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright(F.col("_mid"), 33))
-        .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_part"), 33))
+    ranged.withColumn("_mid", F.monotonically_increasing_id()).write.parquet(path)
+    mid = F.col("_mid")
+    written = (
+        spark.read.schema(keys.schema.add("_mid", "long")).parquet(path)
+        .withColumn("_part", F.shiftright(mid, 33))
+        .withColumn("_pos", mid - F.shiftleft(F.shiftright(mid, 33), 33))
     )
     # One row per partition: the size of this table is bounded by the partition count,
     # which is what makes broadcasting it safe.
-    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = written.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    return (
-        tagged.join(F.broadcast(offsets), "_part")
-        .withColumn(id_col, (F.col("_offset") + F.col("_pos") + F.lit(start)).cast("int"))
-        .drop("_mid", "_part", "_pos", "_offset")
+    numbered = written.join(F.broadcast(offsets), "_part").select(
+        *order_cols, (F.col("_offset") + F.col("_pos") + F.lit(start)).cast("int").alias(id_col)
     )
+    if len(df.columns) == len(order_cols):
+        return numbered.select(*df.columns, id_col)
+    ids = numbered.select(*[F.col(c).alias(f"_k_{c}") for c in order_cols], id_col)
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in order_cols])
+    return df.join(ids, same).select(*df.columns, id_col)
 
 
 def first_by(df: DataFrame, keys: Sequence[str], seq: Sequence, values: Sequence[str]) -> DataFrame:

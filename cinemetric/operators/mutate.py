@@ -22,45 +22,56 @@ def _ntz(as_of) -> Column:
     return ntz(as_of)
 
 
-def insert_if_absent(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """W-01 (``ON CONFLICT DO NOTHING``): change rows whose key is new are appended (one per
-    key; the batch's first row by the remaining columns wins).  Returns (table, inserted)."""
+def _order(seq: str | Sequence[str]) -> Column:
+    return F.struct(*([seq] if isinstance(seq, str) else seq))
+
+
+def insert_if_absent(current: DataFrame, changes: DataFrame, keys: Sequence[str], seq: str | Sequence[str]
+                     ) -> tuple[DataFrame, DataFrame]:
+    """W-01 (``ON CONFLICT DO NOTHING``): change rows whose key is new are appended; of a key
+    that the batch repeats, the first row by ``seq``.  Returns (table, inserted)."""
     cols = current.columns
     values = [c for c in cols if c not in keys]
-    fresh = changes.select(*cols).join(current.select(*keys), list(keys), "left_anti")
-    # one row per new key; ties inside the batch resolve to the smallest values (deterministic)
-    fresh = (first_by(fresh, keys, values, values) if values else fresh.distinct()).select(*cols)
+    fresh = changes.join(current.select(*keys), list(keys), "left_anti")
+    order = [seq] if isinstance(seq, str) else list(seq)
+    fresh = (first_by(fresh, keys, order, values) if values else fresh.select(*keys).distinct()).select(*cols)
     return current.unionByName(fresh), fresh
 
 
-def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
-    """W-02 (``ON CONFLICT DO UPDATE`` / ``$set`` with upsert): changes replace or add rows.
-    With ``seq`` the batch may hold a key several times and the largest ``seq`` wins."""
+def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str], seq: str | Sequence[str]) -> DataFrame:
+    """W-02 (``ON CONFLICT DO UPDATE`` / ``$set`` with upsert): of a key that the batch repeats
+    the largest ``seq`` wins; columns that the batch does not hold keep their current value
+    (NULL on added rows).  Rows with a NULL key are no changes."""
     cols = current.columns
-    batch = changes
-    if seq is not None:
-        batch = batch.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in cols if c not in keys]), seq).alias("_v")).select(
-            *keys, *[F.col(f"_v.{c}").alias(c) for c in cols if c not in keys]
-        )
-    batch = batch.select(*cols)
-    return current.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
-
-
-def strict_insert(current: DataFrame, changes: DataFrame, keys: Sequence[str], as_of=None,
+    given = [c for c in cols if c in changes.columns and c not in keys]
+    known = changes.dropna(subset=list(keys))
+    batch = known.groupBy(*keys).agg(F.max_by(F.struct(F.lit(True).alias("_hit"), *given), _order(seq)).alias("_v"))
+    if given == [c for c in cols if c not in keys]:  # whole rows: replace
+        rows = batch.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in given]).select(*cols)
+        return current.join(batch.select(*keys), list(keys), "left_anti").unionByName(rows)
+    merged = current.withColumn("_cur", F.lit(True)).join(batch, list(keys), "full")
+    return merged.select(*[
+        c if c in keys or c not in given else F.when(F.col("_v._hit"), F.col(f"_v.{c}")).otherwise(F.col(c)).alias(c)
+        for c in cols
+    ])
+
+
+def strict_insert(current: DataFrame, changes: DataFrame, keys: Sequence[str], seq: str | Sequence[str], as_of=None,
                   stamp_cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """W-03: insert where a duplicate key (existing, or repeated in the batch) is an error.
+    """W-03: insert where a duplicate key is an error.  Of a key that the batch repeats, the
+    first row by ``seq`` (which must be unique) is inserted and the later ones are refused.
     ``stamp_cols`` are set to ``as_of``.  Returns (table, outcome per change row)."""
     batch = changes
     for c in stamp_cols:
         batch = batch.withColumn(c, _ntz(as_of))
-    dup_in_batch = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    firsts = batch.groupBy(*keys).agg(F.min(_order(seq)).alias("_first"))
     exists = current.select(*keys).distinct().withColumn("_exists", F.lit(True))
-    judged = batch.join(dup_in_batch, list(keys)).join(exists, list(keys), "left").withColumn(
+    judged = batch.join(firsts, list(keys)).join(exists, list(keys), "left").withColumn(
         "outcome",
         F.when(F.col("_exists").isNotNull(), F.lit("duplicate key"))
-        .when(F.col("_n") > 1, F.lit("duplicate in batch"))
+        .when(_order(seq) != F.col("_first"), F.lit("duplicate in batch"))
         .otherwise(F.lit("inserted")),
-    ).drop("_n", "_exists")
+    ).drop("_first", "_exists")
     good = judged.filter(F.col("outcome") == "inserted").select(*current.columns)
     return current.unionByName(good), judged
 

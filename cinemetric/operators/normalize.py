@@ -42,12 +42,17 @@ def bridge_from_lists(staged: DataFrame, key: str, list_col: str, dim: DataFrame
 
 def upsert_people(credits: DataFrame, seq: Sequence[str]) -> DataFrame:
     """N-05/N-06: people from credit rows ``(tmdb_id, name, gender, profile_path, seq...)``.
-    With a tmdb_id the *last* row wins name/gender/profile; without one, rows are the same
-    person when (name, profile_path) match null-safely and the first row's gender is kept."""
+    With a tmdb_id the *last* row wins name/gender/profile.  Without one, a row is a person
+    that is known already, with a tmdb_id or without, when (name, profile_path) match
+    null-safely; the first row of a new person keeps its gender."""
     with_id = last_by(credits.filter(F.col("tmdb_id").isNotNull()), ["tmdb_id"], seq, ["name", "gender", "profile_path"])
     no_id = credits.filter(F.col("tmdb_id").isNull())
     # null-safe grouping: a NULL profile_path forms its own group, as IS NOT DISTINCT FROM does
     anon = first_by(no_id, ["name", "profile_path"], seq, ["gender"]).withColumn("tmdb_id", F.lit(None).cast("long"))
+    named = with_id.select(F.col("name").alias("_name"), F.col("profile_path").alias("_path"))
+    anon = anon.join(
+        named, F.col("name").eqNullSafe(F.col("_name")) & F.col("profile_path").eqNullSafe(F.col("_path")), "left_anti"
+    )
     people = with_id.select("tmdb_id", "name", "gender", "profile_path").unionByName(
         anon.select("tmdb_id", "name", "gender", "profile_path")
     )

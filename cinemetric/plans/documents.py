@@ -42,11 +42,9 @@ def combined_search(
     sort_by: str = "popularity",
     limit: int = 100,
     title: str | None = None,
-    actor_credit_cap: int | None = None,
 ) -> DataFrame:
     """Q-11: document flavour of the combined search.  The actor filter is a semi-join with
-    the credits whose cast names match (the source reads only its first 500 such credits;
-    ``actor_credit_cap`` reproduces that when set, default: all of them)."""
+    all credits whose cast names match."""
     docs = movies
     preds = []
     if title:
@@ -62,8 +60,6 @@ def combined_search(
         docs = docs.filter(p)
     if actor:
         hits = credits.filter(F.exists("cast", lambda c: c["name"].rlike(_rx(actor)))).select("id")
-        if actor_credit_cap is not None:
-            hits = hits.orderBy("id").limit(actor_credit_cap)
         docs = docs.join(hits, "id", "left_semi")
     filtered = bool(preds) or bool(actor)
     ids = docs.select(F.col("id").alias("movieId")) if filtered else None
@@ -97,24 +93,16 @@ def _rating_tier(tier: str) -> Column | None:
     }.get(tier)
 
 
-def _newest_ratings(ratings: DataFrame, read_cap: int | None) -> DataFrame:
-    if read_cap is None:
-        return ratings
-    return top_k(ratings, [mongo_desc("timestamp"), F.col("userId"), F.col("movieId")], read_cap)
-
-
 def ratings_list(
     ratings: DataFrame,
     movie_id: int | None = None,
     user_id: int | None = None,
     tier: str = "all",
     sort_by: str = "created_desc",
-    limit: int = 200,
-    read_cap: int | None = 10000,
+    limit: int | None = 200,
 ) -> DataFrame:
-    """Q-26 / O-10: the source reads the newest ``read_cap`` ratings, then filters, sorts and
-    pages them; ``read_cap=None`` filters the whole table instead."""
-    r = _newest_ratings(ratings, read_cap)
+    """Q-26 / O-10: filters over the whole table, sorted and paged."""
+    r = ratings
     if movie_id is not None:
         r = r.filter(F.col("movieId") == movie_id)
     if user_id is not None:
@@ -132,9 +120,9 @@ def ratings_list(
     return top_k(r, keys + [F.col("userId"), F.col("movieId")], limit)
 
 
-def ratings_list_counts(ratings: DataFrame, movie_id=None, user_id=None, tier="all", read_cap: int | None = 10000) -> DataFrame:
-    """Q-26 counters: ratings read and ratings left after the filters."""
-    r = _newest_ratings(ratings, read_cap)
+def ratings_list_counts(ratings: DataFrame, movie_id=None, user_id=None, tier="all") -> DataFrame:
+    """Q-26 counters: all ratings and ratings left after the filters."""
+    r = ratings
     preds = [p for p in (
         F.col("movieId") == movie_id if movie_id is not None else None,
         F.col("userId") == user_id if user_id is not None else None,

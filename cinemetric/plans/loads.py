@@ -62,6 +62,13 @@ def people_upsert(cat) -> DataFrame:
     return N.upsert_people(ST.people_rows(cat), ST.LINE_SEQ)
 
 
+def people_id_audit(cat) -> DataFrame:
+    """Surrogate ids are dense and unique: people, distinct ids and the largest id agree."""
+    return people_upsert(cat).agg(
+        F.count(F.lit(1)).alias("people"), F.count_distinct("person_id").alias("ids"), F.max("person_id").alias("max_id")
+    )
+
+
 def users_with_synthetic(cat) -> DataFrame:
     """N-11: profile users are the existing accounts; other raters become synthetic users."""
     existing = cat.user_profiles.select("user_id").withColumn("is_synthetic", F.lit(False))
@@ -141,9 +148,9 @@ def credit_load_audit(cat) -> DataFrame:
 
 
 def ratings_after_upsert(cat) -> DataFrame:
-    """W-02: the line-6 rating batch upserted into the ratings table."""
+    """W-02: all line-6 rating rows, repeated keys included, upserted into the ratings table."""
     cur = cat.ratings.select("user_id", "movie_id", "rating")
-    return W.upsert(cur, ST.rating_changes(cat).select("user_id", "movie_id", "rating"), ["user_id", "movie_id"])
+    return W.upsert(cur, ST.rating_rows(cat, 6), ["user_id", "movie_id"], ST.LINE_SEQ)
 
 
 def facts_after_rating_batch(cat) -> DataFrame:
@@ -152,7 +159,7 @@ def facts_after_rating_batch(cat) -> DataFrame:
     from cinemetric.plans.common import facts_of, refresh_facts
 
     changes = ST.rating_changes(cat).select("user_id", "movie_id", "rating")
-    ratings = W.upsert(cat.ratings.select("user_id", "movie_id", "rating"), changes, ["user_id", "movie_id"])
+    ratings = W.upsert(cat.ratings.select("user_id", "movie_id", "rating"), changes, ["user_id", "movie_id"], "rating")
     named = cat.movie_genres.join(cat.genres, "genre_id").select("movie_id", "genre_name")
     return refresh_facts(facts_of(cat), ratings, named, changes)
 
@@ -161,7 +168,7 @@ def ratings_strict_insert(cat, as_of) -> DataFrame:
     """W-03: the same batch as strict inserts; existing pairs are refused."""
     cur = cat.ratings.select("user_id", "movie_id", "rating", "created_at")
     batch = ST.rating_changes(cat).select("user_id", "movie_id", "rating")
-    _, outcome = W.strict_insert(cur, batch, ["user_id", "movie_id"], as_of, ["created_at"])
+    _, outcome = W.strict_insert(cur, batch, ["user_id", "movie_id"], "rating", as_of, ["created_at"])
     return outcome.select("user_id", "movie_id", "outcome")
 
 
@@ -176,7 +183,7 @@ def genres_insert_new(cat) -> DataFrame:
     numbered = ordered_index(fresh, ["genre_name"], "_rank").select(
         (top + F.col("_rank")).cast("int").alias("genre_id"), "genre_name"
     )
-    table, _ = W.insert_if_absent(cur, numbered, ["genre_id"])
+    table, _ = W.insert_if_absent(cur, numbered, ["genre_id"], "genre_name")
     return table
 
 

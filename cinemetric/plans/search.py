@@ -532,7 +532,7 @@ def _link_list(bridge: DataFrame, dim: DataFrame, dim_key: str, dim_name: str, m
     return top_k(out.select("movie_id", dim_key, "movie_title", dim_name), [F.col("movie_id"), F.col(dim_key)], limit)
 
 
-def movie_genre_list(cat, movie_id: int | None = None, genre_id: int | None = None, limit: int = 100) -> DataFrame:
+def movie_genre_list(cat, movie_id: int | None = None, genre_id: int | None = None, limit: int | None = 100) -> DataFrame:
     """Q-17: movie-genre links with titles and names, by (movie_id, genre_id)."""
     return _link_list(cat.movie_genres, cat.genres, "genre_id", "genre_name", cat.movies, movie_id, genre_id, limit)
 

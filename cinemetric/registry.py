@@ -93,7 +93,7 @@ def search_queries() -> dict[str, Query]:
         "cast_list_all_keys": lambda c: S.cast_list_by_key(c),
         "crew_list_all_keys": lambda c: S.crew_list_by_key(c),
         "list_links_cast_all": lambda c: S.list_links(c.movie_cast),
-        "movie_genre_list_all": lambda c: S.movie_genre_list(c),
+        "movie_genre_list_all": lambda c: S.movie_genre_list(c, limit=None),
     }
 
 
@@ -133,8 +133,8 @@ def document_queries() -> dict[str, Query]:
         ),
         "doc_combined_search_actor": lambda c: combined(c, actor=t.ACTOR, title=t.TITLE),
         "doc_combined_search_all": lambda c: combined(c),
-        "doc_ratings_list": lambda c: D.ratings_list(c.rating_documents, tier="high", sort_by="rating_desc", read_cap=None),
-        "doc_ratings_list_capped": lambda c: D.ratings_list(c.rating_documents, tier="low"),
+        "doc_ratings_list": lambda c: D.ratings_list(c.rating_documents, tier="high", sort_by="rating_desc"),
+        "doc_ratings_list_low": lambda c: D.ratings_list(c.rating_documents, tier="low"),
         "doc_ratings_list_counts": lambda c: D.ratings_list_counts(c.rating_documents, tier="excellent"),
         "doc_distinct_genres": lambda c: D.distinct_genres(c.movie_documents),
         "doc_distinct_companies": lambda c: D.distinct_companies(c.movie_documents, "r#0000000"),
@@ -195,7 +195,8 @@ def load_queries() -> dict[str, Query]:
         "ingest_ratings_upsert": L.ratings_upsert,
         "ingest_cast_first_wins": L.cast_first_wins,
         "ingest_crew_first_wins": L.crew_first_wins,
-        "ingest_people_upsert": lambda c: L.people_upsert(c).drop("person_id"),
+        "ingest_people_upsert": L.people_upsert,
+        "people_id_audit": L.people_id_audit,
         "ingest_synthetic_users": L.users_with_synthetic,
         "ingest_rating_id_remap": L.remapped_ratings,
         "rating_remap_audit": L.remap_audit,

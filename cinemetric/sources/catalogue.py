@@ -377,10 +377,8 @@ class StoredCatalogue:
         self.folder = folder
         self._raw = Catalogue(spark, raw_folder)
         self.tables = self._raw.tables
-        try:  # staging builders (loads jobs) read the staged line items too, when present
-            self._raw.__dict__["staged_lines"] = spark.read.parquet(f"{folder}/_staged_lines")
-        except Exception:  # noqa: BLE001 - a catalogue written without staged lines
-            pass
+        # staging builders (loads jobs) read the staged line items too
+        self._raw.__dict__["staged_lines"] = spark.read.parquet(f"{folder}/_staged_lines")
 
     @property
     def stored_facts(self) -> DataFrame:
@@ -388,12 +386,9 @@ class StoredCatalogue:
         return getattr(self, "movie_facts")  # instance cache first, then __getattr__
 
     @property
-    def stored_search(self) -> DataFrame | None:
-        """Per-movie search documents written by ``materialize`` (``None`` if absent)."""
-        try:
-            return getattr(self, "movie_search")
-        except Exception:  # noqa: BLE001 - catalogue written before search documents existed
-            return None
+    def stored_search(self) -> DataFrame:
+        """Per-movie search documents written by ``materialize``."""
+        return getattr(self, "movie_search")
 
     def __getattr__(self, name: str):
         if name in STORED_VIEWS or name in ("movie_facts", "movie_search"):

@@ -32,7 +32,9 @@ def read_csv_strings(spark: SparkSession, path: str, header: bool = True) -> Dat
         spark.read.option("header", header).option("multiLine", True).option("quote", '"').option("escape", '"')
         .option("mode", "PERMISSIVE").option("encoding", "UTF-8").csv(path)
     )
-    return df.withColumn("seq", F.monotonically_increasing_id())
+    # file order: (file, position); Spark orders its read by file size, so the position alone is not enough
+    position = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    return df.withColumn("seq", position)
 
 
 def by_position(df: DataFrame, positions: dict[str, int]) -> DataFrame:
@@ -184,16 +186,16 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def upsert_into(spark: SparkSession, current_path: str, changes: DataFrame, key: str, out_path: str) -> None:
-    """S-12: keyed ``$set``-upsert of a change batch into a stored table; rows with a NULL
-    key are skipped.  The result is written as a new version at ``out_path``."""
+def upsert_into(spark: SparkSession, current_path: str, changes: DataFrame, key: str, seq: str, out_path: str) -> None:
+    """S-12: keyed ``$set``-upsert of a change batch, in ``seq`` order, into a stored table; rows
+    with a NULL key are skipped.  The result is written as a new version at ``out_path``."""
     current = spark.read.parquet(current_path)
-    merged = W.upsert(current, changes.filter(F.col(key).isNotNull()), [key])
+    merged = W.upsert(current, changes, [key], seq)
     merged.write.mode("overwrite").parquet(out_path)
 
 
-def insert_new(spark: SparkSession, current_path: str, batch: DataFrame, key: str, out_path: str) -> None:
-    """S-13: unordered batch insert where a duplicate unique key is skipped."""
+def insert_new(spark: SparkSession, current_path: str, batch: DataFrame, key: str, seq: str, out_path: str) -> None:
+    """S-13: batch insert where a duplicate unique key is skipped; the first row by ``seq`` stays."""
     current = spark.read.parquet(current_path)
-    table, _ = W.insert_if_absent(current, batch, [key])
+    table, _ = W.insert_if_absent(current, batch, [key], seq)
     table.write.mode("overwrite").parquet(out_path)

@@ -16,7 +16,7 @@ sys.path.insert(0, ROOT)
 
 RAW = ["title_search", "combined_search_rating", "movie_full_details", "event_funnel", "facet_counts",
        "conversion_funnel", "trending", "person_cast_roles", "sibling_genres", "ingest_ratings_upsert",
-       "validate_rating_rows", "doc_ratings_list_capped"]
+       "validate_rating_rows", "doc_ratings_list_low"]
 STORED = ["probe_combined", "probe_genre", "title_search", "movie_full_details", "genre_movies_all"]
 
 

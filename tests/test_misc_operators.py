@@ -70,30 +70,16 @@ def test_cascade_user_and_sinks(spark, scratch):
     assert out["users"].count() == 1 and out["ratings"].count() == 1
     base = os.path.join(scratch, "t0")
     spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string").write.parquet(base)
-    I.upsert_into(spark, base, spark.createDataFrame([(2, "B"), (None, "x"), (3, "c")], "id long, v string"), "id",
+    I.upsert_into(spark, base, spark.createDataFrame([(2, "B0", 1), (2, "B", 2), (None, "x", 3), (3, "c", 4)], "id long, v string, seq int"), "id", "seq",
                   os.path.join(scratch, "t1"))
     got = sorted((r.id, r.v) for r in spark.read.parquet(os.path.join(scratch, "t1")).collect())
     assert got == [(1, "a"), (2, "B"), (3, "c")]
-    I.insert_new(spark, base, spark.createDataFrame([(2, "B"), (4, "d")], "id long, v string"), "id",
+    I.insert_new(spark, base, spark.createDataFrame([(2, "B", 1), (4, "d", 2), (4, "a", 3)], "id long, v string, seq int"), "id", "seq",
                  os.path.join(scratch, "t2"))
     got = sorted((r.id, r.v) for r in spark.read.parquet(os.path.join(scratch, "t2")).collect())
     assert got == [(1, "a"), (2, "b"), (4, "d")]
 
 
-def test_tree_top_k_matches_plain_order_limit(spark):
-    from cinemetric.functions.ordering import top_k
-
-    df = spark.range(0, 20000, numPartitions=13).select(
-        F.col("id"), (F.col("id") * 7919 % 10007).alias("v"), F.when(F.col("id") % 97 == 0, None).otherwise(F.col("id") % 5).alias("w")
-    )
-    order = [F.col("w").desc_nulls_first(), F.col("v").asc(), F.col("id")]
-    want = [r.id for r in df.orderBy(*order).limit(1500).collect()]
-    got = [r.id for r in top_k(df, order, 1500).collect()]
-    assert got == want
-    got_off = [r.id for r in top_k(df, order, 1200, offset=300).collect()]
-    assert got_off == want[300:1500]
-
-
 class _Cat:
     def __init__(self, movies):
         self.movies = movies

@@ -32,10 +32,27 @@ def test_rating_upsert_keeps_first_created(spark):
     assert r.rating == 4.5 and r.created_at == t1 and r.updated_at == t2
 
 
+def test_surrogate_ids_are_unique_at_size(spark):
+    n = 2_000_000
+    rows = spark.range(n).select(
+        F.col("id").alias("tmdb_id"), F.concat(F.lit("n"), F.xxhash64("id").cast("string")).alias("name"),
+        F.lit(1).alias("gender"), F.lit(None).cast("string").alias("profile_path"), F.col("id").alias("seq"))
+    got = N.upsert_people(rows, ["seq"]).agg(
+        F.count(F.lit(1)), F.count_distinct("person_id"), F.max("person_id")).first()
+    assert tuple(got) == (n, n, n)
+
+
+def test_upsert_merges_fields(spark):
+    cur = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "k int, name string, v int")
+    ch = spark.createDataFrame([(2, 21, 1), (2, 22, 2), (3, 30, 3), (None, 9, 4)], "k int, v int, seq int")
+    got = sorted((r.k, r.name, r.v) for r in W.upsert(cur, ch, ["k"], "seq").collect())
+    assert got == [(1, "a", 10), (2, "b", 22), (3, None, 30)]
+
+
 def test_people_upsert_null_tmdb(spark):
     rows = spark.createDataFrame(
         [(7, "A", 1, "/a", 1), (7, "A2", 2, "/b", 2), (None, "X", 1, None, 3), (None, "X", 2, None, 4),
-         (None, "X", 1, "/p", 5), (None, "Y", 0, "/p", 6)],
+         (None, "X", 1, "/p", 5), (None, "Y", 0, "/p", 6), (None, "A2", 0, "/b", 7)],
         "tmdb_id long, name string, gender int, profile_path string, seq int")
     out = {(r.tmdb_id, r.name, r.profile_path): r.gender for r in N.upsert_people(rows, ["seq"]).collect()}
     assert out == {(7, "A2", "/b"): 2, (None, "X", None): 1, (None, "X", "/p"): 1, (None, "Y", "/p"): 0}
@@ -75,13 +92,13 @@ def test_retention_boundary(spark):
 def test_mutations(spark):
     cur = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "k int, name string, v int")
     ch = spark.createDataFrame([(2, "B", 21), (3, "c", 30), (3, "c2", 31)], "k int, name string, v int")
-    table, ins = W.insert_if_absent(cur, ch, ["k"])
+    table, ins = W.insert_if_absent(cur, ch, ["k"], "v")
     assert sorted((r.k, r.name) for r in table.collect()) == [(1, "a"), (2, "b"), (3, "c")]
     up = W.upsert(cur, ch.withColumn("seq", F.col("v")), ["k"], seq="seq")
     assert sorted((r.k, r.name) for r in up.collect()) == [(1, "a"), (2, "B"), (3, "c2")]
-    _, outcome = W.strict_insert(cur, ch, ["k"])
+    _, outcome = W.strict_insert(cur, ch, ["k"], "v")
     assert sorted((r.k, r.outcome) for r in outcome.collect()) == [
-        (2, "duplicate key"), (3, "duplicate in batch"), (3, "duplicate in batch")]
+        (2, "duplicate key"), (3, "duplicate in batch"), (3, "inserted")]
     part = spark.createDataFrame([(1, None, 99)], "k int, name string, v int")
     upd = {r.k: (r.name, r.v) for r in W.partial_update(cur, part, ["k"], ["name", "v"]).collect()}
     assert upd == {1: ("a", 99), 2: ("b", 20)}
