@@ -89,4 +89,24 @@ QUERIES = {
     "op9_secret_forest": op9_secret_forest,
     "op10_pivot_range_join": op10_pivot_range_join,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # all pairs of a label, then the smallest id reachable over links
+    "op10_pivot_range_join": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  SELECT a AS node, a AS seen FROM pairs
+  UNION
+  SELECT reach.node, pairs.b FROM reach JOIN pairs ON pairs.a = reach.seen),
+least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node),
+counts AS (SELECT a AS node, count(*) AS n FROM pairs GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, coalesce(l.component_id, e.vec_id) AS component_id,
+       e.vec_id = coalesce(l.component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN counts c ON c.node = e.vec_id LEFT JOIN least l ON l.node = e.vec_id""",
+}

@@ -177,9 +177,10 @@ def findings(docs: DataFrame, forest: str, doc_id: str = "doc_id", text: str = "
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).filter(F.col("text").rlike(CANDIDATE))
     found = scan(rows, forest, "text").withColumn("gaps", F.split("text", CANDIDATE, -1))
     found = found.filter(F.exists("_found", lambda c: c["score"] >= threshold))
-    each = found.select(
+    # numbered before the explode: all candidates of a text share its number
+    each = found.withColumn("row", F.monotonically_increasing_id()).select(
         "doc_id",
-        F.monotonically_increasing_id().alias("row"),
+        "row",
         F.posexplode(F.zip_with("_found", F.slice("gaps", 1, F.size("_found")), lambda c, g: F.struct(c["secret"].alias("secret"), c["score"].alias("score"), F.length(g).alias("gap")))).alias("i", "c"),
     )
     so_far = Window.partitionBy("row").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
