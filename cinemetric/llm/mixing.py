@@ -10,7 +10,8 @@ so one ordered window over the (small) per-source table finds the water level wi
 fraction that is left, whole documents in the order of a seeded hash up to the fraction: a
 histogram of the hash (partial sums before the shuffle) gives the bucket where the fraction
 ends, and one more document, the one whose size is nearest to what is still missing, closes the
-gap.  No window or sort ever runs over documents, so a source with most rows costs no more.
+gap.  No window ever runs over documents, and they meet their source's plan under a salt, so a
+source with most rows is spread over tasks.
 
 Defined cases: a null text has size 0 and takes 0 words; a source of size 0 has target 0; a null
 source is a source of its own, last in the order; rows with one ``doc_id``, source and size share
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKETS = 4096
+#: Tasks that a source's documents are spread over where they meet their source's plan.
+SALTS = 64
 
 
 def word_count(text: Column) -> Column:
@@ -123,7 +126,10 @@ def mix(
             (F.col("_part") - F.coalesce("_filled", F.lit(0))).alias("_open"),
         )
     )
-    placed = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    plan = plan.withColumn("_psalt", salts)
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(SALTS)))
+    placed = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_salt") == F.col("_psalt")))
     # closing document: nearest in size to the open words; none if leaving them open is nearer
     gap = F.abs(F.col("size") - F.col("_open"))
     closing = (
@@ -131,8 +137,9 @@ def mix(
         .groupBy(F.col("source").alias("_csource"))
         .agg(F.min(F.struct(gap.alias("gap"), F.col("_u").alias("u"), F.col("doc_id").alias("doc_id"))).alias("_close"))
         .withColumn("_has", F.lit(True))
+        .withColumn("_csalt", salts)
     )
-    out = placed.join(closing, F.col("source").eqNullSafe(F.col("_csource")), "left")
+    out = placed.join(closing, F.col("source").eqNullSafe(F.col("_csource")) & (F.col("_salt") == F.col("_csalt")), "left")
     closes = F.coalesce(F.col("_has"), F.lit(False)) & F.col("doc_id").eqNullSafe(F.col("_close.doc_id"))
     copies = F.col("_whole") + F.when((F.col("_bucket") <= F.col("_last")) | (closes & (gap == F.col("_close.gap"))), 1).otherwise(0)
     return out.withColumn("copies", copies.cast("long")).select(
