@@ -160,7 +160,8 @@ def build_index(
         )
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("dim", F.size("embedding"))
-    return dealt.groupBy("dim", "shard").applyInArrow(build, INDEX)
+    # building takes far more time than its bytes tell: keep a task per shard, do not merge small ones
+    return dealt.repartition(shards, "dim", "shard").groupBy("dim", "shard").applyInArrow(build, INDEX)
 
 
 def search_shard(index: pa.Table, queries: pa.Table, k: int, beam: int) -> pa.Table:
