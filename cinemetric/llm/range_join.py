@@ -4,8 +4,9 @@ Cosine ``c`` is Euclidean distance ``sqrt(2 - 2c)`` on unit vectors, which is a
 label, pivots partition the vectors: the nearest pivot's cell is a vector's home.  By the triangle
 inequality a vector can only have partners in a cell if its distance to that cell's pivot is at
 most the cell's radius plus the link distance, and at most its home distance plus twice the link
-distance; there it is replicated.  Every home vector then meets all its partners inside its own
-cell, so cells join independently, and the links of a vector are counted at its home alone.
+distance; the plane halfway between the two pivots must also be within the link distance.  There
+it is replicated.  Every home vector then meets all its partners inside its own cell, so cells
+join independently, and the links of a vector are counted at its home alone.
 
 Equal vectors collapse first, with their number as weight, so copies are never expanded.  Cells
 are joined block against block (``BLOCK`` rows each side), whatever a cell holds, and a block pair
@@ -119,6 +120,7 @@ def near_vectors(
 
     def place(batches, radius=None):
         """Home cell and its distance; with the cells' radius, the cells to be replicated to."""
+        apart = {} if radius is None else {k: _distances(p, p) for k, p in pivots.items()}
         for batch in batches:
             dims, labels = batch.column("dim").to_pylist(), batch.column("label").to_pylist()
             home, far = np.zeros(len(dims), np.int64), np.zeros(len(dims))
@@ -132,6 +134,8 @@ def near_vectors(
                 home[at], far[at] = d.argmin(axis=1), d.min(axis=1)
                 if radius is not None:
                     near = (d <= radius[key][None, :] + reach) & (d <= far[at][:, None] + 2 * reach)
+                    # a partner homed there lies beyond the plane halfway between the two pivots
+                    near &= d * d - far[at][:, None] ** 2 <= 2 * reach * apart[key][home[at]] + 1e-12
                     near[np.arange(len(at)), home[at]] = True
                     for k, row in zip(at, near):
                         cells[k] = np.flatnonzero(row).tolist()
