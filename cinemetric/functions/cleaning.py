@@ -53,14 +53,20 @@ def literal_list(c, element: T.DataType = NAMED_ITEM) -> Column:
 
 def jsonish(c, element: T.DataType = NAMED_ITEM) -> tuple[Column, Column]:
     """C-02: ``(parsed, raw)``.  NaN/''/'none'/'nan' → NULL; JSON first, literal second;
-    text that parses as neither keeps its raw string in the second column."""
+    text that parses as neither keeps its raw string in the second column.
+
+    Lists of quoted texts and numbers that read the same as a Python literal and as single-quoted
+    JSON (no escape, no bare word, no inner list) stay in ``from_json``; the Arrow fallback sees
+    only the rest."""
     raw = _c(c)
     s = F.trim(raw)
     missing = raw.isNull() | (s == "") | F.lower(s).isin("none", "nan")
     schema = T.ArrayType(element)
     direct = F.from_json(s, schema, {"allowSingleQuotes": "false"})
-    fallback = F.from_json(jsonish_to_json(only_when(~missing & direct.isNull(), s)), schema)
-    parsed = F.when(missing, F.lit(None).cast(schema)).otherwise(F.coalesce(direct, fallback))
+    plain = s.rlike(r"^\[[^\[\]\\]*\]$") & ~s.rlike(r"\b(null|true|false|NaN|Infinity|INF)\b")
+    quoted = F.from_json(only_when(direct.isNull() & plain, s), schema)
+    fallback = F.from_json(jsonish_to_json(only_when(~missing & direct.isNull() & quoted.isNull(), s)), schema)
+    parsed = F.when(missing, F.lit(None).cast(schema)).otherwise(F.coalesce(direct, quoted, fallback))
     kept_raw = F.when(~missing & parsed.isNull(), s)
     return parsed, kept_raw
 

@@ -207,21 +207,15 @@ def top_k_per_group(
 ) -> DataFrame:
     """Keep the first ``k`` rows of every group in ``order``.
 
-    A salted tree of windows: rows are spread over B salt buckets per group (B =
-    ``spark.sql.shuffle.partitions``, at least 32) and each (group, bucket) keeps its first
-    ``k``; the survivors are merged into sqrt(B) buckets, then per group.  A group holding a
-    third of the table is therefore ranked by B tasks at the first level, and no later level
-    sees more than ``k * B`` rows of one group.
+    One salted level before the group's own window: rows are spread over B salt buckets per group
+    (B = ``spark.sql.shuffle.partitions``, at least 32) and each (group, bucket) keeps its first
+    ``k``, of which Spark drops most before the exchange (a window group limit per task).  A group
+    holding a third of the table is therefore ranked by B tasks, and the last window sees at most
+    ``k * B`` rows of one group.
     """
-    import math
-
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    b1 = buckets or max(32, n)
-    levels = [b1] + ([math.isqrt(b1)] if math.isqrt(b1) > 1 else [])
-    cur = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(b1)))
-    for b in levels:
-        cur = cur.withColumn("_salt", F.pmod(F.col("_salt"), F.lit(b)))
-        w = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        cur = cur.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return cur.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_salt", "_r")
+    b = buckets or max(32, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(b)))
+    for by in ([*keys, "_salt"], [*keys]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        salted = salted.withColumn("_r", rank).filter(F.col("_r") <= k)
+    return salted.drop("_salt", "_r")

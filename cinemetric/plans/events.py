@@ -224,15 +224,16 @@ def movie_view_buckets(events: DataFrame, unit: str = "hour") -> DataFrame:
 def movie_engagement(events: DataFrame, as_of, trend_days: int = 7) -> DataFrame:
     """M-01 scalars: total page views, click / add-to-cart / purchase rates per page view,
     and the E-07 trending score (NULL when the movie had no weighted event in the window)."""
+    scored = F.col("type").isin(*TREND_WEIGHTS) & since(as_of, trend_days)
     per_movie = events.filter(F.col("movie_id").isNotNull()).groupBy("movie_id").agg(
+        F.bround(F.sum(F.when(scored, decay_weight(as_of))), 2).alias("trending_score"),
         F.count_if(F.col("type") == "page_view").alias("views_total"),
         F.count_if(F.col("type") == "click").alias("_clicks"),
         F.count_if(F.col("type") == "add_to_cart").alias("_carts"),
         F.count_if(F.col("type") == "purchase").alias("_buys"),
     )
     pv = F.col("views_total").cast("double")
-    scores = trending_scores(events, as_of, trend_days).select("movie_id", "trending_score")
-    return per_movie.join(scores, "movie_id", "left").select(
+    return per_movie.select(
         "movie_id",
         "views_total",
         F.try_divide(F.col("_clicks").cast("double"), pv).alias("click_rate"),
