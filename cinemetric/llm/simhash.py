@@ -51,8 +51,11 @@ def simhash(text: bytes, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(starts)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, fp)``; ``fp`` holds the unsigned fingerprint's bits in a signed long."""
+def fingerprints(
+    docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text: str = "text", row_key: str | None = None
+) -> DataFrame:
+    """``(doc_id, row_key, fp)``; ``fp`` holds the unsigned fingerprint's bits in a signed long,
+    ``row_key`` the long column of that name (null if none is named)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,10 +63,15 @@ def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text
                 part = batch.slice(at, 512)
                 found = [simhash((t or "").encode(), shingle) for t in part.column("text").to_pylist()]
                 fps = np.array(found, np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("row_key"), pa.array(fps)], names=["doc_id", "row_key", "fp"]
+                )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    key = F.col(row_key) if row_key else F.lit(None)
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), key.cast("long").alias("row_key"), F.col(text).cast("string").alias("text")
+    )
+    return rows.mapInArrow(run, "doc_id long, row_key long, fp long")
 
 
 def _stars(group: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,20 +144,33 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     return postings.mapInArrow(run, "a long, b long")
 
 
-def near_groups(
-    docs: DataFrame, shingle: int = 3, max_bits: int = 2, doc_id: str = "doc_id", text: str = "text"
+def grouped(
+    docs: DataFrame, shingle: int = 3, max_bits: int = 2, doc_id: str = "doc_id", text: str = "text", row_key: str | None = None
 ) -> DataFrame:
-    """One row per document: ``doc_id, fp, component_id`` (smallest id reachable over links)."""
+    """One row per document: ``doc_id, row_key, fp, component_id, first_key``.
+
+    ``component_id`` is the smallest id reachable over links, ``first_key`` the row key of the
+    group's first row by id (null last) and row key.
+    """
     folder = work_dir(docs.sparkSession, "simhash")
-    rows = stored(fingerprints(docs, shingle, doc_id, text), f"{folder}/fingerprints")
-    kinds = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), f"{folder}/kinds")
+    rows = stored(fingerprints(docs, shingle, doc_id, text, row_key), f"{folder}/fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    kinds = stored(rows.groupBy("fp").agg(F.min(order).alias("first")), f"{folder}/kinds")
     linked = components(links(kinds.select("fp"), max_bits), folder)
-    rooted = kinds.join(linked, kinds.fp == linked.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    rooted = kinds.join(linked, kinds.fp == linked.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    first = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    named = rooted.join(first, "root").select(
+        F.col("fp").alias("kind"), F.col("least.doc_id").alias("component_id"), F.col("least.row_key").alias("first_key")
     )
-    first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = stored(rooted.join(first, "root").select(F.col("fp").alias("kind"), "component_id"), f"{folder}/named")
-    return rows.join(named, rows.fp == named.kind).select("doc_id", "fp", "component_id")
+    named = stored(named, f"{folder}/named")
+    return rows.join(named, rows.fp == named.kind).select("doc_id", "row_key", "fp", "component_id", "first_key")
+
+
+def near_groups(
+    docs: DataFrame, shingle: int = 3, max_bits: int = 2, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row per document: ``doc_id, fp, component_id`` (smallest id reachable over links)."""
+    return grouped(docs, shingle, max_bits, doc_id, text).select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp):

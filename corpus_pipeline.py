@@ -9,8 +9,9 @@ read again as the next stage's ``docs``.  All but the last return the columns th
 4. ``mix``      (operator 6): documents are repeated or left out to meet the source targets;
 5. ``pack``     (operator 3): token sequences of the mix.
 
-Defined cases are those of the operators.  A document whose id is null stays in stage 2 only if no
-document of its group has an id, and then every one of them stays.
+Defined cases are those of the operators.  Stage 2 decides by row, so null and repeated ids touch
+no other document: of each group the row with the smallest id stays (null last; of rows with that
+id, or of rows without any, one).
 """
 
 from __future__ import annotations
@@ -39,10 +40,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.near_groups(docs, shingle=3, max_bits=2).select(F.col("doc_id").alias("_id"), "component_id")
-    # ids of the documents to go: small beside the texts, which are not moved
-    gone = groups.filter(~F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone._id), "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
+    # written once, so that every later read sees the same row keys
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_key"))
+    keyed = stored(keyed, f"{work_dir(spark, 'dedup')}/rows")
+    groups = simhash.grouped(keyed.select("_row.doc_id", "_row.text", "_key"), shingle=3, max_bits=2, row_key="_key")
+    # keys of the rows to go: small beside the texts, which are not moved
+    gone = groups.filter(F.col("row_key") != F.col("first_key")).select(F.col("row_key").alias("_key"))
+    return keyed.join(gone, "_key", "left_anti").select("_row.*")
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,3 +35,21 @@ def test_stages(spark):
     tokens = after.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("e"))
     assert tokens.filter("n <> e or n > 2048").count() == 0
     assert after.filter("start = 0").count() == before.count()
+
+
+def test_dedup_decides_by_row(spark):
+    text = lambda k: " ".join(f"w{k}x{i * i * 7 + k}" for i in range(60))
+    rows = [
+        (None, text(1)), (7, text(1)),  # a null id beside an id: the id stays
+        (None, text(2)),  # unique, without id
+        (None, text(3)), (None, text(3)), (None, text(3).upper()),  # copies without any id: one stays
+        (1, text(4)), (2, text(4)), (2, text(5)), (9, text(5)),  # id 2 names its second group
+        (4, text(6)), (4, text(6)),  # a row twice
+        (None, None), (None, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_key", F.lit("clash")).repartition(4)
+    after = corpus_pipeline.dedup_stage(spark, docs, SF)
+    assert after.columns == docs.columns
+    kept = [(r.doc_id, (r.text or "").lower()) for r in after.collect()]
+    want = [(7, text(1)), (None, text(2)), (None, text(3)), (1, text(4)), (2, text(5)), (4, text(6)), (None, "")]
+    assert sorted(kept, key=str) == sorted(want, key=str)
