@@ -5,7 +5,8 @@ of the two pre-tokenizers reaches over such a cut, so the ids of a text are the
 in order.  A worker keeps the ids of pieces, and of the words inside them, that it has met in
 bounded caches.  New pieces of Latin script are split by the vocabulary's own published pattern
 and only their new words go through the library's model; other pieces, and texts with longer runs
-of white space, are given to the library whole.
+of white space or with the string of an added token (``<|endoftext|>``), are given to the library
+whole.  So the ids are those of the file with ``add_special_tokens=False``.
 """
 
 from __future__ import annotations
@@ -43,13 +44,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
         self.model = self.tokenizer.model
         self.lower = self.tokenizer.normalizer is not None
         self.findall = regex.compile(_PATTERNS["word" if self.lower else "byte"]).findall
         self.letters = _byte_letters()
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        strings = [a.content for a in added]
+        self.added = re.compile("|".join(map(re.escape, strings)) or "(?!)", re.I if any(a.normalized for a in added) else 0)
+        # what all their strings begin with, as far as case does not matter: quick to look for
+        self.lead = re.match(r"[!-@\[-`{-~]*", os.path.commonprefix(strings))[0]
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -81,7 +86,7 @@ class Encoder:
         for t in texts:
             if not t:
                 out.append(b"")
-            elif _LONG_SPACE.search(t) or "\0" in t:
+            elif _LONG_SPACE.search(t) or "\0" in t or (self.lead in t and self.added.search(t)):
                 out.append(self._library(t))
             else:
                 parts = t.replace(" ", "\0 ").split("\0")

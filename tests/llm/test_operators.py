@@ -63,6 +63,17 @@ def test_cached_encoder_equals_library(name, texts):
         assert e.encode([t]) == [want]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_added_tokens_as_the_file_has_them(name):
+    from tokenizers import Tokenizer
+
+    plain, e = Tokenizer.from_file(vocabulary(name)), Encoder(vocabulary(name))
+    odd = ["a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y <|endoftext|><|endoftext|>\n", "a <|ENDOFTEXT|> b", "a <| b <|end", "café <|endoftext|>  你"]
+    for t in odd * 2:  # the second time from the caches
+        assert e.encode([t]) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u2").tobytes()]
+    assert plain.token_to_id("<|endoftext|>") in np.frombuffer(e.encode([odd[0]])[0], "<u2")
+
+
 def test_token_files_round_trip(spark, docs, texts):
     path = work_dir(spark, "test-files")
     token_files.write_token_files(docs, path, vocabulary("word_bpe_49k.json"), shard_tokens=500)
