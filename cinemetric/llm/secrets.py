@@ -1,9 +1,13 @@
 """Operator 9: secret scan with a random forest that removes false positives (native).
 
-Candidates are long runs of the characters that keys are made of.  Each is described by columns
-over the candidate and its surroundings: length, character classes and transitions between them,
-distinct characters, dictionary coverage, path-likeness and the neighbouring words.  A random
-forest trained from labelled findings scores them and drops false positives.
+Candidates are of three kinds: runs of six or more characters, whatever they are but white space
+and quotes, that are assigned to a name that announces a secret (without closing punctuation if
+not quoted); passwords between ``user:`` and ``@`` of a URL; and elsewhere long runs of the
+characters that keys are made of.  Each is described by columns over the candidate and its
+surroundings: length, character classes and transitions between them, distinct characters,
+dictionary coverage, path-likeness and the neighbouring words.  A random forest trained from
+labelled findings scores them and drops false positives.  A password of letters alone, or one
+without a name or URL in front, cannot be told from a word by these columns and is not promised.
 
 The forest is compiled into one Spark SQL expression, so a scan is a projection: candidates,
 features and scores of a text are arrays inside its row, nothing is shuffled, and Python only
@@ -23,7 +27,6 @@ from pyspark.sql import functions as F
 
 from cinemetric.llm.shared import stored, work_dir
 
-CANDIDATE = r"[A-Za-z0-9_\-+/.]{16,}={0,2}"
 CONTEXT = 48
 MASK = "[SECRET]"
 #: Labelled corpus findings that the forest learns from at most, of each kind.
@@ -31,6 +34,18 @@ SAMPLE_FINDINGS = 4_000
 #: Names that announce a secret, names that announce something else, common words.
 SECRET_NAMES = "key|token|secret|passw|passwd|pwd|auth|credential|bearer|private|signature"
 OTHER_NAMES = "commit|sha1|sha256|md5|hash|checksum|digest|uuid|guid|revision|example|dummy|sample|placeholder|order|isbn|phone"
+_NAMED = rf"(?i:{SECRET_NAMES})[A-Za-z0-9_\-]{{0,24}}[\"']?\s{{0,4}}[=:]"
+#: Holds in every text that has a candidate of the first two kinds; looks back from signs only.
+SIGNED = rf"[=:](?:(?<={_NAMED})|(?<=://[^\s:/@\"']{{0,64}}:))"
+RUN = r"[A-Za-z0-9_\-+/.]{16,}={0,2}"
+_ASSIGNED = rf"(?<={_NAMED}[=:]?>?\s{{0,4}}[\"']?)(?![A-Za-z][A-Za-z0-9+.\-]{{0,15}}://|\$\{{[A-Za-z0-9_.]+\}}(?:[\s\"',;.)]|$))"
+#: All three kinds; the looks back of one character come first, so that most places fail at once.
+CANDIDATE = (
+    rf"(?<=[\"'])(?<=[=:>]\s{{0,4}}[\"']){_ASSIGNED}[^\s\"']{{6,}}"
+    rf"|(?<=[=:>\s])(?<=[=:>]\s{{0,4}}){_ASSIGNED}[^\s\"']{{5,}}[^\s\"',;.:)\]}}>]"
+    rf"|(?<=:)(?<=://[^\s:/@\"']{{0,64}}:)[^\s/\"']{{3,}}(?=@)"
+    rf"|{RUN}"
+)
 DICTIONARY = (
     "tion|ment|ness|able|ible|ation|ence|ance|ing|the|and|for|that|with|this|from|have|not|are|was|were|which|"
     "ung|heit|keit|lich|isch|schaft|einer|nicht|und|der|die|das|eux|eau|aux|ique|mente|ado|ción|que|los|las|des|"
@@ -38,7 +53,7 @@ DICTIONARY = (
 )
 FEATURES = (
     "length", "digits", "capitals", "lowers", "marks", "hex_only", "transitions", "distinct",
-    "dictionary", "slashes", "dots", "vowels", "assigned", "secret_name", "other_name", "quoted", "path",
+    "dictionary", "slashes", "dots", "vowels", "assigned", "secret_name", "other_name", "quoted", "path", "in_url", "reference",
 )
 
 
@@ -69,25 +84,48 @@ def features(secret: Column, before: Column, after: Column) -> list[Column]:
         "secret_name": lead.rlike(f"({SECRET_NAMES})[a-z0-9_]*[\"']?\\s*[=: ]\\s*[\"']?$"),
         "other_name": lead.rlike(f"({OTHER_NAMES})[a-z0-9_]*[\"']?\\s*[=: ]?\\s*[\"']?$"),
         "quoted": before.rlike("[\"']$") & after.rlike("^[\"']"),
+        "in_url": before.rlike("://[^\\s:/@\"']*:$") & after.rlike("^@"),
+        # a variable, a call, a tag or a blank in a template rather than a value
+        "reference": secret.rlike(r"^(\$[A-Za-z_({]|%\(|<|\{|\[|os\.|self\.|[A-Za-z_.]+[(\[])|(?i:your|example|changeme|xxxx|\*\*\*\*)"),
         "path": secret.rlike(r"^(/|\./|www\.|http)|/.*/|\.(com|org|net|html?|json|py|txt|png|jpg)\b"),
     }
     return [values[f].cast("double").alias(f) for f in FEATURES]
 
 
+def _by_kind(text: Column, of) -> Column:
+    """``of`` the pattern that a text needs: most texts hold no sign behind a name."""
+    return F.when(text.rlike(SIGNED), of(CANDIDATE)).otherwise(of(RUN))
+
+
+def _gaps(text: Column) -> Column:
+    """What lies between the candidates of a text, one more than those."""
+    return _by_kind(text, lambda pattern: F.split(text, pattern, -1))
+
+
 def candidates(text: Column) -> Column:
     """Array of ``(secret, before, after)`` of every candidate of a text, in order."""
-    found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    gaps = F.split(text, CANDIDATE, -1)  # one more than found
-    return F.when(
-        text.rlike(CANDIDATE),
-        F.zip_with(
-            found,
-            F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("l"), F.slice(gaps, 2, F.size(found)).alias("r")),
-            lambda s, g: F.struct(
-                s.alias("secret"), F.substring(g["l"], -CONTEXT, CONTEXT).alias("before"), F.substring(g["r"], 1, CONTEXT).alias("after")
+
+    def of(pattern: str) -> Column:
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        gaps = F.split(text, pattern, -1)  # one more than found
+        # a candidate in front of this one can hold its name
+        held = F.concat(F.array(F.lit("")), found)
+        return F.when(
+            text.rlike(pattern),
+            F.zip_with(
+                found,
+                F.arrays_zip(
+                    F.slice(held, 1, F.size(found)).alias("p"), F.slice(gaps, 1, F.size(found)).alias("l"), F.slice(gaps, 2, F.size(found)).alias("r")
+                ),
+                lambda s, g: F.struct(
+                    s.alias("secret"),
+                    F.substring(F.concat(g["p"], g["l"]), -CONTEXT, CONTEXT).alias("before"),
+                    F.substring(g["r"], 1, CONTEXT).alias("after"),
+                ),
             ),
-        ),
-    )
+        )
+
+    return _by_kind(text, of)
 
 
 def seed_findings(spark: SparkSession, rows: int = 1_200) -> DataFrame:
@@ -101,6 +139,17 @@ def seed_findings(spark: SparkSession, rows: int = 1_200) -> DataFrame:
     close = F.when(sign.endswith('"'), F.lit('" ')).when(sign.endswith("'"), F.lit("' ")).otherwise(F.lit(" "))
     word = F.translate(F.substring(a, 1, 18), "0123456789abcdef", "aeiourstnlthendi")
     good = [(a, F.concat(F.lit("x "), name, sign), close), (mixed, F.concat(F.lit("the "), name, sign), close), (b, F.concat(name, sign), close)]
+    # passwords: short, with marks, and in URLs
+    mark = lambda k: F.substring(F.lit("@!$%#&~*?+^@!$%#&~*?+^"), ((i + k) % 11 + 1).cast("int"), F.lit(1))
+    pass_name = F.element_at(F.array(*map(F.lit, ["password", "pwd", "passwd", "db_password", "user_passwd", "secret"])), (i % 6 + 1).cast("int"))
+    letters = F.initcap(F.translate(F.substring(a, 1, 6), "0123456789abcdef", "aeiourstnlthendi"))
+    short = F.substring(mixed, 3, 12)
+    marked = F.concat(letters, F.substring(b, 1, 2), mark(0), F.conv(F.substring(b, 3, 2), 16, 10))
+    broken = F.concat(F.substring(mixed, 1, 9), mark(1), F.substring(mixed, 10, 8), mark(2), F.substring(mixed, 20, 7))
+    worded = F.concat(F.lower(letters), F.conv(F.substring(b, 5, 1), 16, 10), F.substring(mixed, 5, 2), F.lit("y9"))
+    good += [(x, F.concat(lead, pass_name, sign), close) for x, lead in ((short, F.lit("x ")), (marked, F.lit("the ")), (broken, F.lit("")), (worded, F.lit("in ")))]
+    user = F.concat(F.element_at(F.array(*map(F.lit, ["postgres://", "https://", "redis://"])), (i % 3 + 1).cast("int")), F.lower(letters), F.lit(":"))
+    good += [(x, F.concat(F.lit("at "), user), F.lit("@db.host/x ")) for x in (F.substring(mixed, 7, 5), marked, worded)]
     plain = F.lit("and the ")
     bad = [
         (word, plain, F.lit(" of")),
@@ -112,6 +161,14 @@ def seed_findings(spark: SparkSession, rows: int = 1_200) -> DataFrame:
         (F.concat(F.substring(b, 1, 8), F.lit("-"), F.substring(b, 9, 4), F.lit("-"), F.substring(b, 13, 4), F.lit("-"), F.substring(b, 17, 12)), F.lit("uuid "), F.lit(" ")),
         (F.lit("your_api_key_goes_here"), F.concat(name, sign), close),
         (F.lit("----------------------------"), plain, F.lit("\n")),
+        (F.substring(word, 1, 6), F.concat(F.lit("x "), pass_name, sign), close),
+        (F.concat(F.substring(word, 1, 9), F.lit("ing")), F.concat(F.lit("the "), name, sign), close),
+        (F.concat(F.substring(word, 1, 5), F.lit("_"), F.substring(word, 6, 6)), F.concat(pass_name, sign), close),
+        (F.concat(F.substring(word, 1, 5), F.lit("("), F.substring(word, 6, 5), F.lit(")")), F.concat(pass_name, sign), close),
+        (F.concat(F.lit("${"), F.upper(F.substring(word, 1, 9)), F.lit("}")), F.concat(pass_name, sign), close),
+        (F.concat(F.lit("${"), F.upper(F.substring(word, 1, 9))), F.concat(name, F.lit(": ")), F.lit("} ")),
+        (F.concat(F.lit("<your-"), pass_name, F.lit("123>")), F.concat(pass_name, sign), close),
+        (F.lit("********"), F.concat(pass_name, sign), close),
     ]
     rowset = [
         F.struct(s.alias("secret"), l.alias("before"), r.alias("after"), F.lit(label).alias("label"))
@@ -174,8 +231,8 @@ def findings(docs: DataFrame, forest: str, doc_id: str = "doc_id", text: str = "
 
     Offsets are running sums over the candidates of one text, keyed by the row.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).filter(F.col("text").rlike(CANDIDATE))
-    found = scan(rows, forest, "text").withColumn("gaps", F.split("text", CANDIDATE, -1))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).filter(_by_kind(F.col("text"), F.col("text").rlike))
+    found = scan(rows, forest, "text").withColumn("gaps", _gaps(F.col("text")))
     found = found.filter(F.exists("_found", lambda c: c["score"] >= threshold))
     # numbered before the explode: all candidates of a text share its number
     each = found.withColumn("row", F.monotonically_increasing_id()).select(
@@ -194,7 +251,7 @@ def redacted(docs: DataFrame, forest: str, text: str = "text", threshold: float
     """``docs`` with every secret replaced by ``mask``; other texts stay as they are."""
     names: Sequence[str] = docs.columns
     found = scan(docs, forest, text)
-    gaps = F.split(F.col(f"`{text}`"), CANDIDATE, -1)
+    gaps = _gaps(F.col(f"`{text}`"))
     shown = F.transform("_found", lambda c: F.when(c["score"] >= threshold, F.lit(mask)).otherwise(c["secret"]))
     joined = F.array_join(F.flatten(F.zip_with(gaps, F.concat(shown, F.array(F.lit(""))), lambda g, s: F.array(g, s))), "")
     secret = F.coalesce(F.exists("_found", lambda c: c["score"] >= threshold), F.lit(False))

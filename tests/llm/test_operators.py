@@ -368,6 +368,26 @@ def test_secret_scan(spark):
     assert secrets.findings(docs.filter("1 = 0"), forest).count() == 0
 
 
+def test_secret_scan_finds_short_and_marked_values(spark):
+    held = [
+        ('password = "{}"', "Tr0ub4dor&3"), ("pwd: {}", "hunter2Xy9"), ("so api_token={}, then", "a8Kd03mZq1Lp"),
+        ("at postgres://bob:{}@db.host/x now", "s3cr9t"), ("db_passwd = '{}'", "kD9a@Lq2!vR7$xP4%tB8#mN1"),
+        ("secret: {} and", "qL82mcZ0vbE1xk94!pTz83KqLwm20sXe~e"), ('{{"password": "{}"}}', "Vx7#pl9Q"),
+        ("my-very-long-service-password={} x", "Gh4!kd8Zt"),
+    ]
+    free = [
+        "password: required for all", "the key: something else", 'password = "<your-password>"', "pwd = get_password()",
+        "auth: https://www.example.com/login", "token: ${API_TOKEN} here", "see http://host:8080/a@b and key = value",
+    ]
+    rows = [(i, shape.format(value), "a") for i, (shape, value) in enumerate(held)] + [(100 + i, t, "a") for i, t in enumerate(free)]
+    docs = _docs(spark, rows)
+    forest = secrets.default_forest(docs)
+    got = {r.doc_id: r.text for r in secrets.redacted(docs, forest).collect()}
+    assert got == {i: shape.format("[SECRET]") for i, (shape, _) in enumerate(held)} | {100 + i: t for i, t in enumerate(free)}
+    spans = {(r.doc_id, r.start, r.length) for r in secrets.findings(docs, forest).collect()}
+    assert spans == {(i, rows[i][1].index(value), len(value)) for i, (_, value) in enumerate(held)}
+
+
 def test_crc_of_ids_is_of_32_bit_words():
     import pyarrow as pa
 
