@@ -6,16 +6,17 @@ excess goes to the open sources in proportion to their weights, until nobody is
 fixed point has a closed form: with sources sorted by size/weight, the clamped ones are a prefix,
 so one ordered window over the (small) per-source table finds the water level without a loop.
 
-``mix`` then takes whole repetitions of every document (``floor(target / size)``) and, for the
-fraction that is left, whole documents in the order of a seeded hash up to the fraction: a
-histogram of the hash (partial sums before the shuffle) gives the bucket where the fraction
-ends, and one more document, the one whose size is nearest to what is still missing, closes the
-gap.  No window ever runs over documents, and they meet their source's plan under a salt, so a
-source with most rows is spread over tasks.
+``mix`` then takes whole repetitions of every document (``floor(target / size)``) and fills the
+fraction that is left with whole documents: first in the order of a seeded hash of id, source and
+text, by a histogram of the hash (partial sums before the shuffle), up to the last bucket that
+fits; then, past what did not fit, by a histogram of the sizes of the others, from the largest
+that fits down, so that what stays open is less than any document left; and the smallest left if
+taking it is nearer than leaving the gap open.  Documents of one size are taken in hash order,
+ranked within hash buckets behind the bucket's offset, so no window runs over more than a bucket.
 
 Defined cases: a null text has size 0 and takes 0 words; a source of size 0 has target 0; a null
-source is a source of its own, last in the order; rows with one ``doc_id``, source and size share
-their decision; an empty table gives an empty result.
+source is a source of its own, last in the order; repeated rows and rows without id
+are decided each for itself; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinemetric.llm.shared import stored, work_dir
+
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKETS = 4096
 #: Tasks that a source's documents are spread over where they meet their source's plan.
@@ -75,6 +78,16 @@ def cyclic_weights(sources: DataFrame, weights: Sequence[float]) -> DataFrame:
     return sources.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (turn + 1).cast("int")))
 
 
+def _filled(acc: Column, kind: Column) -> Column:
+    """One step of filling from the largest size down: as many of a size as the open words hold."""
+    n = F.least(kind["n"], F.floor(acc["open"] / kind["size"]).cast("long"))
+    return F.struct(
+        (acc["open"] - n * kind["size"]).alias("open"),
+        F.when(n < kind["n"], kind["size"]).otherwise(acc["least"]).alias("least"),
+        F.when(n > 0, F.concat(acc["taken"], F.array(F.struct(kind["size"].alias("size"), n.alias("n"))))).otherwise(acc["taken"]).alias("taken"),
+    )
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (5.0, 2.0, 1.0),
@@ -94,9 +107,12 @@ def mix(
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         word_count(F.col(text)).alias("size"),
+        F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id), F.col(source), F.col(text)), F.lit(BUCKETS * 1024)).alias("_u"),
+        F.monotonically_increasing_id().alias("_key"),
         *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
-    ).withColumn("_u", F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source")), F.lit(BUCKETS * 1024)))
-    rows = rows.withColumn("_bucket", F.floor(F.col("_u") / 1024))
+    )
+    # written once, so that every later read sees the same row keys
+    rows = stored(rows, f"{work_dir(docs.sparkSession, 'mix')}/rows").withColumn("_bucket", F.floor(F.col("_u") / 1024))
 
     hist = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_mass"))
     sizes = hist.groupBy("source").agg(F.sum("_mass").alias("source_size"))
@@ -128,20 +144,50 @@ def mix(
     )
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
     plan = plan.withColumn("_psalt", salts)
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(SALTS)))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_key", F.lit(seed + 1)), F.lit(SALTS)))
     placed = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_salt") == F.col("_psalt")))
-    # closing document: nearest in size to the open words; none if leaving them open is nearer
-    gap = F.abs(F.col("size") - F.col("_open"))
-    closing = (
-        placed.filter((F.col("_bucket") > F.col("_last")) & (gap < F.col("_open")))
-        .groupBy(F.col("source").alias("_csource"))
-        .agg(F.min(F.struct(gap.alias("gap"), F.col("_u").alias("u"), F.col("doc_id").alias("doc_id"))).alias("_close"))
-        .withColumn("_has", F.lit(True))
-        .withColumn("_csalt", salts)
+    # what can still be taken: all that fit, and what is nearer than leaving the gap open
+    rest = (
+        placed.filter((F.col("_bucket") > F.col("_last")) & (F.col("size") > 0) & (F.col("size") < 2 * F.col("_open")))
+        .select("source", "size", "_open", "_key", F.pmod(F.xxhash64("_u"), F.lit(BUCKETS)).alias("_a"), F.pmod(F.xxhash64("_key"), F.lit(SALTS)).alias("_b"))
+    )
+    parts = rest.groupBy("source", "size", "_a", "_b").agg(F.count(F.lit(1)).alias("n"), F.first("_open").alias("_open"))
+    counts = parts.groupBy("source", "size").agg(F.sum("n").alias("n"), F.first("_open").alias("_open"))
+    one = "struct<size:bigint,n:bigint>"
+    fill = F.aggregate(
+        "sizes",
+        F.struct(F.col("_open").cast("double").alias("open"), F.lit(None).cast("bigint").alias("least"), F.array().cast(f"array<{one}>").alias("taken")),
+        lambda acc, c: _filled(acc, c),
+    )
+    fills = (
+        counts.groupBy("source")
+        .agg(F.sort_array(F.collect_list(F.struct("size", "n")), asc=False).alias("sizes"), F.first("_open").alias("_open"))
+        .select("source", fill.alias("f"))
+    )
+    closes = F.col("f.least") < 2 * F.col("f.open")
+    takes = (
+        fills.select("source", F.explode(F.concat("f.taken", F.when(closes, F.array(F.struct(F.col("f.least").alias("size"), F.lit(1).cast("long").alias("n")))).otherwise(F.array().cast(f"array<{one}>")))).alias("t"))
+        .groupBy(F.col("source").alias("_tsource"), F.col("t.size").alias("_tsize"))
+        .agg(F.sum("t.n").alias("_take"))
+    )
+    # documents of a size that go, from the first bucket on
+    order = Window.partitionBy("source", "size").orderBy("_a", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col("source").eqNullSafe(F.col("_tsource")) & (F.col("size") == F.col("_tsize"))
+    starts = (
+        parts.withColumn("_from", F.coalesce(F.sum("n").over(order), F.lit(0)))
+        .join(takes, same)
+        .filter(F.col("_from") < F.col("_take"))
+        .select(F.col("source").alias("_tsource"), F.col("size").alias("_tsize"), F.col("_a").alias("_ta"), F.col("_b").alias("_tb"), (F.col("_take") - F.col("_from")).alias("_n"))
+    )
+    within = Window.partitionBy("source", "size", "_a", "_b").orderBy("_key")
+    chosen = (
+        rest.join(starts, same & (F.col("_a") == F.col("_ta")) & (F.col("_b") == F.col("_tb")))
+        .withColumn("_at", F.row_number().over(within))
+        .filter(F.col("_at") <= F.col("_n"))
+        .select("_key", F.lit(1).alias("_one"))
     )
-    out = placed.join(closing, F.col("source").eqNullSafe(F.col("_csource")) & (F.col("_salt") == F.col("_csalt")), "left")
-    closes = F.coalesce(F.col("_has"), F.lit(False)) & F.col("doc_id").eqNullSafe(F.col("_close.doc_id"))
-    copies = F.col("_whole") + F.when((F.col("_bucket") <= F.col("_last")) | (closes & (gap == F.col("_close.gap"))), 1).otherwise(0)
+    out = placed.join(chosen, "_key", "left")
+    copies = F.col("_whole") + F.when((F.col("_bucket") <= F.col("_last")) | F.col("_one").isNotNull(), 1).otherwise(0)
     return out.withColumn("copies", copies.cast("long")).select(
         "doc_id",
         "source",

@@ -241,6 +241,19 @@ def test_mixing_meets_targets(spark, docs, texts):
     assert mixing.mix(docs.filter("1 = 0")).count() == 0
 
 
+def test_mixing_fills_past_what_does_not_fit(spark):
+    rows = [(i, "w " * (3 + i % 40), "a") for i in range(300)] + [(900 + i, "w " * 4000, "a") for i in range(2)]
+    rows += [(None, f"n{i} " * 20, "b") for i in range(200)] + [(7, "same " * 30, "c")] * 200  # no ids, one row often
+    got = mixing.mix(_docs(spark, rows), weights=(1.0, 2.0, 1.0), max_epochs=3.0).collect()
+    for s in "abc":
+        own = [r for r in got if r.source == s]
+        whole = min(r.copies for r in own)
+        left = [r.size for r in own if r.copies == whole]
+        gap = own[0].target - sum(r.taken for r in own)
+        assert len(own) == (302 if s == "a" else 200) and max(r.copies for r in own) <= whole + 1
+        assert gap <= min(left) / 2 + 1e-6 and -gap <= min(r.size for r in own) / 2 + 15, (s, gap)
+
+
 def test_simhash_groups_against_brute_force(spark, docs, texts):
     def fp(t):
         ws = (t or "").encode().lower().split()
