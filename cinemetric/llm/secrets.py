@@ -180,15 +180,15 @@ def seed_findings(spark: SparkSession, rows: int = 1_200) -> DataFrame:
 
 def corpus_findings(docs: DataFrame, text: str = "text", per_kind: int = SAMPLE_FINDINGS) -> DataFrame:
     """Candidates whose label is beyond doubt: a random value assigned to a secret's name, or one
-    that is all letters or all digits.  At most ``per_kind`` of each kind, by smallest hash."""
+    that is all letters or all digits.  At most ``per_kind`` distinct ones of each kind, by smallest hash."""
     rows = docs.select(F.explode(candidates(F.col(text))).alias("c")).select("c.*")
     s, lead = F.col("secret"), F.lower(F.col("before"))
     sure = F.when(
         lead.rlike(f"({SECRET_NAMES})[a-z0-9_]*\\s*[=:]\\s*[\"']$") & s.rlike("[0-9]") & s.rlike("[A-Za-z]") & (F.length(s) >= 20) & ~s.rlike("(?i)example|your"), 1
     ).when(s.rlike("^([A-Za-z]+|[0-9]+)[.]?$"), 0)
     labelled = rows.withColumn("label", sure).filter(F.col("label").isNotNull())
-    order = [F.xxhash64("secret", F.lit(5)), "secret", "before"]
-    parts = [labelled.filter(F.col("label") == k).orderBy(*order).limit(per_kind) for k in (0, 1)]
+    order = [F.xxhash64("secret", F.lit(5)), "secret", "before", "after"]
+    parts = [labelled.filter(F.col("label") == k).distinct().orderBy(*order).limit(per_kind) for k in (0, 1)]
     return parts[0].unionByName(parts[1])
 
 

@@ -401,6 +401,13 @@ def test_secret_scan_finds_short_and_marked_values(spark):
     assert spans == {(i, rows[i][1].index(value), len(value)) for i, (_, value) in enumerate(held)}
 
 
+def test_secret_sample_is_of_distinct_findings(spark):
+    keys = [hashlib.sha1(bytes([i])).hexdigest() for i in range(4)]
+    rows = [(i, f'token = "{keys[i if i < 4 else 0]}" x', "a") for i in range(60)] + [(90 + i, f'token = "{keys[1]}" x', "a") for i in range(60)]
+    found = secrets.corpus_findings(_docs(spark, rows), per_kind=4).filter("label = 1").collect()
+    assert sorted(r.secret for r in found) == sorted(keys)
+
+
 def test_crc_of_ids_is_of_32_bit_words():
     import pyarrow as pa
 
