@@ -17,6 +17,7 @@ from cinemetric.plans import documents as D
 from cinemetric.plans import events as E
 from cinemetric.plans import loads as L
 from cinemetric.plans import probes as P
+from cinemetric.plans import schema_checks as K
 from cinemetric.plans import search as S
 
 Query = Callable[[object], DataFrame]
@@ -202,6 +203,8 @@ def load_queries() -> dict[str, Query]:
         "rating_remap_audit": L.remap_audit,
         "validate_rating_rows": checked,
         "validate_raw_events": L.event_check_summary,
+        "schema_reason_counts": K.schema_reason_counts,
+        "schema_rejected_credits": K.rejected_credits,
         "events_retained": lambda c: L.retained_events(c, t.AS_OF_30),
         "credit_load_audit": L.credit_load_audit,
         "ratings_after_upsert": L.ratings_after_upsert,
