@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cinemetric.oracle_sql import DOC_CTES, with_views
+
 
 def _reasons(pairs: list[tuple[str, str]]) -> str:
     if not pairs:
@@ -99,3 +101,74 @@ CHECKS: dict[str, str] = {
         for n in ("movie_cast", "movie_crew")
     ),
 }
+
+
+# Collections: (reason, table, condition of the documents that break it), straight from the driver tables.
+_EVENT_TYPES = "('page_view', 'view', 'search', 'click', 'add_to_cart', 'remove_from_cart', 'checkout', 'purchase', 'rating_submitted')"
+_PREFS = "c_custkey % 29 <> 0 AND "
+_DOC = "o_orderkey % 41 <> 0 AND o_orderkey % 43 <> 0 AND "
+_FAULTS: dict[str, tuple[str, list[tuple[str, str]]]] = {
+    "events": ("events", [
+        ("type is required", "event_id % 37 = 0"), ("type not allowed", f"event_id % 37 <> 0 AND event_type NOT IN {_EVENT_TYPES}"),
+        ("user_id must be int or null", "event_id % 13 = 0 AND event_id % 11 <> 0"), ("movie_id must be int or null", "event_id % 17 = 0"),
+        ("timestamp is required", "event_id % 19 = 0"), ("timestamp must be date", "event_id % 23 = 0 AND event_id % 19 <> 0"),
+        ("session_id must be string", "event_id % 29 = 0"), ("metadata must be object", "event_id % 31 = 0"),
+    ]),
+    "user_profiles": ("customer", [
+        ("user_id must be int", "c_custkey % 7 = 0"), ("preferences must be object", "c_custkey % 29 = 0"),
+        ("preferences.favorite_genres[] must be string", _PREFS + "c_custkey % 11 = 0"),
+        ("preferences.favorite_actors must be array", _PREFS + "c_custkey % 17 = 0"),
+        ("preferences.viewing_history[].duration_seconds must be int", _PREFS + "c_custkey % 13 = 0"),
+        ("recommendations[].score must be double", "c_custkey % 23 = 0"),
+        ("activity_summary.total_views must be int", "c_custkey % 19 = 0"), ("last_updated is required", "c_custkey % 31 = 0"),
+    ]),
+    "movie_aggregates": ("part", [
+        ("movie_id must be int", "p_partkey % 29 = 0"), ("views.hourly must be object", "p_partkey % 7 = 0"),
+        ("engagement must be object", "p_partkey % 11 = 0"),
+        ("engagement.click_rate must be double", "p_partkey % 13 = 0 AND p_partkey % 11 <> 0"), ("computed_at must be date", "p_partkey % 17 = 0"),
+    ]),
+    "sessions": ("orders", [
+        ("document must be object", "o_orderkey % 41 = 0 OR o_orderkey % 43 = 0"), ("session_id must be string", _DOC + "o_orderkey % 19 = 0"),
+        ("started_at must be date", _DOC + "o_orderkey % 11 = 0"), ("ended_at must be date or null", _DOC + "o_orderkey % 5 = 0 AND o_orderkey % 3 <> 0"),
+        ("page_views must be int", _DOC + "o_orderkey % 13 = 0"), ("device_info.os must be string", _DOC + "o_orderkey % 17 = 0"),
+    ]),
+    "recommendations": ("customer", [
+        ("movies is required", "c_custkey % 13 = 0"), ("movies must be array", "c_custkey % 17 = 0 AND c_custkey % 13 <> 0"),
+        ("movies[].movie_id is required", "c_custkey % 13 <> 0 AND c_custkey % 17 <> 0 AND c_custkey % 5 = 0"),
+        ("movies[].score is required", "c_custkey % 13 <> 0 AND c_custkey % 17 <> 0 AND c_custkey % 7 = 0"),
+        ("algorithm must be string", "c_custkey % 19 = 0"),
+    ]),
+}
+
+
+def _fault_counts() -> str:
+    parts = []
+    for name, (table, faults) in _FAULTS.items():
+        rows = [(reason, cond) for reason, cond in faults] + [("accepted", " AND ".join(f"NOT ({cond})" for _, cond in faults))]
+        parts += [f"SELECT '{name}' AS table_name, '{reason}' AS reason, count(*) AS rows FROM {table} WHERE {cond} HAVING count(*) > 0" for reason, cond in rows]
+    return "\nUNION ALL\n".join(parts)
+
+
+_RATING = "(CAST(l_quantity AS INTEGER) - 5) / 4.0"
+CHECKS["document_reason_counts"] = _fault_counts()
+CHECKS["rating_change_outcomes"] = f"""
+SELECT array_to_string(list_filter([
+         CASE WHEN o_custkey % 13 = 0 THEN 'userId is required' END,
+         CASE WHEN l_partkey % 17 = 0 AND l_partkey % 11 <> 0 THEN 'rating is required' END,
+         CASE WHEN l_partkey % 11 = 0 THEN 'rating must be int or double' END,
+         CASE WHEN l_partkey % 11 <> 0 AND l_partkey % 17 <> 0 AND {_RATING} < 0 THEN 'rating below 0' END,
+         CASE WHEN l_partkey % 11 <> 0 AND l_partkey % 17 <> 0 AND {_RATING} > 5 THEN 'rating above 5' END], lambda x: x IS NOT NULL), '; ') AS reasons,
+       count(*) AS rows
+FROM {_LINE} = 6 GROUP BY reasons"""
+
+# Members of a cast: those of the movie's credits, wherever the mixed field holds a list of them.
+_MIXED = "CASE WHEN id % 13 = 0 OR (id % 4 > 1 AND id % 11 = 0) THEN [] ELSE \"cast\" END"
+CHECKS["mixed_cast_lists"] = with_views(f"""
+SELECT id, CAST(len({_MIXED}) AS INTEGER) AS members, coalesce(array_to_string(list_transform({_MIXED}, lambda x: x.name), ', '), '') AS names
+FROM cdocs""", DOC_CTES)
+CHECKS["mixed_lists_converted"] = with_views("""
+SELECT count(*) AS converted, CAST(coalesce(sum(len("cast")), 0) AS BIGINT) AS members FROM cdocs WHERE id % 13 <> 0 AND id % 4 < 2""", DOC_CTES)
+CHECKS["numeric_id_documents"] = with_views("SELECT id FROM cdocs WHERE id % 5 <> 0", DOC_CTES)
+CHECKS["nested_preference_genres"] = """
+SELECT CASE WHEN c_custkey % 11 = 0 THEN 'Drama' ELSE c_mktsegment END AS genre, count(*) AS profiles
+FROM customer WHERE c_custkey % 29 <> 0 GROUP BY genre"""

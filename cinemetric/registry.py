@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinemetric import oracle_sql as O
+from cinemetric.plans import document_checks as DK
 from cinemetric.plans import documents as D
 from cinemetric.plans import events as E
 from cinemetric.plans import loads as L
@@ -203,6 +204,12 @@ def load_queries() -> dict[str, Query]:
         "rating_remap_audit": L.remap_audit,
         "validate_rating_rows": checked,
         "validate_raw_events": L.event_check_summary,
+        "document_reason_counts": DK.document_reason_counts,
+        "rating_change_outcomes": DK.rating_change_outcomes,
+        "mixed_cast_lists": DK.mixed_cast_lists,
+        "mixed_lists_converted": DK.mixed_lists_converted,
+        "numeric_id_documents": DK.numeric_id_documents,
+        "nested_preference_genres": DK.nested_preference_genres,
         "schema_reason_counts": K.schema_reason_counts,
         "schema_rejected_credits": K.rejected_credits,
         "events_retained": lambda c: L.retained_events(c, t.AS_OF_30),
