@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinemetric.llm import byte_bpe
-from cinemetric.llm.idtable import SHORT, IdTable, word_view
+from cinemetric.llm.idtable import IdTable, word_view
 from cinemetric.llm.recent import Recent
 from cinemetric.llm.shared import stored, work_dir
 
@@ -107,20 +107,11 @@ class Pieces:
         raw = b" ".join([texts[k] for k in plain])
         spaces = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)
         at, stop = np.append(0, spaces + 1), np.append(spaces, len(raw))
-        size, words = stop - at, word_view(raw)
-        short, long = np.flatnonzero(size <= SHORT), np.flatnonzero(size > SHORT)
 
         def compute(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             return self._words([raw[a:b] for a, b in zip(starts.tolist(), (starts + sizes).tolist())])
 
-        counts = np.zeros(len(at), np.int64)
-        short_ids, counts[short] = self.table_of_words.look_up(words, at[short], size[short], compute)
-        buffers = self.recent.fill([raw[a:b] for a, b in zip(at[long].tolist(), stop[long].tolist())], self._long)
-        counts[long] = [len(x) // 4 for x in buffers]
-        ids, places = np.empty(int(counts.sum()), np.uint32), np.cumsum(counts) - counts
-        for rows, flat in ((short, short_ids), (long, np.frombuffer(b"".join(buffers), np.uint32))):
-            many = counts[rows]
-            ids[np.repeat(places[rows] - (np.cumsum(many) - many), many) + np.arange(len(flat))] = flat
+        ids, counts = byte_bpe.looked_up(raw, word_view(raw), at, stop - at, self.table_of_words, compute, self.recent, self._long)
         lengths = np.fromiter((len(texts[k]) for k in plain), np.int64, len(plain))
         last_word = np.searchsorted(stop, np.cumsum(lengths + 1) - 1)
         for k, x in zip(plain, np.split(ids, np.cumsum(counts)[last_word][:-1])):

@@ -179,6 +179,48 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def split_contractions(codes: np.ndarray, begins: np.ndarray) -> None:
+    """A match that begins with ' and goes on as a contraction ends with it."""
+    quote = np.flatnonzero((codes == 39) & begins)
+    if len(quote):
+        padded = np.concatenate([codes, np.zeros(3, codes.dtype)])
+        one, two = padded[quote + 1], padded[quote + 2]
+        short = np.isin(one, [ord(c) for c in "stmd"])
+        long = ((one == ord("r")) & (two == ord("e"))) | ((one == ord("v")) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+        begins[quote[short | long] + 1] = False
+        for at in (quote[short] + 2, quote[long] + 3):
+            begins[at[at < len(begins)]] = True
+
+
+def byte_spans(raw: bytes, codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offsets and lengths of what begins at the characters ``at``, each up to the next."""
+    if len(raw) != len(codes):
+        at = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)[at]
+    return at, np.diff(at, append=len(raw))
+
+
+def scatter(out: np.ndarray, places: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
+    """Write runs of ``counts`` values, one after the other in ``flat``, to their places."""
+    out[np.repeat(places - (np.cumsum(counts) - counts), counts) + np.arange(len(flat))] = flat
+
+
+def looked_up(raw: bytes, words: np.ndarray, at: np.ndarray, size: np.ndarray, table: IdTable, short, recent: Recent, long) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the strings at ``at`` and how many each has; what a worker does not remember is computed
+    by ``short(at, size)`` up to 16 bytes, else by ``long(strings)``."""
+    counts = np.zeros(len(at), np.int64)
+    in_table, beside = np.flatnonzero(size <= SHORT), np.flatnonzero(size > SHORT)
+    ids, counts[in_table] = table.look_up(words, at[in_table], size[in_table], short)
+    if not len(beside):
+        return ids, counts
+    keys = [raw[a:b] for a, b in zip(at[beside].tolist(), (at[beside] + size[beside]).tolist())]
+    buffers = recent.fill(keys, long)
+    counts[beside] = [len(x) // 4 for x in buffers]
+    places, out = np.cumsum(counts) - counts, np.empty(int(counts.sum()), np.uint32)
+    scatter(out, places[in_table], counts[in_table], ids)
+    scatter(out, places[beside], counts[beside], np.frombuffer(b"".join(buffers), np.uint32))
+    return out, counts
+
+
 class Codec:
     """``encode`` texts and ``decode`` ids by a list of token bytes in rank order."""
 
@@ -199,15 +241,7 @@ class Codec:
         after = np.flatnonzero(begins[1:] & (classes[1:] < SPACE) & (classes[:-1] == SPACE)) + 1
         begins[after - 1] = True
         begins[after] = codes[after - 1] != 32
-        quote = np.flatnonzero((codes == 39) & begins)
-        if len(quote):
-            padded = np.concatenate([codes, np.zeros(3, codes.dtype)])
-            one, two = padded[quote + 1], padded[quote + 2]
-            short = np.isin(one, [ord(c) for c in "stmd"])
-            long = ((one == ord("r")) & (two == ord("e"))) | ((one == ord("v")) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
-            begins[quote[short | long] + 1] = False
-            for at in (quote[short] + 2, quote[long] + 3):
-                begins[at[at < n]] = True
+        split_contractions(codes, begins)
         return begins
 
     def _long(self, keys: list[bytes]) -> list[bytes]:
@@ -273,29 +307,19 @@ class Codec:
         raw = joined.encode()
         at = np.flatnonzero(self.pre_tokens(codes, classes))
         is_edge = classes[at] == EDGE
-        if len(raw) != len(codes):
-            chars = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
-            at = chars[at]
-        size = np.diff(at, append=len(raw))
+        at, size = byte_spans(raw, codes, at)
         doc = np.cumsum(is_edge)[~is_edge]  # edges before a match: its text
         at, size = at[~is_edge], size[~is_edge]
         words = word_view(raw)
         ids = self.hashed.find(*key(words, at, size))
         ids[size > SHORT] = -1
-        counts = np.ones(len(ids), np.int64)
-        missed = ids < 0
-        short, long = np.flatnonzero(missed & (size <= SHORT)), np.flatnonzero(missed & (size > SHORT))
-        merged_ids, counts[short] = self.table.look_up(words, at[short], size[short], partial(self._short, words))
-        keys = [raw[a:b] for a, b in zip(at[long].tolist(), (at[long] + size[long]).tolist())]
-        buffers = self.recent.fill(keys, self._long)
-        counts[long] = [len(x) // 4 for x in buffers]
+        counts, missed = np.ones(len(ids), np.int64), np.flatnonzero(ids < 0)
+        slow, counts[missed] = looked_up(raw, words, at[missed], size[missed], self.table, partial(self._short, words), self.recent, self._long)
         places = np.cumsum(counts) - counts
         out = np.empty(int(counts.sum()), np.uint32)
-        out[places[~missed]] = ids[~missed]
-        for rows, flat in ((short, merged_ids), (long, np.frombuffer(b"".join(buffers), np.uint32))):
-            many = counts[rows]
-            shift = places[rows] - (np.cumsum(many) - many)
-            out[np.repeat(shift, many) + np.arange(len(flat))] = flat
+        hit = np.flatnonzero(ids >= 0)
+        out[places[hit]] = ids[hit]
+        scatter(out, places[missed], counts[missed], slow)
         per_text = np.bincount(doc, counts, len(texts)).astype(np.int64)
         return out, per_text
 

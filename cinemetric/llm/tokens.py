@@ -1,39 +1,96 @@
-"""Token ids of whole texts with a ``tokenizers`` file, as fast as two word caches allow.
-
-A text is cut in front of every space.  Where no space is followed by more white space, no match
-of the two pre-tokenizers reaches over such a cut, so the ids of a text are the ids of its pieces
-in order.  A worker keeps the ids of pieces, and of the words inside them, that it has met in
-bounded caches.  New pieces of Latin script are split by the vocabulary's own published pattern
-and only their new words go through the library's model; other pieces, and texts with longer runs
-of white space or with the string of an added token (``<|endoftext|>``), are given to the library
-whole.  So the ids are those of the file with ``add_special_tokens=False``.
+"""Token ids of whole texts with a ``tokenizers`` file, a batch of texts at once.
+
+Texts are split into the matches of the file's published pre-tokenizer pattern with array operations,
+and each distinct match is encoded once while its worker remembers it (tables of fixed size):
+
+* byte-level files go through the codec of operator 11, where the file's merges rank tokens in the
+  order of their ids;
+* the lower-case word file looks its words up in a table; new ones are given to the library in one
+  text of them all, whose ids part behind each token that ends a word.
+
+Texts with the string of an added token (``<|endoftext|>``), and for the word file those with
+characters outside printable Latin (which its normalizer may change), are given to the library whole.
+So the ids are those of the file with ``add_special_tokens=False``.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from array import array
+from functools import partial
 
-import regex
+import numpy as np
+
+from cinemetric.llm import byte_bpe
+from cinemetric.llm.idtable import SHORT, IdTable, word_view
+from cinemetric.llm.recent import Recent
 
-CACHE_ENTRIES = 400_000
-_LONG_SPACE = re.compile(r" \s")
 #: Printable Latin characters: no combining marks, no white space but the two plain ones.
 _LATIN = re.compile("[ \n!-~" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xA1, 0x12F), (0x131, 0x24F))) + "]*")
-#: The pre-tokenizer patterns of the two public vocabularies.
-_PATTERNS = {
-    "byte": r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",
-    "word": r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+""",
-}
+#: Fixed value: the pre-tokenizer pattern of the word file.
+WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+WORD_END = "</w>"
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
 def _byte_letters() -> dict[int, str]:
     """Byte-level vocabularies name visible bytes by themselves, the others from 256 on in order."""
-    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = [b for b in range(256) if b not in visible]
-    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {**{b: chr(b) for b in visible}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+
+def _ranked_tokens(model: dict) -> list[bytes] | None:
+    """Token bytes by id, if the merges rank tokens in the order of their ids."""
+    byte_of = {c: b for b, c in _byte_letters().items()}
+    by_id = sorted(model["vocab"].items(), key=lambda kv: kv[1])
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    results = [model["vocab"].get(a + b) for a, b in pairs]
+    if model.get("end_of_word_suffix") or results != list(range(256, 256 + len(results))) or [i for _, i in by_id] != list(range(len(by_id))):
+        return None
+    return [bytes(byte_of[c] for c in name) for name, _ in by_id]
+
+
+class WordEncoder:
+    """Ids of printable Latin texts by the lower-case word file."""
+
+    def __init__(self, tokenizer, model: dict, classes: np.ndarray):
+        self.tokenizer, self.classes = tokenizer, classes
+        self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.ends[[i for name, i in model["vocab"].items() if name.endswith(WORD_END)]] = True
+        self.table, self.recent = IdTable(), Recent(byte_bpe.CACHE_BYTES)
+
+    def _library(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, np.uint32)
+        return ids, np.diff(np.flatnonzero(self.ends[ids]) + 1, prepend=0)
+
+    def _long(self, words: list[bytes]) -> list[bytes]:
+        ids, counts = self._library(words)
+        return [x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+    def _short(self, raw: bytes, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self._library([raw[a:b] for a, b in zip(at.tolist(), (at + size).tolist())])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        joined = "\0".join(texts).lower() + "\0"
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        classes = self.classes[codes]
+        edges = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
+        classes[edges] = byte_bpe.EDGE
+        begins = classes == byte_bpe.NUMBER
+        begins[1:] |= classes[1:] != classes[:-1]
+        begins[0] = True
+        byte_bpe.split_contractions(codes, begins)
+        raw, at = joined.encode(), np.flatnonzero(begins)
+        kinds = classes[at]
+        at, size = byte_bpe.byte_spans(raw, codes, at)
+        text = np.cumsum(kinds == byte_bpe.EDGE)
+        kept = kinds < byte_bpe.SPACE
+        at, size, text = at[kept], size[kept], text[kept]
+        ids, counts = byte_bpe.looked_up(raw, word_view(raw), at, size, self.table, partial(self._short, raw), self.recent, self._long)
+        sizes = np.bincount(text, counts, len(texts)).astype(np.int64)
+        return np.split(ids, np.cumsum(sizes)[:-1])
 
 
 class Encoder:
@@ -46,66 +103,55 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
-        self.model = self.tokenizer.model
-        self.lower = self.tokenizer.normalizer is not None
-        self.findall = regex.compile(_PATTERNS["word" if self.lower else "byte"]).findall
-        self.letters = _byte_letters()
         added = self.tokenizer.get_added_tokens_decoder().values()
         strings = [a.content for a in added]
         self.added = re.compile("|".join(map(re.escape, strings)) or "(?!)", re.I if any(a.normalized for a in added) else 0)
         # what all their strings begin with, as far as case does not matter: quick to look for
         self.lead = re.match(r"[!-@\[-`{-~]*", os.path.commonprefix(strings))[0]
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        tokens = _ranked_tokens(file["model"]) if file["normalizer"] is None else None
+        self.codec = self.words = None
+        if tokens:
+            self.codec = byte_bpe.Codec(tokens, byte_bpe.PerfectHash.build(tokens), byte_bpe.character_classes())
+        elif file["model"].get("end_of_word_suffix") == WORD_END and WORD_PATTERN in json.dumps(file["pre_tokenizer"]).replace("\\\\", "\\"):
+            self.words = WordEncoder(self.tokenizer, file["model"], byte_bpe.character_classes())
 
     def _library(self, text: str) -> bytes:
-        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        if not _LATIN.fullmatch(piece):
-            return self._library(piece)
-        words, out = self.words, []
-        for word in self.findall(piece.lower() if self.lower else piece):
-            ids = words.get(word)
-            if ids is None:
-                if word.isascii() and word.isprintable():
-                    named = word.replace(" ", self.letters[32])
-                else:
-                    named = word.encode().decode("latin-1").translate(self.letters)
-                ids = words[word] = array("H", [x.id for x in self.model.tokenize(named)]).tobytes()
-            out.append(ids)
-        return b"".join(out)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+
+    def _plain(self, text: str) -> bool:
+        if self.lead in text and self.added.search(text):
+            return False
+        return self.codec is not None or (self.words is not None and bool(_LATIN.fullmatch(text)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        known = self.pieces
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
-        out = []
-        for t in texts:
-            if not t:
-                out.append(b"")
-            elif _LONG_SPACE.search(t) or "\0" in t or (self.lead in t and self.added.search(t)):
-                out.append(self._library(t))
-            else:
-                parts = t.replace(" ", "\0 ").split("\0")
-                ids = list(map(known.get, parts))
-                if None in ids:
-                    for i, x in enumerate(ids):
-                        if x is None:
-                            p = parts[i]
-                            x = known.get(p)
-                            if x is None:
-                                x = known[p] = self._piece(p)
-                            ids[i] = x
-                out.append(b"".join(ids))
+        out = [b""] * len(texts)
+        plain = []
+        for i, t in enumerate(texts):
+            if t and self._plain(t):
+                plain.append(i)
+            elif t:
+                out[i] = self._library(t)
+        if self.codec is not None:
+            for i, ids in zip(plain, self.codec.encode([texts[i] for i in plain])):
+                out[i] = ids.astype("<u2").tobytes()
+            return out
+        held, chars = [], 0
+        for k, i in enumerate(plain):
+            held.append(i)
+            chars += len(texts[i])
+            if chars >= byte_bpe.BATCH_CHARS or k + 1 == len(plain):
+                for j, ids in zip(held, self.words.encode([texts[j] for j in held])):
+                    out[j] = ids.astype("<u2").tobytes()
+                held, chars = [], 0
         return out
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder of a vocabulary file; it lives as long as the worker process."""
+    """The worker's encoder of a vocabulary file; a worker keeps one, the last it used."""
     if path not in _ENCODERS:
+        _ENCODERS.clear()
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
