@@ -11,8 +11,9 @@ fraction that is left with whole documents: first in the order of a seeded hash
 text, by a histogram of the hash (partial sums before the shuffle), up to the last bucket that
 fits; then, past what did not fit, by a histogram of the sizes of the others, from the largest
 that fits down, so that what stays open is less than any document left; and the smallest left if
-taking it is nearer than leaving the gap open.  Documents of one size are taken in hash order,
-ranked within hash buckets behind the bucket's offset, so no window runs over more than a bucket.
+taking it is nearer than leaving the gap open.  Documents of one size are taken in the order of a hash
+of id, source and text, ranked within hash buckets behind the bucket's offset, so no window runs over
+more than a bucket, and a rerun takes the same whatever the input's partitions are.
 
 Defined cases: a null text has size 0 and takes 0 words; a source of size 0 has target 0; a null
 source is a source of its own, last in the order; repeated rows and rows without id
@@ -108,6 +109,7 @@ def mix(
         F.col(source).alias("source"),
         word_count(F.col(text)).alias("size"),
         F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id), F.col(source), F.col(text)), F.lit(BUCKETS * 1024)).alias("_u"),
+        F.xxhash64(F.lit(seed + 2), F.col(doc_id), F.col(source), F.col(text)).alias("_v"),
         F.monotonically_increasing_id().alias("_key"),
         *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
     )
@@ -149,7 +151,7 @@ def mix(
     # what can still be taken: all that fit, and what is nearer than leaving the gap open
     rest = (
         placed.filter((F.col("_bucket") > F.col("_last")) & (F.col("size") > 0) & (F.col("size") < 2 * F.col("_open")))
-        .select("source", "size", "_open", "_key", F.pmod(F.xxhash64("_u"), F.lit(BUCKETS)).alias("_a"), F.pmod(F.xxhash64("_key"), F.lit(SALTS)).alias("_b"))
+        .select("source", "size", "_open", "_key", "_salt", "_v", F.pmod("_v", F.lit(BUCKETS)).alias("_a"), F.pmod(F.xxhash64("_v"), F.lit(SALTS)).alias("_b"))
     )
     parts = rest.groupBy("source", "size", "_a", "_b").agg(F.count(F.lit(1)).alias("n"), F.first("_open").alias("_open"))
     counts = parts.groupBy("source", "size").agg(F.sum("n").alias("n"), F.first("_open").alias("_open"))
@@ -179,11 +181,22 @@ def mix(
         .filter(F.col("_from") < F.col("_take"))
         .select(F.col("source").alias("_tsource"), F.col("size").alias("_tsize"), F.col("_a").alias("_ta"), F.col("_b").alias("_tb"), (F.col("_take") - F.col("_from")).alias("_n"))
     )
-    within = Window.partitionBy("source", "size", "_a", "_b").orderBy("_key")
+    # within a bucket by the hash of what a document is; the row key only tells equal rows apart
+    bucket = ["source", "size", "_a", "_b"]
+    due = rest.join(starts, same & (F.col("_a") == F.col("_ta")) & (F.col("_b") == F.col("_tb")))
+    equal = due.groupBy(*bucket, "_v", "_salt").agg(F.count(F.lit(1)).alias("_m"), F.first("_n").alias("_n"))
+    earlier = Window.partitionBy(*bucket).orderBy("_v", "_salt").rowsBetween(Window.unboundedPreceding, -1)
+    quota = (
+        equal.withColumn("_q", F.col("_n") - F.coalesce(F.sum("_m").over(earlier), F.lit(0)))
+        .filter("_q > 0")
+        .select(F.col("source").alias("_qsource"), F.col("size").alias("_qsize"), F.col("_v").alias("_qv"), F.col("_salt").alias("_qsalt"), "_q")
+    )
+    of_quota = F.col("source").eqNullSafe(F.col("_qsource")) & (F.col("size") == F.col("_qsize")) & (F.col("_v") == F.col("_qv")) & (F.col("_salt") == F.col("_qsalt"))
+    within = Window.partitionBy("source", "size", "_v", "_salt").orderBy("_key")
     chosen = (
-        rest.join(starts, same & (F.col("_a") == F.col("_ta")) & (F.col("_b") == F.col("_tb")))
+        rest.join(quota, of_quota)
         .withColumn("_at", F.row_number().over(within))
-        .filter(F.col("_at") <= F.col("_n"))
+        .filter(F.col("_at") <= F.col("_q"))
         .select("_key", F.lit(1).alias("_one"))
     )
     out = placed.join(chosen, "_key", "left")

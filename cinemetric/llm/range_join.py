@@ -19,7 +19,8 @@ the join is then as exact, and as costly, as comparing all of a label block by b
 
 Defined cases: a vector that is null, empty, zero, or holds a null or non-finite component, or
 whose label is null, links with nothing and is kept; vectors of different lengths do not link;
-rows that repeat a ``vec_id`` are vectors of their own.
+rows that repeat a ``vec_id``, and rows without one, are vectors of their own; a component's id is the
+smallest that any of its vectors has (none: null, and all its vectors are kept).
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 def _join(homes: pa.Table, members: pa.Table, cosine: float) -> pa.Table:
     """One block pair: links of every home vector, and stars that connect what is linked."""
-    a_id, b_id = (t.column("first_id").to_numpy() for t in (homes, members))
+    a_id, b_id = (t.column("kind").to_numpy() for t in (homes, members))
     x, y = (unit(matrix(t.column("embedding"))) for t in (homes, members))
     weight = members.column("weight").to_numpy()
     left, right = [], []
@@ -91,9 +92,9 @@ def near_vectors(
         vectors.filter(ok)
         .groupBy(F.size("embedding").alias("dim"), "label", "embedding")
         .agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("weight"))
-        .filter(F.col("first_id").isNotNull())
     )
-    kinds = stored(kinds, f"{folder}/kinds")
+    # a kind is known by its own number, drawn once: several kinds may share an id, or have none
+    kinds = stored(kinds.withColumn("kind", F.monotonically_increasing_id()), f"{folder}/kinds")
 
     total = kinds.count()
     cell = max(CELL, -(-total // MAX_PIVOTS))
@@ -144,7 +145,7 @@ def near_vectors(
                 names=[*batch.schema.names, "home", "far", "cells"],
             )
 
-    placed_type = "dim int, label string, embedding array<float>, first_id long, weight long, home long, far double, cells array<long>"
+    placed_type = "dim int, label string, embedding array<float>, first_id long, weight long, kind long, home long, far double, cells array<long>"
     kinds = kinds.withColumn("embedding", F.col("embedding").cast("array<float>")) if "double" not in dict(kinds.dtypes)["embedding"] else kinds
     placed_type = placed_type.replace("array<float>", dict(kinds.dtypes)["embedding"])
     radius = {k: np.zeros(len(p)) for k, p in pivots.items()}
@@ -172,8 +173,8 @@ def near_vectors(
             blocks = F.create_map(*entries)
     key = F.concat_ws("/", "dim", "label", "cell")
     many = lambda side: F.coalesce(blocks[key][side], F.lit(1))
-    h = F.xxhash64("first_id", F.lit(9))
-    wanted = ["dim", "label", "cell", "hb", "mb", "first_id", "embedding", "weight"]
+    h = F.xxhash64("kind", F.lit(9))
+    wanted = ["dim", "label", "cell", "hb", "mb", "kind", "embedding", "weight"]
     homes = (
         placed.withColumn("cell", F.col("home"))
         .withColumn("hb", F.pmod(h, many("h")))
@@ -196,14 +197,16 @@ def near_vectors(
     found = stored(homes.groupBy(*by).cogroup(members.groupBy(*by)).applyInArrow(join, FOUND), f"{folder}/found")
     links = found.filter(F.col("links").isNotNull()).groupBy(F.col("a").alias("n_id")).agg(F.sum("links").alias("far_links"))
     linked = components(found.filter(F.col("b").isNotNull()).select("a", "b"), folder)
+    reached = kinds.join(linked, kinds.kind == linked.node, "left").withColumn("root", F.coalesce("root", "kind"))
+    smallest = reached.groupBy(F.col("root").alias("of_root")).agg(F.min("first_id").alias("component_id"))
     classes = (
-        kinds.join(links, kinds.first_id == links.n_id, "left")
-        .join(linked, kinds.first_id == linked.node, "left")
+        reached.join(links, F.col("kind") == F.col("n_id"), "left")
+        .join(smallest, F.col("root") == F.col("of_root"))
         .select(
             F.col("label").alias("k_label"),
             F.col("embedding").alias("k_embedding"),
             (F.coalesce("far_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-            F.coalesce("root", "first_id").alias("component_id"),
+            "component_id",
         )
     )
     same = ok & (F.col("label") == F.col("k_label")) & (F.col("embedding") == F.col("k_embedding"))

@@ -413,3 +413,27 @@ def test_crc_of_ids_is_of_32_bit_words():
 
     ids = np.array([5, 70, 50256], "<u2")
     assert token_files.ids_crc32(pa.array([ids.tobytes()])).tolist() == [zlib.crc32(ids.astype("<u4").tobytes())]
+
+
+def test_range_join_repeated_and_null_ids(spark):
+    v, w = [1.0] + [0.0] * 7, [0.0, 1.0] + [0.0] * 6
+    near = [1.0, 0.05] + [0.0] * 6
+    rows = [(5, v, "1"), (5, w, "2"), (6, near, "1"), (None, w, "3"), (None, w, "3"), (7, v, "4"), (None, near, "4"), (8, v, "5"), (8, v, "5")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string").withColumn("kind", F.lit("x")).repartition(3)
+    got = sorted([tuple(r) for r in range_join.near_vectors(table).collect()], key=str)
+    want = [
+        (5, 1, 5, True), (5, 0, 5, True), (6, 1, 5, False), (None, 1, None, True), (None, 1, None, True),
+        (7, 1, 7, True), (None, 1, 7, True), (8, 1, 8, True), (8, 1, 8, True),
+    ]
+    assert got == sorted(want, key=str)
+
+
+def test_mix_is_the_same_for_any_partitions(spark):
+    n = 30_000
+    docs = spark.range(n).select(
+        F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.col("id") % (n - 400)).alias("doc_id"),
+        F.repeat(F.lit("w "), (F.col("id") % 7 + 1).cast("int")).alias("text"), F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("source"),
+    )
+    taken = lambda p: sorted(map(str, mixing.mix(docs.repartition(p), weights=(5.0, 2.0, 1.0), max_epochs=3.0).drop("copies").collect()))
+    first = taken(3)
+    assert len(first) == n and first == taken(7)
