@@ -2,20 +2,22 @@
 
 1. Tasks cut their texts into pieces and words and gather them, per language, into shards of about
    ``SHARD_BYTES``: a sequence of numbers of the shard's distinct words, 0 between pieces.
-2. Words are counted over all shards; only frequent ones can stand in a candidate, so they get ids
-   and all others become breaks.
+2. Words are counted over all shards; only frequent ones can stand in a candidate, so they get dense
+   ids (in the order of language and word) and all others become breaks.
 3. Per length 2, 3, 4: each shard builds the index of its sequence in both directions (suffixes
    sorted to that depth, their BWT, last-to-first mapping) and extends the intervals of its words by
    turns to the right and to the left, keeping the interval of either direction; that lists every
-   n-gram with its count.  Counts are summed across shards in one shuffle, and n-grams that stay
-   rare become breaks in their shards before the next length, so no n-gram is listed of which a
-   part is rare.
+   n-gram with its count.  Counts are summed across shards in one shuffle, in which a shard's n-grams
+   travel as sorted, compressed arrays per slot of their hash; a bit per n-gram comes back, and those
+   that stay rare become breaks in their shards before the next length, so no n-gram is listed of
+   which a part is rare.
 4. The frequent n-grams are the candidates.  Counts of their parts, and the highest count among
    their one-word extensions to the left and right (which decides containment: of a longer
    candidate that holds a phrase, the n-grams between them are at least as frequent), come by joins.
 
 Nothing is dropped that could matter: a part of a frequent n-gram is frequent.  A shard is as long as
-``SHARD_BYTES`` or its longest text; a group in a shuffle has one row per shard at most.
+``SHARD_BYTES`` or its longest text; a slot holds about ``SLOT_GRAMS`` n-grams, of which each has one
+entry per shard at most.
 
 Defined cases: a null or empty text has no words; a null lang is ``und``; repeated rows count each;
 without candidates, or from an empty table, no rows; extra columns are left out.  Text is UTF-8
@@ -32,10 +34,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinemetric.llm.arrays import pack_arrays, unpack_arrays
+from cinemetric.llm.arrays import by_slot, hash_range, pack_arrays, unpack_arrays
+from cinemetric.llm.idtable import hashed
 from cinemetric.llm.shared import stored, work_dir
+from cinemetric.operators.keys import ordered_index
 
 SHARD_BYTES = 8 << 20
+SLOT_GRAMS = 1 << 21
 LONGEST = 4
 NO_LANGUAGE = "und"
 #: What ends a piece, and what stands between words.
@@ -43,9 +48,10 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 
 SHARDS = "shard long, lang string, n long, words array<binary>, counts array<long>, seq binary"
-STATE = "shard long, seq binary, ids array<long>"
-GRAMS = "shard long, place long, " + ", ".join(f"g{i + 1} long" for i in range(LONGEST)) + ", n long"
+STATE = "shard long, size long, seq binary, ids array<long>"
 _KEY = [f"g{i + 1}" for i in range(LONGEST)]
+GRAMS = "slot long, shard long, grams binary"
+VERDICTS = "shard long, slot long, alive binary, " + ", ".join(f"{g} long" for g in _KEY) + ", f long"
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _KIND = np.array([2 if b in PIECE_ENDS else 1 if b in BLANKS else 0 for b in range(256)], np.uint8)
@@ -148,17 +154,20 @@ def ngrams(seq: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return words[order], size[order]
 
 
-def broken(seq: np.ndarray, depth: int, kept: np.ndarray) -> np.ndarray:
-    """The sequence with a break where an n-gram of ``depth`` words is none of ``kept`` (places in ``ngrams``)."""
-    key = _depth_keys(seq, depth)
+def occurrences(seq: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where n-grams of ``depth`` words stand, the place of each in ``ngrams``, and the words of all places."""
     whole = np.ones(len(seq), bool)
     for k in range(depth):
         whole &= np.roll(seq, -k) > 0
-    places = np.unique(key[whole], return_inverse=True)[1]
-    alive = np.zeros(len(seq), bool)
-    alive[np.flatnonzero(whole)[np.isin(places, kept)]] = True
+    at = np.flatnonzero(whole)
+    first, places = np.unique(_depth_keys(seq, depth)[at], return_index=True, return_inverse=True)[1:]
+    return at, places, seq[at[first][:, None] + np.arange(depth)]
+
+
+def broken(seq: np.ndarray, depth: int, at: np.ndarray, alive: np.ndarray) -> np.ndarray:
+    """The sequence with a break wherever the n-gram of ``depth`` words that stands at ``at`` is not alive."""
     # words of an n-gram that is kept stay; between two that do not share the rest of one is a break
-    starts = np.flatnonzero(alive)
+    starts = at[alive]
     if not len(starts):
         return np.zeros(1, seq.dtype)
     run = np.append(True, np.diff(starts) > 1)
@@ -170,6 +179,29 @@ def broken(seq: np.ndarray, depth: int, kept: np.ndarray) -> np.ndarray:
     return _closed(out)
 
 
+def _keys(ids: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams of a shard as two numbers each: the first two words, and what follows."""
+    g = np.zeros((len(words), LONGEST), np.uint64)
+    g[:, : words.shape[1]] = ids.astype(np.uint64)[words - 1]
+    up = np.uint64(32)
+    return g[:, 0] << up | g[:, 1], g[:, 2] << up | g[:, 3]
+
+
+def _slots(front: np.ndarray, rest: np.ndarray, slots: int) -> np.ndarray:
+    return hash_range(hashed(front, rest, np.uint64(1)), slots)
+
+
+def _pack_grams(front: np.ndarray, rest: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted n-grams and their counts; the bytes of one weight stand together, which packs them well."""
+    planes = lambda x: np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).ravel()
+    return pack_arrays(planes(np.diff(front, prepend=np.uint64(0))), planes(rest), planes(counts.astype(np.uint64)))
+
+
+def _unpack_grams(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    front, rest, counts = (np.ascontiguousarray(x.reshape(8, -1).T).view(np.uint64).ravel() for x in unpack_arrays(blob))
+    return np.cumsum(front, dtype=np.uint64), rest, counts
+
+
 def _batch(schema: str, **columns) -> pa.RecordBatch:
     types = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
     fields = [f.split() for f in schema.split(", ")]
@@ -212,16 +244,19 @@ def shards(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame
     return docs.select(language, F.col(text).cast("string").alias("text")).mapInArrow(run, SHARDS)
 
 
+def _state(shard: int, seq: np.ndarray, ids: np.ndarray) -> pa.Table:
+    return _table(STATE, shard=[shard], size=[len(seq)], seq=[pack_arrays(seq.astype(np.uint32))], ids=[ids])
+
+
 def _frequent_sequence(left: pa.Table, right: pa.Table) -> pa.Table:
-    """A shard's sequence over its frequent words, numbered in the order of their places."""
+    """A shard's sequence over its frequent words, numbered in the order of their ids."""
     if not left.num_rows or not right.num_rows:
         return _table(STATE)
-    right = right.sort_by("place")
+    right = right.sort_by("id")
     seq = unpack_arrays(left.column("seq")[0].as_py())[0].astype(np.int64)
     number = np.zeros(int(seq.max()) + 1, np.int64)
     number[right.column("place").to_numpy() + 1] = np.arange(1, right.num_rows + 1)
-    closed = _closed(number[seq])
-    return _table(STATE, shard=left.column("shard").to_pylist(), seq=[pack_arrays(closed.astype(np.uint32))], ids=[right.column("id").to_numpy()])
+    return _state(left.column("shard")[0].as_py(), _closed(number[seq]), right.column("id").to_numpy())
 
 
 def _table(schema: str, **columns) -> pa.Table:
@@ -229,30 +264,62 @@ def _table(schema: str, **columns) -> pa.Table:
     return pa.Table.from_batches([_batch(schema, **(columns or {n: [] for n in names}))])
 
 
-def shard_ngrams(state: DataFrame, depth: int) -> DataFrame:
-    """``shard, place, g1.., n``: every n-gram of ``depth`` words of every shard with its count there."""
+def shard_ngrams(state: DataFrame, depth: int, slots: int) -> DataFrame:
+    """``slot, shard, grams``: every n-gram of ``depth`` words of every shard with its count there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, blob, ids in zip(batch.column("shard").to_pylist(), batch.column("seq").to_pylist(), batch.column("ids")):
                 words, counts = ngrams(unpack_arrays(blob)[0].astype(np.int64), depth)
-                ids = ids.values.to_numpy()
-                for at in range(0, len(words), 1 << 16):
-                    part = slice(at, at + (1 << 16))
-                    n = len(counts[part])
-                    grams = {f"g{k + 1}": ids[words[part, k] - 1] if k < depth else np.zeros(n, np.int64) for k in range(LONGEST)}
-                    yield _batch(GRAMS, shard=np.full(n, shard), place=np.arange(at, at + n), n=counts[part], **grams)
+                front, rest = _keys(ids.values.to_numpy(), words)
+                rows = [(s, _pack_grams(front[at], rest[at], counts[at])) for s, at in by_slot(_slots(front, rest, slots))]
+                for at in range(0, len(rows), 64):
+                    part = rows[at : at + 64]
+                    yield _batch(GRAMS, slot=[s for s, _ in part], shard=[shard] * len(part), grams=[x for _, x in part])
 
     return state.mapInArrow(run, GRAMS)
 
 
-def _reduced(depth: int):
+def _summed(min_count: int):
+    """One slot: a bit per n-gram and shard, and the frequent n-grams with their counts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        given = [_unpack_grams(x) for x in table.column("grams").to_pylist()]
+        sizes = [len(x[0]) for x in given]
+        front, rest, counts = (np.concatenate(x) for x in zip(*given))
+        order = np.lexsort((rest, front))
+        new = np.ones(len(order), bool)
+        new[1:] = (front[order][1:] != front[order][:-1]) | (rest[order][1:] != rest[order][:-1])
+        first = np.flatnonzero(new)
+        totals = np.add.reduceat(counts[order], first).astype(np.int64)
+        alive = np.empty(len(order), bool)
+        alive[order] = np.repeat(totals >= min_count, np.diff(first, append=len(order)))
+        n, kept = table.num_rows, order[first[totals >= min_count]]
+        none, low = [None] * n, np.uint64(0xFFFFFFFF)
+        bits = [np.packbits(x).tobytes() for x in np.split(alive, np.cumsum(sizes)[:-1])]
+        words = (front[kept] >> np.uint64(32), front[kept] & low, rest[kept] >> np.uint64(32), rest[kept] & low)
+        blank = [None] * len(kept)
+        return pa.Table.from_batches([
+            _batch(VERDICTS, shard=table.column("shard").to_pylist(), slot=table.column("slot").to_pylist(), alive=bits, f=none, **{g: none for g in _KEY}),
+            _batch(VERDICTS, shard=blank, slot=blank, alive=blank, f=totals[totals >= min_count], **{g: w.astype(np.int64) for g, w in zip(_KEY, words)}),
+        ])
+
+    return run
+
+
+def _reduced(depth: int, slots: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _table(STATE)
         seq = unpack_arrays(left.column("seq")[0].as_py())[0].astype(np.int64)
-        seq = broken(seq, depth, np.unique(right.column("place").to_numpy()))
-        return _table(STATE, shard=left.column("shard").to_pylist(), seq=[pack_arrays(seq.astype(np.uint32))], ids=left.column("ids").to_pylist())
+        ids = left.column("ids").chunk(0).values.to_numpy()
+        at, places, words = occurrences(seq, depth)
+        bits = dict(zip(right.column("slot").to_pylist(), right.column("alive").to_pylist()))
+        alive = np.zeros(len(words), bool)
+        for slot, grams in by_slot(_slots(*_keys(ids, words), slots)):
+            alive[grams] = np.unpackbits(np.frombuffer(bits[slot], np.uint8), count=len(grams))
+        seq = broken(seq, depth, at, alive[places])
+        return _state(left.column("shard")[0].as_py(), seq, ids) if len(seq) > 1 else _table(STATE)
 
     return run
 
@@ -270,21 +337,22 @@ def frequent_ngrams(docs: DataFrame, min_count: int, lang: str = "lang", text: s
     local = cut.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
     local = local.select("shard", "place", "lang", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     counted = local.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
-    # ids are drawn once: every later step reads the written table
-    words = stored(counted.withColumn("id", F.monotonically_increasing_id() + 1), f"{folder}/words")
+    words = stored(ordered_index(stored(counted, f"{folder}/counted"), ["lang", "word"], "id"), f"{folder}/words")
+    words = words.withColumn("id", F.col("id").cast("long"))
     hits = local.join(words, ["lang", "word"]).select(F.col("shard").alias("of"), F.col("place").cast("long").alias("place"), "id")
     state = cut.select("shard", "seq").groupBy("shard").cogroup(hits.groupBy("of")).applyInArrow(_frequent_sequence, STATE)
     state = stored(state, f"{folder}/words-state")
     found = [words.select(F.col("id").alias("g1"), *[F.lit(0).cast("long").alias(g) for g in _KEY[1:]], "f")]
     for depth in range(2, LONGEST + 1):
-        # one row per n-gram and shard meets its namesakes
-        total = F.sum("n").over(Window.partitionBy(*_KEY[:depth]))
-        kept = shard_ngrams(state, depth).withColumn("f", total).filter(F.col("f") >= min_count)
-        kept = stored(kept.drop("n"), f"{folder}/grams-{depth}")
-        found.append(kept.groupBy(*_KEY).agg(F.first("f").alias("f")))
+        positions = state.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]  # no shard has more n-grams
+        slots = max(1, -(-positions // SLOT_GRAMS))
+        summed = shard_ngrams(state, depth, slots).groupBy("slot").applyInArrow(_summed(min_count), VERDICTS)
+        summed = stored(summed, f"{folder}/grams-{depth}")
+        found.append(summed.filter("shard IS NULL").select(*_KEY, "f"))
         if depth < LONGEST:
-            pairs = state.groupBy("shard").cogroup(kept.select(F.col("shard").alias("of"), "place").groupBy("of"))
-            state = stored(pairs.applyInArrow(_reduced(depth), STATE), f"{folder}/state-{depth}")
+            bits = summed.filter("shard IS NOT NULL").select(F.col("shard").alias("of"), "slot", "alive")
+            state = state.groupBy("shard").cogroup(bits.groupBy("of")).applyInArrow(_reduced(depth, slots), STATE)
+            state = stored(state, f"{folder}/state-{depth}")
     grams = found[0]
     for more in found[1:]:
         grams = grams.unionByName(more)
