@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cinemetric.oracle_sql import DOC_CTES, with_views
+from cinemetric.oracle_sql import DOC_CTES, LINE_SEQ, STAGE_CTES, with_views
 
 
 def _reasons(pairs: list[tuple[str, str]]) -> str:
@@ -172,3 +172,41 @@ CHECKS["numeric_id_documents"] = with_views("SELECT id FROM cdocs WHERE id % 5 <
 CHECKS["nested_preference_genres"] = """
 SELECT CASE WHEN c_custkey % 11 = 0 THEN 'Drama' ELSE c_mktsegment END AS genre, count(*) AS profiles
 FROM customer WHERE c_custkey % 29 <> 0 GROUP BY genre"""
+
+
+# Tables after a batch.
+_FIRST_CHANGE = f"""first_change AS (
+  SELECT user_id, movie_id, rating FROM (
+    SELECT o_custkey AS user_id, CAST(l_partkey + 1 AS INT) AS movie_id, CAST(l_quantity / 10 AS DECIMAL(3,1)) AS rating,
+           row_number() OVER (PARTITION BY o_custkey, l_partkey ORDER BY {LINE_SEQ}) AS rn
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 6) t WHERE rn = 1)"""
+CHECKS["ratings_table_upserted"] = with_views("""
+SELECT user_id, movie_id, rating FROM ratings WHERE (user_id, movie_id) NOT IN (SELECT (user_id, movie_id) FROM change_rows)
+UNION ALL SELECT user_id, movie_id, rating FROM change_rows""", STAGE_CTES)
+CHECKS["ratings_table_inserted"] = with_views("""
+SELECT user_id, movie_id, rating FROM ratings
+UNION ALL SELECT user_id, movie_id, rating FROM first_change WHERE (user_id, movie_id) NOT IN (SELECT (user_id, movie_id) FROM ratings)""", _FIRST_CHANGE)
+CHECKS["ratings_table_deleted"] = with_views("""
+SELECT user_id, movie_id, rating FROM ratings WHERE (user_id, movie_id) NOT IN (SELECT (user_id, movie_id) FROM first_change)""", _FIRST_CHANGE)
+
+
+def _left(tables: list[tuple[str, str, str, str]], gone: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, concat_ws(':', {key}) AS key FROM {source} WHERE {column} NOT IN ({gone})" for name, source, column, key in tables
+    )
+
+
+CHECKS["movie_cascade_tables"] = with_views(_left(
+    [("movies", "movies", "movie_id", "movie_id"), ("ratings", "ratings", "movie_id", "movie_id, user_id")]
+    + [(n, n, "movie_id", k) for n, k in (
+        ("movie_genres", "movie_id, genre_id"), ("movie_production_companies", "movie_id, company_id"), ("movie_keywords", "movie_id, keyword_id"),
+        ("movie_cast", "movie_id, person_id"), ("movie_crew", "movie_id, person_id, job"))],
+    "SELECT movie_id FROM movies WHERE popularity IS NULL"))
+CHECKS["movie_document_cascade"] = with_views(_left(
+    [("movies", "movies", "movie_id", "movie_id"), ("credits", "cdocs", "id", "id"),
+     ("keywords", "(SELECT DISTINCT movie_id FROM movie_keywords)", "movie_id", "movie_id"), ("ratings", "ratings", "movie_id", "movie_id, user_id")],
+    "SELECT movie_id FROM movies WHERE released_date IS NULL"), DOC_CTES)
+CHECKS["user_cascade_tables"] = with_views(_left(
+    [("users", "(SELECT c_custkey AS user_id FROM customer WHERE c_custkey % 3 <> 0)", "user_id", "user_id"),
+     ("ratings", "ratings", "user_id", "user_id, movie_id")],
+    "SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0 AND c_mktsegment = 'BUILDING'"))

@@ -20,6 +20,7 @@ from cinemetric.plans import loads as L
 from cinemetric.plans import probes as P
 from cinemetric.plans import schema_checks as K
 from cinemetric.plans import search as S
+from cinemetric.plans import table_jobs as TJ
 
 Query = Callable[[object], DataFrame]
 
@@ -204,6 +205,12 @@ def load_queries() -> dict[str, Query]:
         "rating_remap_audit": L.remap_audit,
         "validate_rating_rows": checked,
         "validate_raw_events": L.event_check_summary,
+        "ratings_table_upserted": TJ.ratings_table_upserted,
+        "ratings_table_inserted": TJ.ratings_table_inserted,
+        "ratings_table_deleted": TJ.ratings_table_deleted,
+        "movie_cascade_tables": TJ.movie_cascade_tables,
+        "movie_document_cascade": TJ.movie_document_cascade,
+        "user_cascade_tables": TJ.user_cascade_tables,
         "document_reason_counts": DK.document_reason_counts,
         "rating_change_outcomes": DK.rating_change_outcomes,
         "mixed_cast_lists": DK.mixed_cast_lists,
