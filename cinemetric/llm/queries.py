@@ -40,7 +40,7 @@ def op3_tournament_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.removal_digest(repeats.removed_spans(table(spark, sf_dir, "documents"), length=400))
+    return repeats.removal_digests(table(spark, sf_dir, "documents"), length=400)
 
 
 def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame):

@@ -13,12 +13,17 @@ arrays of positions, never text.
 3. Cover sample.  Positions whose offset modulo ``PERIOD`` is in the difference cover are the
    sample.  Their ``length``-byte strings are sorted lexicographically, a range of strings at a
    time, and their ranks are written beside each block.  A block sends each distinct string once.
-4. Suffix buckets.  All candidate starts are dealt by a hash of their first ``PERIOD`` bytes, and
+4. Suffix buckets.  Of starts that are equal within a block (told by their bytes) one stands for all,
+   which are hits at once; so a passage in very many texts meets itself once per block.  What is
+   left is dealt by a hash of their first ``PERIOD`` bytes, and
    a task sorts one bucket at a time: equal prefixes are long ties, and for any two of them the
    cover has a shift, below ``PERIOD``, at which both are in the sample; the ranks there decide.
    So a bucket needs its positions and their next few ranks in memory, not their text.  Starts
    that are equal over ``length`` bytes end up side by side; neighbours are told equal by equal
    ranks, or by their bytes where the ranks look beyond ``length``.
+   Long texts are taken in overlapping pieces of ``BLOCK_BYTES`` starts, so no block, and no step
+   before the last pass, holds more than a piece of a text; the numbers of hash ranges, sample
+   ranges and suffix buckets follow the bytes and starts that there are.
 5. Starts with an equal neighbour are merged to removed spans per text, written as sorted arrays,
    and a last pass over the documents cuts them out.
 
@@ -41,8 +46,9 @@ from cinemetric.llm.arrays import by_slot, hash_range, pack_arrays, unpack_array
 from cinemetric.llm.shared import map_file, stored, work_dir, write_file
 
 GRAM, WINDOW = 32, 96  # winnowing: a minimum of WINDOW hashes of GRAM bytes
-BLOCK_BYTES = 2 << 20
-SAMPLE_BUCKET, SUFFIX_BUCKET = 100_000, 500_000
+BLOCK_BYTES = 1 << 20
+SLOT_BYTES = 64 << 20  # text bytes behind a range of hashes
+SAMPLE_BUCKET, SUFFIX_BUCKET = 60_000, 250_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 PART = "slot long, blob binary"
 
@@ -124,6 +130,12 @@ def _digest(text: bytes) -> tuple[int, int]:
     return int.from_bytes(d[:8], "big"), int.from_bytes(d[8:], "big")
 
 
+def _pieces(raw: bytes, length: int) -> Iterator[tuple[int, bytes]]:
+    """A text in pieces of ``BLOCK_BYTES`` starts, each with the bytes that its last start reaches."""
+    for at in range(0, len(raw) - length + 1, BLOCK_BYTES):
+        yield at, raw[at : at + BLOCK_BYTES - 1 + length]
+
+
 class _Sorted:
     """Arrays sorted by their first one (hashes), in one file per range of hashes."""
 
@@ -238,16 +250,38 @@ def _tie_sort(group: np.ndarray, residue: np.ndarray, ranks: np.ndarray) -> np.n
     return order
 
 
-def removed_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per input row: ``doc_id, text`` and ``spans``, the removed byte ranges ``[start, end)``."""
+def _equal_starts(text: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which starts of a block are equal over ``length`` bytes to another one, and which stand for all
+    that are equal to them (or for themselves alone)."""
+    hashes = _gram_hashes(text, length)[offsets]
+    order = np.argsort(hashes, kind="stable")
+    same = np.zeros(len(order), bool)  # equal to the one before it in order
+    near = np.flatnonzero(hashes[order][1:] == hashes[order][:-1]) + 1
+    windows = np.lib.stride_tricks.sliding_window_view(text, length)
+    for at in range(0, len(near), 20_000):
+        some = near[at : at + 20_000]
+        same[some] = (windows[offsets[order[some]]] == windows[offsets[order[some - 1]]]).all(1)
+    hit, stands = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    hit[order] = same | np.append(same[1:], False)
+    stands[order] = ~same
+    return hit, stands
+
+
+def _steps(offsets: np.ndarray) -> bytes:
+    return pack_arrays(offsets[:1], np.diff(offsets).astype("<u4"))
+
+
+def _removed(docs: DataFrame, length: int, doc_id: str, text: str, finish, schema: str) -> DataFrame:
+    """Rows that ``finish(doc_id column, texts as bytes, spans per text)`` makes of the documents, in one pass."""
     if length < GRAM + WINDOW or length < PERIOD or length > 255 * 255:
         raise ValueError(f"length must be at least {max(PERIOD, GRAM + WINDOW)}")
     spark = docs.sparkSession
     path = work_dir(spark, "repeats")
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
     inner = length - (GRAM + WINDOW - 1)  # windows inside a string, less one
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     long = rows.filter(F.octet_length("text") >= length)
+    size = long.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    slots = max(8, -(-size // SLOT_BYTES))
 
     # 1. texts that have copies, with the id whose row stands for them
     copied = (
@@ -296,11 +330,12 @@ def removed_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", te
 
         for batch in batches:
             for raw, _, _ in standing(batch):
-                held.append(_minima(raw)[1])
-                size += len(held[-1])
-                if size > 2_000_000:
-                    yield flush()
-                    size = 0
+                for _, piece in _pieces(raw, length):
+                    held.append(_minima(piece)[1])
+                    size += len(held[-1])
+                    if size > 1_000_000:
+                        yield flush()
+                        size = 0
         if held:
             yield flush()
 
@@ -323,28 +358,28 @@ def removed_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", te
         serial, texts, segments, size = 0, [], [], 0
 
         def flush() -> pa.RecordBatch:
-            block = part << 12 | serial
+            block = part << 32 | serial
             write_file(f"{path}/text-{block}", np.frombuffer(b"".join(texts), np.uint8))
             cols = [np.array(c, k) for c, k in zip(zip(*segments), ("<i8", "<i8", "<i8", "<u8", "<u8"))]
             return _rows([(block, pack_arrays(*cols))])
 
         for batch in batches:
             for raw, high, low in standing(batch):
-                minima_at = _minima(raw)[0]
-                values, back = np.unique(minima_at, return_inverse=True)
-                bad = ~repeated.has(values)[back]
-                if bad.all():
-                    continue
-                sums = np.concatenate([[0], np.cumsum(bad)])
-                ok = sums[inner + 1 :] == sums[: len(sums) - inner - 1]
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], ok.astype(np.int8), [0]])))
-                for a, b in edges.reshape(-1, 2).tolist():
-                    texts.append(raw[a : b - 1 + length])
-                    size += len(texts[-1])
-                    segments.append((size, a, b - a, high, low))
-                if size >= BLOCK_BYTES:
-                    yield flush()
-                    serial, texts, segments, size = serial + 1, [], [], 0
+                for begin, piece in _pieces(raw, length):
+                    values, back = np.unique(_minima(piece)[0], return_inverse=True)
+                    bad = ~repeated.has(values)[back]
+                    if bad.all():
+                        continue
+                    sums = np.concatenate([[0], np.cumsum(bad)])
+                    ok = sums[inner + 1 :] == sums[: len(sums) - inner - 1]
+                    edges = np.flatnonzero(np.diff(np.concatenate([[0], ok.astype(np.int8), [0]])))
+                    for a, b in edges.reshape(-1, 2).tolist():
+                        texts.append(piece[a : b - 1 + length])
+                        size += len(texts[-1])
+                        segments.append((size, begin + a, b - a, high, low))
+                    if size >= BLOCK_BYTES:
+                        yield flush()
+                        serial, texts, segments, size = serial + 1, [], [], 0
         if segments:
             yield flush()
 
@@ -439,6 +474,9 @@ def removed_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", te
                     stops, _, n, _, _ = unpack_arrays(blob)
                     begin = np.concatenate([[0], stops[:-1]])
                     offsets = np.concatenate([np.arange(a, a + k) for a, k in zip(begin.tolist(), n.tolist())])
+                    hit, stands = _equal_starts(blocks.text(block), offsets, length)
+                    write_file(f"{path}/equal-{block}", offsets[hit].astype("<u4"))
+                    offsets = offsets[stands]
                     hashes = _gram_hashes(blocks.text(block), PERIOD)[offsets]
                     yield _rows([
                         (s, pack_arrays(np.array([block], "<i8"), offsets[at].astype("<u4"), hashes[at]))
@@ -484,7 +522,7 @@ def removed_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", te
             out = []
             for block, at in by_slot(block_of[hit]):
                 found = np.sort(offsets[hit[at]])
-                out.append((block, pack_arrays(found[:1], np.diff(found).astype("<u4"))))
+                out.append((block, _steps(found)))
             return pa.Table.from_batches([_rows(out)])
 
         # 5. spans per text
@@ -493,6 +531,7 @@ def removed_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", te
                 return pa.Table.from_batches([_rows([])])
             stops, starts, n, high, low = unpack_arrays(left.column("blob")[0].as_py())
             marked = np.zeros(int(stops[-1]) + 1, np.int8)
+            marked[map_file(f"{path}/equal-{left.column('slot')[0].as_py()}", "<u4")] = 1
             for blob in right.column("blob").to_pylist():
                 at, steps = unpack_arrays(blob)
                 marked[np.concatenate([at, at[0] + np.cumsum(steps.astype(np.int64))])] = 1
@@ -525,9 +564,8 @@ def removed_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", te
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                out = []
-                for t in part.column("text").to_pylist():
-                    raw = t.encode()
+                raws, out = [t.encode() for t in part.column("text").to_pylist()], []
+                for raw in raws:
                     found: list[list[int]] = []
                     if len(raw) >= length:
                         high, low = _digest(raw)
@@ -541,32 +579,38 @@ def removed_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", te
                                         found[-1][1] = max(found[-1][1], y)
                                     else:
                                         found.append([x, y])
-                    out.append([{"start": x, "end": y} for x, y in found])
-                kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, kind)], names=["doc_id", "text", "spans"])
+                    out.append(found)
+                yield finish(part.column("doc_id"), raws, out)
 
-    return rows.mapInArrow(cut, "doc_id long, text string, spans array<struct<start: long, end: long>>")
+    return rows.mapInArrow(cut, schema)
 
 
-def removal_digest(found: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of the rows of ``removed_spans``."""
+def removed_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per input row: ``doc_id, text`` and ``spans``, the removed byte ranges ``[start, end)``."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for t, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                raw, at, kept = t.encode(), 0, []
-                for s in spans:
-                    kept.append(raw[at : s["start"]])
-                    at = s["end"]
-                kept.append(raw[at:])
-                left = b"".join(kept)
-                rows.append((len(raw), len(raw) - len(left), len(spans), hashlib.sha256(left).hexdigest()))
-            columns = list(zip(*rows)) or [(), (), (), ()]
-            kinds = [pa.int64()] * 3 + [pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-            )
-
-    return found.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    def finish(ids: pa.Array, raws: list[bytes], spans: list[list[list[int]]]) -> pa.RecordBatch:
+        listed = pa.array([[{"start": x, "end": y} for x, y in s] for s in spans], kind)
+        return pa.RecordBatch.from_arrays([ids, pa.array([r.decode() for r in raws], pa.string()), listed], names=["doc_id", "text", "spans"])
+
+    return _removed(docs, length, doc_id, text, finish, "doc_id long, text string, spans array<struct<start: long, end: long>>")
+
+
+def removal_digests(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``; no text leaves its task."""
+
+    def finish(ids: pa.Array, raws: list[bytes], spans: list[list[list[int]]]) -> pa.RecordBatch:
+        rows = []
+        for raw, found in zip(raws, spans):
+            at, kept, n = 0, hashlib.sha256(), 0
+            for x, y in found:
+                kept.update(raw[at:x])
+                at, n = y, n + y - x
+            kept.update(raw[at:])
+            rows.append((len(raw), n, len(found), kept.hexdigest()))
+        columns = list(zip(*rows)) or [(), (), (), ()]
+        kinds = [pa.int64()] * 3 + [pa.string()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+        return pa.RecordBatch.from_arrays([ids, *arrays], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return _removed(docs, length, doc_id, text, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -169,8 +169,11 @@ def test_packing_holds_every_id_once(spark, docs, texts):
         assert at <= 256
 
 
-def test_repeats_against_brute_force(spark, docs, texts):
-    got = repeats.removal_digest(repeats.removed_spans(docs, length=200)).collect()
+@pytest.mark.parametrize("block, bucket", [(repeats.BLOCK_BYTES, repeats.SUFFIX_BUCKET), (700, 400)])
+def test_repeats_against_brute_force(spark, docs, texts, monkeypatch, block, bucket):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", block)  # long texts in many pieces
+    monkeypatch.setattr(repeats, "SUFFIX_BUCKET", bucket)
+    got = repeats.removal_digests(docs, length=200).collect()
     raw = [(d, (t or "").encode()) for d, t, _ in texts]
     seen = collections.Counter(b[i : i + 200] for _, b in raw for i in range(len(b) - 199))
     want = collections.Counter()
@@ -184,6 +187,10 @@ def test_repeats_against_brute_force(spark, docs, texts):
         want[d, len(b), int(gone.sum()), runs, hashlib.sha256(left).hexdigest()] += 1
     assert collections.Counter(tuple(r) for r in got) == want
     assert sum(r.n_removed for r in got) > 3000
+    if block > 10_000:
+        spans = repeats.removed_spans(docs, length=200).collect()
+        assert sorted((sum(s.end - s.start for s in r.spans), len(r.spans)) for r in spans) == sorted((r.n_removed, r.n_spans) for r in got)
+        assert repeats.removal_digests(docs.limit(0), length=200).count() == 0
 
 
 def test_difference_cover_reaches_every_pair():
