@@ -57,10 +57,10 @@ class KeyRangeTable:
         version = self.versions()[-1] if version is None else version
         return self.spark.read.parquet(f"{self.path}/manifest/v={version}").orderBy("place").collect()
 
-    def _commit(self, version: int, entries: list[tuple], schema: T.StructType) -> None:
-        rows = [(i, schema.json(), *e) for i, e in enumerate(entries)]
+    def _commit(self, version: int, entries: list[tuple], schema: T.StructType, note: str = "") -> None:
+        rows = [(i, schema.json(), note, *e) for i, e in enumerate(entries)]
         key = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in schema.fields if f.name in self.keys)
-        frame = self.spark.createDataFrame(rows, f"place int, schema string, folder string, low struct<{key}>, high struct<{key}>, n long")
+        frame = self.spark.createDataFrame(rows, f"place int, schema string, note string, folder string, low struct<{key}>, high struct<{key}>, n long")
         try:
             frame.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/manifest/v={version}")
         except Exception as e:
@@ -104,12 +104,16 @@ class KeyRangeTable:
     def _ranges_for(self, n: int) -> int:
         return -(-n // self.target_rows)
 
-    def create(self, rows: DataFrame) -> "KeyRangeTable":
+    def note(self) -> str:
+        """What the last change was committed with."""
+        return self._manifest()[0]["note"]
+
+    def create(self, rows: DataFrame, note: str = "") -> "KeyRangeTable":
         """Version 0; rows without a whole key are left out, and keys must be unique."""
         rows = rows.dropna(subset=self.keys)
         entries = self._write(rows, 0, self._ranges_for(rows.count()))
         none = [(None, None, None, 0)]
-        self._commit(0, entries or none, rows.schema)
+        self._commit(0, entries or none, rows.schema, note)
         return self
 
     def _touched(self, batch: DataFrame, on: Sequence[str], entries: Sequence) -> list[int]:
@@ -130,8 +134,8 @@ class KeyRangeTable:
         places = spans.select(F.explode(F.sequence(F.least("first", "last"), F.col("last"))).alias("i")).distinct().collect()
         return [bounds[r["i"]][0] for r in places]  # at most one row per range
 
-    def change(self, batch: DataFrame, how: Change, on: Sequence[str] | None = None) -> int:
-        """Apply ``how(rows of the touched ranges, batch)`` and commit; the new version's number."""
+    def change(self, batch: DataFrame, how: Change, on: Sequence[str] | None = None, note: str = "") -> int:
+        """Apply ``how(rows of the touched ranges, batch)`` and commit it with a note; the new version's number."""
         on = list(on or self.keys)
         if on != self.keys[: len(on)]:
             raise ValueError(f"{on} is no prefix of the key {self.keys}")
@@ -147,7 +151,7 @@ class KeyRangeTable:
         written = self._write(rows, version + 1, ranges) if touched or not batch.isEmpty() else []
         kept = [(e["folder"], tuple(e["low"]), tuple(e["high"]), e["n"]) for i, e in enumerate(entries) if i not in places and e["folder"]]
         new = sorted([*kept, *self._split_at(written, kept, version + 1, schema)], key=lambda e: e[1])
-        self._commit(version + 1, new or [(None, None, None, 0)], schema)
+        self._commit(version + 1, new or [(None, None, None, 0)], schema, note)
         return version + 1
 
     def _split_at(self, written: list[tuple], kept: list[tuple], version: int, schema: T.StructType) -> list[tuple]:

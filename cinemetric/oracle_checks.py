@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cinemetric.oracle_sql import DOC_CTES, LINE_SEQ, STAGE_CTES, with_views
+from cinemetric.oracle_sql import DOC_CTES, EVENTS, LINE_SEQ, STAGE_CTES, TREND_CTE, with_views
 
 
 def _reasons(pairs: list[tuple[str, str]]) -> str:
@@ -210,3 +210,20 @@ CHECKS["user_cascade_tables"] = with_views(_left(
     [("users", "(SELECT c_custkey AS user_id FROM customer WHERE c_custkey % 3 <> 0)", "user_id", "user_id"),
      ("ratings", "ratings", "user_id", "user_id, movie_id")],
     "SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0 AND c_mktsegment = 'BUILDING'"))
+
+# Partial states: the same as everything at once.
+CHECKS["trending_from_states"] = EVENTS["trending_scores"]
+CHECKS["view_counts_from_states"] = EVENTS["movie_view_buckets_hourly"]
+CHECKS["movie_aggregate_documents"] = with_views("""
+SELECT a.movie_id, coalesce(h.t, '') AS hourly, coalesce(d.t, '') AS daily, a.v AS views_total,
+       CAST(a.c AS DOUBLE) / nullif(CAST(a.v AS DOUBLE), 0) AS click_rate, CAST(a.k AS DOUBLE) / nullif(CAST(a.v AS DOUBLE), 0) AS add_to_cart_rate,
+       CAST(a.b AS DOUBLE) / nullif(CAST(a.v AS DOUBLE), 0) AS conversion_rate, tr.trending_score
+FROM (SELECT movie_id, CAST(count_if(type = 'page_view') AS BIGINT) AS v, count_if(type = 'click') AS c, count_if(type = 'add_to_cart') AS k,
+             count_if(type = 'purchase') AS b FROM media_events WHERE movie_id IS NOT NULL GROUP BY movie_id) a
+LEFT JOIN tr ON tr.movie_id = a.movie_id
+LEFT JOIN (SELECT movie_id, string_agg(k || '=' || n, ', ' ORDER BY k) AS t FROM hv GROUP BY movie_id) h ON h.movie_id = a.movie_id
+LEFT JOIN (SELECT movie_id, string_agg(k || '=' || n, ', ' ORDER BY k) AS t FROM dv GROUP BY movie_id) d ON d.movie_id = a.movie_id""", TREND_CTE + """,
+hv AS (SELECT movie_id, strftime(ts, '%Y-%m-%d %H:00') AS k, count(*) AS n FROM media_events
+       WHERE type = 'page_view' AND movie_id IS NOT NULL GROUP BY ALL),
+dv AS (SELECT movie_id, strftime(ts, '%Y-%m-%d') AS k, count(*) AS n FROM media_events
+       WHERE type = 'page_view' AND movie_id IS NOT NULL GROUP BY ALL)""")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cinemetric import oracle_sql as O
 from cinemetric.plans import document_checks as DK
 from cinemetric.plans import documents as D
+from cinemetric.plans import event_states as ES
 from cinemetric.plans import events as E
 from cinemetric.plans import loads as L
 from cinemetric.plans import probes as P
@@ -118,6 +119,9 @@ def event_queries() -> dict[str, Query]:
         "movie_view_buckets_hourly": lambda c: E.movie_view_buckets(c.media_events, "hour"),
         "movie_view_buckets_daily": lambda c: E.movie_view_buckets(c.media_events, "day"),
         "movie_engagement": lambda c: E.movie_engagement(c.media_events, a7),
+        "trending_from_states": lambda c: ES.trending_from_states(c, a7),
+        "movie_aggregate_documents": lambda c: ES.movie_aggregate_documents(c, a7),
+        "view_counts_from_states": ES.view_counts_from_states,
         "sessions": lambda c: E.sessions(c.media_events),
         "activity_summary": lambda c: E.activity_summary(c.media_events),
         "viewing_history": lambda c: E.viewing_history(c.media_events),

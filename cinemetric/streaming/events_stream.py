@@ -76,6 +76,16 @@ def view_counts(events: DataFrame, unit: str = "1 hour", lateness: str = "2 hour
     )
 
 
+def folded_states(events: DataFrame, state, checkpoint: str):
+    """T-02 for open windows: every micro-batch is folded into the partial states, which answer at any
+    time.  A batch is stored under its id, so a replayed one counts once."""
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        state.add(batch_id, batch)
+
+    return events.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+
+
 def session_rollup(events: DataFrame, gap: str = "24 hours", lateness: str = "25 hours") -> DataFrame:
     """T-03: session roll-up with a session window per session id (M-02 as a stream)."""
     return (
