@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cinemetric.oracle_sql import DOC_CTES, EVENTS, LINE_SEQ, STAGE_CTES, TREND_CTE, with_views
+from cinemetric.oracle_sql import ACTOR, AVG, DOC_CTES, EVENTS, GL, LINE_SEQ, RS, STAGE_CTES, TITLE, TREND_CTE, with_views
 
 
 def _reasons(pairs: list[tuple[str, str]]) -> str:
@@ -227,3 +227,88 @@ hv AS (SELECT movie_id, strftime(ts, '%Y-%m-%d %H:00') AS k, count(*) AS n FROM
        WHERE type = 'page_view' AND movie_id IS NOT NULL GROUP BY ALL),
 dv AS (SELECT movie_id, strftime(ts, '%Y-%m-%d') AS k, count(*) AS n FROM media_events
        WHERE type = 'page_view' AND movie_id IS NOT NULL GROUP BY ALL)""")
+
+# Look-ups, lists and siblings.
+CHECKS["titles_found"] = with_views(f"SELECT movie_id, title, released_date FROM movies WHERE title ILIKE '%{TITLE}%'")
+CHECKS["movies_found"] = CHECKS["name_search_movies"] = with_views(f"SELECT movie_id, title FROM movies WHERE title ILIKE '%{TITLE}%'")
+CHECKS["people_found"] = CHECKS["name_search_people"] = with_views(
+    f"SELECT person_id, name, gender FROM people WHERE name ILIKE '%{ACTOR}%' ORDER BY name NULLS LAST, person_id LIMIT 50")
+CHECKS["list_companies"] = with_views("SELECT company_id, name FROM production_companies")
+CHECKS["list_ratings"] = with_views("SELECT rating_id, user_id, movie_id, rating FROM ratings")
+CHECKS["list_links_genres"] = with_views("SELECT movie_id, genre_id FROM movie_genres")
+CHECKS["list_links_companies"] = with_views("SELECT movie_id, company_id FROM movie_production_companies")
+CHECKS["list_links_crew"] = with_views("SELECT movie_id, person_id, department, job FROM movie_crew")
+CHECKS["genre_classes"] = with_views("""
+SELECT movie_id, CAST(count(*) AS INTEGER) AS n_members, string_agg(genre_name, ', ' ORDER BY genre_name, genre_id) AS names
+FROM movie_genres JOIN genres USING (genre_id) GROUP BY movie_id""")
+CHECKS["company_classes"] = with_views("""
+SELECT movie_id, CAST(count(*) AS INTEGER) AS n_members, string_agg(name, ', ' ORDER BY name, company_id) AS names
+FROM movie_production_companies JOIN production_companies USING (company_id) GROUP BY movie_id""")
+CHECKS["company_siblings_requested"] = with_views("""
+SELECT r.movie_id, r.company_id, coalesce((
+  SELECT string_agg(pc.name, ', ' ORDER BY pc.name, pc.company_id) FROM movie_production_companies b JOIN production_companies pc USING (company_id)
+  WHERE b.movie_id = r.movie_id AND b.company_id <> r.company_id), '') AS others
+FROM (SELECT company_id, min(movie_id) AS movie_id FROM movie_production_companies GROUP BY company_id) r""")
+CHECKS["ratings_browse_random"] = with_views(f"""
+SELECT m.movie_id, m.title, m.released_date, nullif(CAST({AVG} AS DOUBLE), 0) AS avg_rating, rs.n AS num_ratings, gl.genres,
+       CAST(nullif(m.popularity, 0) AS DOUBLE) AS popularity
+FROM movies m JOIN rs ON rs.movie_id = m.movie_id LEFT JOIN gl ON gl.movie_id = m.movie_id
+ORDER BY md5('42:' || m.movie_id), m.movie_id LIMIT 100""", RS + ", " + GL)
+
+# Measurements: sorted[int(0.95 n)] from 20 runs on, else the largest.
+_LATENCY = """runs AS (
+  SELECT 'test ' || (l_linenumber % 3) AS test, CASE WHEN l_suppkey % 2 = 0 THEN 'a' ELSE 'b' END AS engine,
+         CAST(CAST(l_quantity AS INTEGER) * 4 + l_partkey % 4 AS DOUBLE) AS v FROM lineitem),
+report AS (
+  SELECT test, engine, round(avg(v), 3) AS avg_latency_ms, round(median(v), 3) AS median_latency_ms,
+         CASE WHEN count(*) >= 20 THEN list_sort(list(v))[CAST(floor(count(*) * 0.95) AS INTEGER) + 1] ELSE max(v) END AS p95_latency_ms,
+         min(v) AS min_latency_ms, max(v) AS max_latency_ms, sum(v) AS total_time_ms, round(count(*) / (sum(v) / 1000), 2) AS ops_per_sec, count(*) AS runs
+  FROM runs GROUP BY test, engine)"""
+CHECKS["latency_report"] = f"WITH {_LATENCY} SELECT * FROM report"
+CHECKS["latency_winners"] = f"""WITH {_LATENCY},
+long AS (UNPIVOT (SELECT * EXCLUDE (runs) FROM report) ON COLUMNS(* EXCLUDE (test, engine)) INTO NAME metric VALUE v)
+SELECT a.test, a.metric, CASE WHEN a.v = b.v THEN 'tie' WHEN (a.metric = 'ops_per_sec') = (a.v > b.v) THEN 'a' ELSE 'b' END AS winner
+FROM long a JOIN long b ON a.test = b.test AND a.metric = b.metric AND a.engine = 'a' AND b.engine = 'b'"""
+
+# The credits load: a file row goes as a whole.
+_CREDITS = DOC_CTES + """,
+file_rows AS (
+  SELECT CAST(id AS BIGINT) AS seq, CASE WHEN id % 17 <> 0 THEN id END AS movie_id,
+         CASE WHEN id % 29 = 0 AND id % 19 <> 0 THEN [] ELSE "cast" END AS members, crew, id % 19 = 0 AS longer FROM cdocs
+  UNION ALL SELECT id + 1000000, id + 500000, "cast", crew, false FROM cdocs WHERE id % 23 = 0),
+judged AS (
+  SELECT f.*, f.movie_id IS NULL AS no_id, f.movie_id IS NOT NULL AND f.longer AND len(f.members) > 0 AS too_long,
+         o.movie_id IS NOT NULL AND f.seq > 1000000 AND ((len(o.members) > 0 AND len(f.members) > 0) OR len(f.crew) > 0) AS taken
+  FROM file_rows f LEFT JOIN file_rows o ON o.seq = f.seq - 1000000),
+good AS (SELECT * FROM judged WHERE NOT (no_id OR too_long OR taken))"""
+CHECKS["credit_load_counts"] = with_views("""
+SELECT 'input' AS measure, count(*) AS n FROM judged
+UNION ALL SELECT 'accepted', count(*) FROM good
+UNION ALL SELECT 'rejected', (SELECT count(*) FROM judged) - (SELECT count(*) FROM good)
+UNION ALL SELECT 'movie_id is required', count(*) FROM judged WHERE no_id
+UNION ALL SELECT 'member name too long', 0
+UNION ALL SELECT 'member text too long', count(*) FROM judged WHERE too_long
+UNION ALL SELECT 'credit_id is taken', count(*) FROM judged WHERE taken
+UNION ALL SELECT 'cast rows', CAST(sum(len(members)) AS BIGINT) FROM good
+UNION ALL SELECT 'crew rows', CAST(sum(len(crew)) AS BIGINT) FROM good""", _CREDITS)
+CHECKS["credit_load_cast"] = with_views("""
+SELECT CAST(movie_id AS INTEGER) AS movie_id, m.id AS person,
+       'c' || (movie_id - CASE WHEN seq > 1000000 THEN 500000 ELSE 0 END) || '-' || m.id AS credit_id FROM (SELECT seq, movie_id, unnest(members) AS m FROM good)""", _CREDITS)
+
+# People as their rows arrive: a row without id finds whoever has its name and path at its place.
+CHECKS["ingest_people_in_order"] = """
+WITH feed AS (
+  SELECT CASE WHEN (o_custkey + l_orderkey) % 3 = 0 THEN NULL ELSE CAST(o_custkey % 400 AS BIGINT) END AS tmdb_id, 'person ' || (o_custkey % 90) AS name,
+         CAST(o_custkey % 4 AS INTEGER) AS gender, CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE substr(o_orderpriority, 1, 1) END AS profile_path,
+         dense_rank() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_quantity) AS place
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 3),
+spans AS (SELECT *, lead(place) OVER (PARTITION BY tmdb_id ORDER BY place) AS until FROM feed WHERE tmdb_id IS NOT NULL),
+strangers AS (
+  SELECT name, gender, profile_path, place FROM feed f WHERE tmdb_id IS NULL AND NOT EXISTS (
+    SELECT 1 FROM spans s WHERE s.name = f.name AND s.profile_path IS NOT DISTINCT FROM f.profile_path
+      AND s.place <= f.place AND (s.until IS NULL OR f.place < s.until))),
+people AS (
+  SELECT tmdb_id, name, gender, profile_path FROM (SELECT *, row_number() OVER (PARTITION BY tmdb_id ORDER BY place DESC) AS rn FROM feed WHERE tmdb_id IS NOT NULL)
+  WHERE rn = 1
+  UNION ALL SELECT NULL, name, gender, profile_path FROM (SELECT *, row_number() OVER (PARTITION BY name, profile_path ORDER BY place) AS rn FROM strangers) WHERE rn = 1)
+SELECT *, CAST(row_number() OVER (ORDER BY tmdb_id NULLS FIRST, name NULLS FIRST, profile_path NULLS FIRST) AS INTEGER) AS person_id FROM people"""

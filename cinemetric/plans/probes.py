@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinemetric.operators.order_statistics import values_at_ranks
+
 from cinemetric.functions.ordering import top_k
 from cinemetric.plans import search as S
 from cinemetric.plans.common import ilike_contains, search_docs_of, year_range
@@ -73,22 +75,17 @@ def latency_summary(measurements: DataFrame, keys: list[str], latency: str = "la
     """A-16: per group: mean, median, p95 (= the value at 0-based rank ``int(0.95 n)`` of
     the sorted latencies when n >= 20, else the max), min, max, total, ops/s, runs.
 
-    The p95 pick is a rank filter over a per-group window; measurement groups are bounded
-    by the run count, and no list of latencies is ever built."""
-    w = Window.partitionBy(*keys).orderBy(F.col(latency))
-    ranked = measurements.withColumn("_rank", F.row_number().over(w) - 1).withColumn(
-        "_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    )
-    p95_idx = F.floor(F.col("_n") * 0.95).cast("long")
-    agg = ranked.groupBy(*keys).agg(
-        F.avg(latency).alias("avg_latency_ms"),
-        F.median(latency).alias("median_latency_ms"),
-        F.max(F.when(F.col("_rank") == p95_idx, F.col(latency))).alias("_p95"),
-        F.min(latency).alias("min_latency_ms"),
-        F.max(latency).alias("max_latency_ms"),
-        F.sum(latency).alias("total_time_ms"),
-        F.count(F.lit(1)).alias("runs"),
+    Median and p95 are exact and taken by rank from range-partitioned values
+    (``values_at_ranks``); no task sorts a whole group and no list of latencies is built."""
+    n = F.col("n")
+    ranks = {"_p95": F.floor(n * 0.95), "_low": F.floor((n - 1) / 2), "_high": F.floor(n / 2)}
+    picked = values_at_ranks(measurements, keys, latency, ranks)
+    sums = measurements.groupBy(*keys).agg(
+        F.avg(latency).alias("avg_latency_ms"), F.min(latency).alias("min_latency_ms"), F.max(latency).alias("max_latency_ms"),
+        F.sum(latency).alias("total_time_ms"), F.count(F.lit(1)).alias("runs"),
     )
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    agg = sums.alias("a").join(picked.alias("b"), same, "left").select("a.*", "_p95", ((F.col("_low") + F.col("_high")) / 2).alias("median_latency_ms"))
     return agg.select(
         *keys,
         F.round("avg_latency_ms", 3).alias("avg_latency_ms"),
@@ -125,3 +122,23 @@ def metric_winner(summary: DataFrame, key: str, side_col: str, a: str, b: str) -
     return wide.withColumn(
         "winner", F.when(F.col(a) == F.col(b), F.lit("tie")).when(a_wins, F.lit(a)).otherwise(F.lit(b))
     )
+
+
+def line_measurements(cat) -> DataFrame:
+    """Measurements as a timing loop leaves them: a test, an engine and
+    the time of one run."""
+    return cat.tables.lineitem.select(
+        F.concat(F.lit("test "), (F.col("l_linenumber") % 3).cast("string")).alias("test"),
+        F.when(F.col("l_suppkey") % 2 == 0, "a").otherwise("b").alias("engine"),
+        (F.col("l_quantity").cast("int") * 4 + F.col("l_partkey") % 4).cast("double").alias("latency_ms"),
+    )
+
+
+def latency_report(cat) -> DataFrame:
+    """A-16 over every measurement."""
+    return latency_summary(line_measurements(cat), ["test", "engine"])
+
+
+def latency_winners(cat) -> DataFrame:
+    """A-17: which engine wins each metric of each test."""
+    return metric_winner(latency_report(cat), "test", "engine", "a", "b").select("test", "metric", "winner")

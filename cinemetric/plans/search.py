@@ -418,7 +418,8 @@ def ratings_browse(
     seed: int = 42,
 ) -> DataFrame:
     """Q-12: rated movies with an AVG tier (HAVING), optional movie / rated-by-user filters,
-    six sort modes (``random`` uses a seeded ``rand``)."""
+    six sort modes (``random``: the smallest seeded hashes of the movie ids, the same for any
+    partitions of the input, O-07)."""
     docs = search_docs_of(cat)
     if docs is not None and movie_id is None and user_id is None:  # one scan of the search documents
         cond = _avg_tier(tier)
@@ -444,7 +445,7 @@ def ratings_browse(
         "title": [pg_asc("title")],
         "release_date": [desc_nulls_last("released_date")],
     }
-    order = orders.get(sort_by, [F.rand(seed)]) + [F.col("movie_id")]
+    order = orders.get(sort_by, [F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("movie_id").cast("string")))]) + [F.col("movie_id")]
     out = top_k(out, order, limit)
     return out.drop("popularity", "_avg").withColumnRenamed("popularity_out", "popularity")
 

@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinemetric import oracle_sql as O
+from cinemetric.plans import credit_load as CL
 from cinemetric.plans import document_checks as DK
 from cinemetric.plans import documents as D
 from cinemetric.plans import event_states as ES
 from cinemetric.plans import events as E
 from cinemetric.plans import loads as L
+from cinemetric.plans import lookups as LU
 from cinemetric.plans import probes as P
 from cinemetric.plans import schema_checks as K
 from cinemetric.plans import search as S
@@ -51,6 +53,20 @@ def search_queries() -> dict[str, Query]:
         "ratings_browse_count_medium": lambda c: S.ratings_browse_count(c, "medium"),
         "ratings_browse_user": lambda c: S.ratings_browse(c, "all", "rating_desc", user_id=t.USER_ID),
         "ratings_browse_popularity": lambda c: S.ratings_browse(c, "all", "popularity_desc"),
+        "ratings_browse_random": lambda c: S.ratings_browse(c, "all", "random"),
+        "titles_found": lambda c: LU.titles_found(c, t.TITLE),
+        "people_found": lambda c: LU.people_found(c, t.ACTOR),
+        "movies_found": lambda c: LU.movies_found(c, t.TITLE, limit=None),
+        "genre_classes": lambda c: LU.class_rows(c, "genre_id", "genre_name"),
+        "company_classes": lambda c: LU.class_rows(c, "company_id", "name"),
+        "company_siblings_requested": LU.company_siblings_requested,
+        "name_search_movies": lambda c: S.name_search(c.movies.select("movie_id", "title"), "movie_id", "title", t.TITLE, limit=None),
+        "name_search_people": lambda c: S.name_search(c.people, "person_id", "name", t.ACTOR),
+        "list_companies": lambda c: S.list_dimension(c.production_companies, "company_id", "name"),
+        "list_ratings": lambda c: S.list_dimension(c.ratings.select("rating_id", "user_id", "movie_id", "rating"), "rating_id", "rating_id"),
+        "list_links_genres": lambda c: S.list_links(c.movie_genres),
+        "list_links_companies": lambda c: S.list_links(c.movie_production_companies),
+        "list_links_crew": lambda c: S.list_links(c.movie_crew),
         "ratings_browse_medium_rating_asc": lambda c: S.ratings_browse(c, "medium", "rating_asc"),
         "genre_movies": lambda c: S.genre_movies(c, t.GENRE_ID),
         "genre_movies_text": lambda c: S.genre_movies(c, t.GENRE_ID, t.TITLE),
@@ -209,6 +225,9 @@ def load_queries() -> dict[str, Query]:
         "rating_remap_audit": L.remap_audit,
         "validate_rating_rows": checked,
         "validate_raw_events": L.event_check_summary,
+        "credit_load_counts": CL.credit_load_counts,
+        "credit_load_cast": CL.loaded_cast,
+        "ingest_people_in_order": CL.people_arrived,
         "ratings_table_upserted": TJ.ratings_table_upserted,
         "ratings_table_inserted": TJ.ratings_table_inserted,
         "ratings_table_deleted": TJ.ratings_table_deleted,
@@ -251,6 +270,8 @@ def probe_queries() -> dict[str, Query]:
         "probe_year_range": lambda c: P.probe_year_range(c, *t.YEARS),
         "probe_actor": lambda c: P.probe_actor(c, t.ACTOR),
         "probe_combined": lambda c: P.probe_combined(c, t.GENRE, t.ACTOR, *t.YEARS),
+        "latency_report": P.latency_report,
+        "latency_winners": P.latency_winners,
         "probe_deep_fetch": lambda c: S.deep_fetch_as_text(P.probe_deep_fetch(c)),
     }
 
