@@ -34,6 +34,9 @@ CREW_ITEM = T.StructType([
     T.StructField("profile_path", T.StringType()),
 ])
 
+COUNTRY_ITEM = T.StructType([T.StructField("iso_3166_1", T.StringType()), T.StructField("name", T.StringType())])
+LANGUAGE_ITEM = T.StructType([T.StructField("iso_639_1", T.StringType()), T.StructField("name", T.StringType())])
+
 
 def _empty(schema: T.DataType) -> Column:
     return F.array().cast(T.ArrayType(schema))
@@ -185,7 +188,8 @@ def format_datetime(c) -> Column:
 
 
 def format_popularity(c) -> Column:
-    return F.coalesce(F.format_string("%.2f", _c(c).cast("double")), F.lit("N/A"))
+    x = _c(c).cast("double")
+    return F.when(x.isNotNull(), F.format_string("%.2f", x)).otherwise(F.lit("N/A"))
 
 
 def runtime_hours(c) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cinemetric.oracle_sql import ACTOR, AVG, DOC_CTES, EVENTS, GL, LINE_SEQ, RS, STAGE_CTES, TITLE, TREND_CTE, with_views
+from cinemetric.oracle_sql import ACTOR, AS_OF_7, AS_OF_30, AVG, DOC_CTES, EVENTS, GL, LINE_SEQ, LOADS, RS, STAGE_CTES, TITLE, TREND_CTE, with_views
 
 
 def _reasons(pairs: list[tuple[str, str]]) -> str:
@@ -312,3 +312,99 @@ people AS (
   WHERE rn = 1
   UNION ALL SELECT NULL, name, gender, profile_path FROM (SELECT *, row_number() OVER (PARTITION BY name, profile_path ORDER BY place) AS rn FROM strangers) WHERE rn = 1)
 SELECT *, CAST(row_number() OVER (ORDER BY tmdb_id NULLS FIRST, name NULLS FIRST, profile_path NULLS FIRST) AS INTEGER) AS person_id FROM people"""
+
+
+# Files written, read back and parsed.
+CHECKS["movies_from_csv"] = LOADS["ingest_movies_parsed"]
+CHECKS["ratings_from_csv"] = with_views("SELECT CAST(user_id AS INTEGER) AS user_id, movie_id - 1 AS movie_id, rating, created_at FROM rating_rows", STAGE_CTES)
+CHECKS["rating_documents_replaced"] = with_views("""
+SELECT CAST(user_id AS INTEGER) AS "userId", movie_id - 1 AS "movieId", CAST(rating AS DOUBLE) AS rating, epoch_us(created_at) // 1000000 AS timestamp
+FROM rating_rows""", STAGE_CTES)
+CHECKS["keyword_documents_from_csv"] = with_views("""
+SELECT movie_id AS id, CAST(count(*) AS INTEGER) AS n, string_agg(keyword_name, ', ' ORDER BY keyword_id) AS names
+FROM movie_keywords JOIN keywords USING (keyword_id) GROUP BY movie_id""")
+CHECKS["documents_from_json_arrays"] = with_views("""
+SELECT id, title, runtime, coalesce(array_to_string(list_transform(genres, lambda x: coalesce(x.name, '')), ', '), '') AS genre_names FROM mdocs""", DOC_CTES)
+CHECKS["links_from_csv"] = """
+SELECT CAST(p_partkey AS INTEGER) AS "movieId", CAST(CASE WHEN p_partkey % 9 <> 0 THEN p_partkey + 1 END AS INTEGER) AS "tmdbId" FROM part"""
+CHECKS["pruned_movie_columns"] = """
+SELECT CAST(p_partkey + 1 AS VARCHAR) AS id,
+       'adult,genres,id,original_language,original_title,overview,popularity,poster_path,production_companies,release_date,runtime,tagline' AS columns
+FROM part"""
+CHECKS["movie_embedded_objects"] = with_views("""
+SELECT movie_id AS id, CASE WHEN movie_id % 3 = 0 THEN 'Set ' || language END AS name,
+       CASE WHEN movie_id % 5 = 0 THEN '' WHEN movie_id % 7 = 0 THEN '-' ELSE right(language, 2) || '=Land''s end, XX=X' END AS countries,
+       right(language, 2) || '=' || language AS languages FROM movies""")
+CHECKS["presentation"] = with_views("""
+SELECT movie_id, coalesce(strftime(released_date, '%Y-%m-%d'), 'N/A') AS released, coalesce(strftime(released_date, '%Y-%m-%d 00:00:00'), 'N/A') AS released_at,
+       coalesce(printf('%.2f', CAST(popularity AS DOUBLE)), 'N/A') AS popularity, round(runtime / 60.0, 1) AS hours,
+       CASE WHEN runtime / 5 >= 9 THEN '#28a745' WHEN runtime / 5 >= 7 THEN '#ffc107' WHEN runtime / 5 >= 5 THEN '#fd7e14' ELSE '#dc3545' END AS colour,
+       'https://images/w500/' || movie_id || '.jpg' AS poster, CASE WHEN movie_id % 5 <> 0 THEN title END AS name,
+       movie_id % 3 = 0 OR popularity IS NULL AS missing, array_to_string(string_split(overview, ' ')[1:2], ' ') AS lead,
+       true AS literal_hit, false AS literal_miss FROM movies""")
+CHECKS["cast_order_measures"] = with_views("""
+SELECT id, CAST(len(o) AS INTEGER) AS n, list_min(o) AS least, list_max(o) AS greatest, CAST(list_sum(o) AS DOUBLE) / nullif(len(o), 0) AS mean
+FROM (SELECT id, list_filter(list_transform("cast", lambda x: x."order"), lambda x: x IS NOT NULL) AS o FROM cdocs)""", DOC_CTES)
+
+# Dimensions, bridges, upserts.
+CHECKS["ingest_movie_companies"] = with_views("""
+SELECT movie_id, d.company_id FROM movie_production_companies b JOIN production_companies pc ON pc.company_id = b.company_id JOIN dim d ON d.name = pc.name""", """
+dim AS (SELECT CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS company_id, name FROM
+        (SELECT DISTINCT name FROM movie_production_companies JOIN production_companies USING (company_id)) t)""")
+CHECKS["ingest_keyword_dimension"] = with_views("""
+SELECT CAST(row_number() OVER (ORDER BY keyword_name) AS INTEGER) AS keyword_id, keyword_name FROM (SELECT DISTINCT keyword_name FROM movie_keyword_names WHERE keyword_name <> '') t""")
+CHECKS["ingest_movie_keywords"] = with_views("""
+SELECT movie_id, keyword_id FROM movie_keyword_names JOIN (
+  SELECT CAST(row_number() OVER (ORDER BY keyword_name) AS INTEGER) AS keyword_id, keyword_name FROM (SELECT DISTINCT keyword_name FROM movie_keyword_names WHERE keyword_name <> '') t)
+  USING (keyword_name)""")
+_UPSERTED = """upserted AS (
+  SELECT movie_id, CASE WHEN movie_id % 4 = 0 THEN title || ' (new)' ELSE title END AS title, CASE WHEN movie_id % 4 <> 0 THEN popularity END AS popularity,
+         released_date, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(movie_id % 700) AS created_at,
+         coalesce(n, 0) + CASE WHEN movie_id % 4 = 0 THEN 1 ELSE 0 END AS genres
+  FROM movies LEFT JOIN (SELECT movie_id, count(*) AS n FROM movie_genres GROUP BY movie_id) g USING (movie_id))"""
+CHECKS["ingest_movies_upsert"] = with_views("SELECT * FROM upserted", _UPSERTED)
+CHECKS["recent_movies"] = with_views("""
+SELECT movie_id, title, released_date, CAST(nullif(popularity, 0) AS DOUBLE) AS popularity FROM upserted ORDER BY created_at DESC, movie_id LIMIT 100""", _UPSERTED)
+CHECKS["link_page_summary"] = with_views("SELECT count(DISTINCT movie_id) AS unique_movies, count(DISTINCT genre_id) AS unique_dims FROM movie_genres")
+
+# Tables that single changes leave.
+CHECKS["ratings_after_strict_insert"] = with_views(f"""
+SELECT user_id, movie_id, rating, created_at FROM ratings
+UNION ALL SELECT user_id, movie_id, rating, TIMESTAMP '{AS_OF_7}' FROM first_change WHERE (user_id, movie_id) NOT IN (SELECT (user_id, movie_id) FROM ratings)""", _FIRST_CHANGE)
+CHECKS["companies_after_guarded_delete"] = with_views("""
+SELECT company_id, name FROM production_companies WHERE name NOT ILIKE '%0%'
+  OR company_id IN (SELECT company_id FROM movie_production_companies WHERE company_id % 2 = 0)""")
+CHECKS["cast_after_checked_insert"] = with_views("""
+SELECT movie_id, person_id, character, cast_order FROM movie_cast
+WHERE movie_id % 2 = 0 OR movie_id IN (SELECT movie_id FROM movies WHERE popularity IS NOT NULL)""")
+CHECKS["documents_company_edits"] = with_views("""
+SELECT id AS movie_id, array_to_string(list_transform(a, lambda x, i: x.id || ':' || CASE WHEN i = list_position(hit, true) THEN 'FIRST' ELSE x.name END), ', ') AS companies
+FROM (SELECT id, a, list_transform(a, lambda x: contains(x.name, '0')) AS hit FROM (
+  SELECT id, CASE WHEN production_companies IS NULL THEN [{'id': CAST(3 AS BIGINT), 'name': 'ADDED'}]
+                  WHEN len(list_filter(production_companies, lambda x: x.id = 3)) > 0 THEN production_companies
+                  ELSE list_append(production_companies, {'id': CAST(3 AS BIGINT), 'name': 'ADDED'}) END AS a FROM mdocs) t) u""", DOC_CTES)
+CHECKS["documents_credit_edits"] = with_views("""
+SELECT id, coalesce(array_to_string(list_transform("cast", lambda x, i: x.name || '=' || CASE WHEN i = list_position(hit, true) THEN 'EDITED' ELSE x.character END), ', '), '') AS cast,
+       coalesce(array_to_string(list_transform(crew, lambda x: x.name || '=' || x.job || '=' || CASE WHEN x.job = '1-URGENT' THEN 'D' ELSE x.department END), ', '), '') AS crew
+FROM (SELECT *, list_transform("cast", lambda x: contains(x.name, '1')) AS hit FROM cdocs) t""", DOC_CTES)
+CHECKS["sessions_retained"] = with_views(f"""
+SELECT session_id, min(ts) AS started_at FROM media_events GROUP BY session_id HAVING min(ts) >= TIMESTAMP '{AS_OF_30}' - INTERVAL 20 DAY""")
+CHECKS["recommendations_read"] = with_views("""
+SELECT user_id, generated_at, 'views' AS algorithm, CAST(row_number() OVER (PARTITION BY user_id ORDER BY n DESC, movie_id) - 1 AS INTEGER) AS position,
+       movie_id, CAST(n AS DOUBLE) AS score, 'viewed' AS reason
+FROM (SELECT *, max(generated_at) OVER (PARTITION BY user_id) AS newest FROM (
+  SELECT user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 20 HOUR AS generated_at, movie_id, count(*) AS n FROM media_events
+  WHERE user_id IS NOT NULL AND movie_id IS NOT NULL AND type = 'page_view' GROUP BY ALL) t
+  WHERE generated_at >= TIMESTAMP '2024-01-25 06:00:00' - INTERVAL 1 DAY) u WHERE generated_at = newest""")
+CHECKS["viewing_durations"] = with_views("""
+SELECT user_id, movie_id, ts AS viewed_at, CASE WHEN event_id % 4 <> 0 THEN CAST(((event_id % 10000) * 37) // 1000 AS INTEGER) END AS duration_seconds
+FROM media_events WHERE type = 'page_view' AND user_id IS NOT NULL AND movie_id IS NOT NULL""")
+_RAW_OK = "event_type IN " + _EVENT_TYPES.replace("'view', ", "")
+CHECKS["routed_events"] = f"""
+SELECT * FROM (
+  SELECT 'input' AS measure, count(*) AS n FROM events
+  UNION ALL SELECT 'accepted', count(*) FROM events WHERE {_RAW_OK}
+  UNION ALL SELECT 'rejected', count(*) FROM events WHERE NOT ({_RAW_OK})
+  UNION ALL SELECT 'type not allowed', count(*) FROM events WHERE NOT ({_RAW_OK})) t WHERE n > 0
+UNION ALL SELECT 'written accepted', count(*) FROM events WHERE {_RAW_OK}"""
+CHECKS["deliveries_once"] = with_views("SELECT event_id, ts, type FROM media_events")

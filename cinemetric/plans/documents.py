@@ -191,12 +191,11 @@ def company_movies(movies: DataFrame, company_id, limit: int = 50) -> DataFrame:
 
 
 def _credit_rows(movies: DataFrame, credits: DataFrame, field: str) -> DataFrame:
-    rows = credits.select("id", F.posexplode(field).alias("pos", "c"))
     titles = movies.select("id", F.col("title").alias("_title"))
-    # J-13: a credit whose movie is missing gets the label "Movie #<id>"
-    return rows.join(titles, "id", "left").withColumn(
-        "movie_title", F.coalesce("_title", F.concat(F.lit("Movie #"), F.col("id").cast("string")))
-    ).drop("_title")
+    # J-13: a credit whose movie is missing gets the label "Movie #<id>"; one join row per credits document
+    label = F.coalesce("_title", F.concat(F.lit("Movie #"), F.col("id").cast("string"))).alias("movie_title")
+    titled = credits.select("id", field).join(titles, "id", "left").select("id", label, field)
+    return titled.select("id", "movie_title", F.posexplode(field).alias("pos", "c"))
 
 
 def cast_list(movies: DataFrame, credits: DataFrame, text: str | None = None, limit: int | None = 100) -> DataFrame:

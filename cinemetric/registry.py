@@ -18,12 +18,14 @@ from cinemetric.plans import document_checks as DK
 from cinemetric.plans import documents as D
 from cinemetric.plans import event_states as ES
 from cinemetric.plans import events as E
+from cinemetric.plans import file_jobs as FJ
 from cinemetric.plans import loads as L
 from cinemetric.plans import lookups as LU
 from cinemetric.plans import probes as P
 from cinemetric.plans import schema_checks as K
 from cinemetric.plans import search as S
 from cinemetric.plans import table_jobs as TJ
+from cinemetric.plans import upkeep as U
 
 Query = Callable[[object], DataFrame]
 
@@ -262,6 +264,38 @@ def load_queries() -> dict[str, Query]:
     }
 
 
+def upkeep_queries() -> dict[str, Query]:
+    a7, a30 = O.AS_OF_7, O.AS_OF_30
+    return {
+        "movies_from_csv": FJ.movies_from_csv,
+        "ratings_from_csv": FJ.ratings_from_csv,
+        "keyword_documents_from_csv": FJ.keyword_documents_from_csv,
+        "rating_documents_replaced": FJ.rating_documents_replaced,
+        "documents_from_json_arrays": FJ.documents_from_json_arrays,
+        "links_from_csv": FJ.links_from_csv,
+        "pruned_movie_columns": FJ.pruned_movie_columns,
+        "movie_embedded_objects": FJ.movie_embedded_objects,
+        "presentation": FJ.presentation,
+        "cast_order_measures": FJ.cast_order_measures,
+        "ingest_movie_companies": U.company_bridge,
+        "ingest_keyword_dimension": U.keyword_dimension,
+        "ingest_movie_keywords": U.keyword_bridge,
+        "ingest_movies_upsert": U.movies_upserted,
+        "recent_movies": U.recent_movies,
+        "ratings_after_strict_insert": lambda c: U.ratings_after_strict_insert(c, a7),
+        "companies_after_guarded_delete": lambda c: U.companies_after_guarded_delete(c, "0"),
+        "cast_after_checked_insert": U.cast_after_checked_insert,
+        "documents_company_edits": U.documents_company_edits,
+        "documents_credit_edits": U.documents_credit_edits,
+        "sessions_retained": lambda c: U.sessions_retained(c, a30),
+        "recommendations_read": lambda c: U.recommendations_read(c, "2024-01-25 06:00:00"),
+        "viewing_durations": U.viewing_durations,
+        "routed_events": U.routed_events,
+        "deliveries_once": U.deliveries_once,
+        "link_page_summary": U.link_page_summary,
+    }
+
+
 def probe_queries() -> dict[str, Query]:
     t = O
     return {
@@ -278,4 +312,6 @@ def probe_queries() -> dict[str, Query]:
 
 def all_queries() -> dict[str, Query]:
     """Every named query, by name."""
-    return {**search_queries(), **event_queries(), **document_queries(), **load_queries(), **probe_queries()}
+    return {
+        **search_queries(), **event_queries(), **document_queries(), **load_queries(), **upkeep_queries(), **probe_queries()
+    }

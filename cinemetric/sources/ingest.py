@@ -1,8 +1,8 @@
 """Catalogue file sources and sinks (S-01..S-14).
 
-Readers return raw string columns plus ``seq``, the row's position in its source (CSV
-files with quoted multi-line fields are read unsplit, one task per file, so
-``monotonically_increasing_id`` taken right after the scan follows file order).  Parsing is a
+Readers return raw string columns plus ``seq``, the row's position in its source: file, block of
+the file, place in the block.  Only files whose fields may hold line breaks are read unsplit, one
+task per file (``multi_line``); all others are split by Spark.  Parsing is a
 separate pure step (``parse_*``) so the same code cleans files and staged DataFrames.
 Sinks write through Spark writers; upserts into a stored table write a new version next to
 it instead of overwriting the files being read.
@@ -25,15 +25,16 @@ MOVIE_POSITIONS = {
 }
 
 
-def read_csv_strings(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """Quoted, multi-line CSV as all-string columns, plus ``seq`` (S-14: Spark splits the
-    read into tasks itself; there is no manual chunking)."""
+def read_csv_strings(spark: SparkSession, path: str, header: bool = True, multi_line: bool = True) -> DataFrame:
+    """Quoted CSV as all-string columns, plus ``seq`` (S-14: Spark splits the read into tasks
+    itself; there is no manual chunking)."""
     df = (
-        spark.read.option("header", header).option("multiLine", True).option("quote", '"').option("escape", '"')
+        spark.read.option("header", header).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
         .option("mode", "PERMISSIVE").option("encoding", "UTF-8").csv(path)
     )
     # file order: (file, position); Spark orders its read by file size, so the position alone is not enough
-    position = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    position = F.struct(*place, F.monotonically_increasing_id().alias("at"))
     return df.withColumn("seq", position)
 
 
@@ -105,6 +106,13 @@ def parse_movie_documents(rows: DataFrame) -> DataFrame:
     def text(name):
         return F.when(~F.lower(F.trim(col(name))).isin("nan") & col(name).isNotNull(), col(name))
 
+    def one(name):
+        """A single object, read as a list of one."""
+        listed = F.when(F.trim(col(name)).startswith("{"), F.concat(F.lit("["), F.trim(col(name)), F.lit("]")))
+        return F.get(C.jsonish(listed)[0], 0)
+
+    countries, _ = C.jsonish(col("production_countries"), C.COUNTRY_ITEM)
+    languages, _ = C.jsonish(col("spoken_languages"), C.LANGUAGE_ITEM)
     genres, genres_raw = C.jsonish(col("genres"))
     companies, companies_raw = C.jsonish(col("production_companies"))
     out = rows.select(
@@ -121,6 +129,8 @@ def parse_movie_documents(rows: DataFrame) -> DataFrame:
         C.tolerant_int(col("vote_count")).alias("vote_count"),
         genres.alias("genres"), genres_raw.alias("genres_raw"),
         companies.alias("production_companies"), companies_raw.alias("production_companies_raw"),
+        one("belongs_to_collection").alias("belongs_to_collection"), countries.alias("production_countries"),
+        languages.alias("spoken_languages"),
     )
     return out.filter(F.col("id").isNotNull())
 
@@ -161,7 +171,7 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType | None
 
 def read_links(spark: SparkSession, path: str) -> DataFrame:
     """S-10: movieId → tmdbId bridge."""
-    raw = spark.read.option("header", True).csv(path)
+    raw = read_csv_strings(spark, path, multi_line=False)
     return raw.select((F.col("movieId")).try_cast(T.IntegerType()).alias("movieId"),
                       C.tolerant_int("tmdbId").alias("tmdbId"))
 
