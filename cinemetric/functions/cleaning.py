@@ -244,41 +244,16 @@ def hour_label(h) -> Column:
     return F.concat(h.cast("string"), F.lit(":00-"), (h + 1).cast("string"), F.lit(":00"))
 
 
-def percent(a, b) -> Column:
-    """C-29: ``100 * a / b``; zero denominator → NULL."""
-    return F.try_divide(_c(a).cast("double"), _c(b).cast("double")) * 100
-
-
-def round_half_even(c, scale: int = 2) -> Column:
-    """C-30."""
-    return F.bround(_c(c), scale)
-
-
 def first_n(arr, n: int) -> Column:
     """C-37."""
     return F.slice(_c(arr), 1, n)
 
 
-def any_equals(arr, field: str, value) -> Column:
-    """F-06 / F-10 on an embedded list: some element's ``field`` equals ``value``."""
-    return F.exists(_c(arr), lambda x: x[field] == F.lit(value))
-
-
-def any_matches(arr, field: str, pattern: str) -> Column:
-    """F-10 with a case-insensitive regex."""
-    return F.exists(_c(arr), lambda x: x[field].rlike("(?i)" + pattern))
-
-
 def not_blank(c) -> Column:
     """F-12: present and not ''."""
     return _c(c).isNotNull() & (_c(c) != "")
 
 
-def numeric_id(c) -> Column:
-    """F-13: value usable as a number."""
-    return (_c(c).cast("string")).try_cast(T.LongType()).isNotNull()
-
-
 def contains_any_field(cols: Sequence, text: str) -> Column:
     """F-05: lower-case substring over several fields, OR-ed, NULL as ''."""
     t = text.lower()

@@ -81,11 +81,6 @@ def kind(v: Column, *names: str) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
-def text_at(v: Column, *path: str) -> Column:
-    """The text at a path; NULL where it is absent or no text."""
-    return F.when(is_string(at(v, *path)), F.try_variant_get(at(v, *path), "$", "string"))
-
-
 def as_list(v: Column, element: T.DataType = NAMED_ITEM) -> Column:
     """R-09: ``array<element>`` of a field that is a list, or the JSON or literal text of one.
     Anything else, and an absent field, is an empty list."""

@@ -152,23 +152,6 @@ def rating_rules(max_rating: float = 10.0) -> list[Rule]:
     return [not_null("user_id"), not_null("movie_id"), not_null("rating"), in_range("rating", 0, max_rating)]
 
 
-def people_rules() -> list[Rule]:
-    return [not_blank("name"), max_length("name", 255)]
-
-
-def cast_rules() -> list[Rule]:
-    return [not_null("movie_id"), not_null("person_id"), max_length("character", 255), max_length("credit_id", 50)]
-
-
-def crew_rules() -> list[Rule]:
-    return [not_null("movie_id"), not_null("person_id"), max_length("department", 100), max_length("job", 100),
-            max_length("credit_id", 50)]
-
-
-def dimension_rules(name_col: str, max_len: int) -> list[Rule]:
-    return [not_blank(name_col), max_length(name_col, max_len)]
-
-
 def event_rules() -> list[Rule]:
     """V-02 for the events collection: required type/timestamp, type enum, nullable ints."""
     from cinemetric.plans.events import EVENT_TYPES
@@ -177,10 +160,6 @@ def event_rules() -> list[Rule]:
             integral_or_null("movie_id")]
 
 
-def session_rules() -> list[Rule]:
-    return [not_null("session_id"), not_null("started_at"), integral_or_null("user_id")]
-
-
 def required(*cols: str) -> list[Rule]:
     """V-05: required document fields."""
     return [not_null(c) for c in cols]

@@ -65,13 +65,6 @@ def name_list(df: DataFrame, key: str, name: str, alias: str) -> DataFrame:
     return df.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set(name)), ", ").alias(alias))
 
 
-def genre_lists(cat, movie_ids: DataFrame | None = None, alias: str = "genres") -> DataFrame:
-    """All genre names of each movie, distinct, sorted, comma separated."""
-    bridge = keep_movies(cat.movie_genres, movie_ids)
-    named = bridge.join(cat.genres, "genre_id").select("movie_id", "genre_name")
-    return name_list(named, "movie_id", "genre_name", alias)
-
-
 def movie_facts(cat, with_genres: bool = True) -> DataFrame:
     """Per movie, in ONE aggregation: exact ``rating_sum`` / ``rating_count`` and the
     sorted distinct genre names (``genres``).

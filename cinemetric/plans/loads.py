@@ -263,10 +263,3 @@ def documents_first_company(cat, name_text: str) -> DataFrame:
     d = cat.movie_documents
     hit = R.first_matching("production_companies", lambda x: x["name"].contains(name_text))
     return d.select(F.col("id").alias("movie_id"), hit["id"].alias("company_id"), hit["name"].alias("company_name"))
-
-
-def documents_cast_update_first(cat, person_name_text: str, character: str) -> DataFrame:
-    """R-05 (first match): set the character of the first cast element whose name matches."""
-    c = cat.credit_documents
-    upd = R.update_first("cast", lambda x: x["name"].contains(person_name_text), lambda x: x.withField("character", F.lit(character)))
-    return c.select("id", F.array_join(F.transform(upd, lambda x: F.concat_ws("=", x["name"], x["character"])), ", ").alias("cast"))

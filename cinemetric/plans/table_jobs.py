@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinemetric.operators.constraints import CATALOGUE_RULES, cascade_children
 from cinemetric.operators.key_ranges import KeyRangeTable, cascade
 from cinemetric.session import checkpoint_dir
 from cinemetric.sources import staging as ST
@@ -55,7 +56,8 @@ def _as_rows(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     return out
 
 
-MOVIE_CHILDREN = {
+#: Keys of the tables that a movie's delete takes along.
+MOVIE_CHILD_KEYS = {
     "ratings": ["movie_id", "user_id"], "movie_genres": ["movie_id", "genre_id"],
     "movie_production_companies": ["movie_id", "company_id"], "movie_keywords": ["movie_id", "keyword_id"],
     "movie_cast": ["movie_id", "person_id"], "movie_crew": ["movie_id", "person_id", "job"],
@@ -67,7 +69,8 @@ def movie_cascade_tables(cat) -> DataFrame:
     popularity are deleted."""
     folder = _folder(cat)
     movies = _table(cat, folder, "movies", cat.movies.select("movie_id", "title", "popularity"), ["movie_id"])
-    children = {n: _table(cat, folder, n, getattr(cat, n).select(*keys), keys) for n, keys in MOVIE_CHILDREN.items()}
+    names = [name for name, _ in cascade_children(CATALOGUE_RULES, "movies")]
+    children = {n: _table(cat, folder, n, getattr(cat, n).select(*MOVIE_CHILD_KEYS[n]), MOVIE_CHILD_KEYS[n]) for n in names}
     gone = movies.read().filter(F.col("popularity").isNull()).select("movie_id")
     cascade(movies, list(children.values()), gone, "movie_id")
     return _as_rows({"movies": (movies.read(), ["movie_id"]), **{n: (t.read(), t.keys) for n, t in children.items()}})

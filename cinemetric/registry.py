@@ -310,6 +310,16 @@ def probe_queries() -> dict[str, Query]:
     }
 
 
+#: Jobs that write tables of their own before they return what is in them.
+WRITES = frozenset((
+    "schema_reason_counts", "schema_rejected_credits", "ratings_table_upserted", "ratings_table_inserted", "ratings_table_deleted",
+    "movie_cascade_tables", "movie_document_cascade", "user_cascade_tables", "trending_from_states", "movie_aggregate_documents",
+    "view_counts_from_states", "credit_load_counts", "credit_load_cast", "titles_found", "people_found", "movies_found",
+    "movies_from_csv", "ratings_from_csv", "keyword_documents_from_csv", "rating_documents_replaced", "documents_from_json_arrays",
+    "links_from_csv", "routed_events", "latency_report", "latency_winners",
+))
+
+
 def all_queries() -> dict[str, Query]:
     """Every named query, by name."""
     return {

@@ -125,7 +125,7 @@ def test_document_checks(spark):
     cases = [
         ('{"id": 1, "tags": []}', []),
         ('{"id": 2147483648, "tags": ["x", 1, null]}', ["id must be int", "tags[] must be string"]),
-        ('{"id": null}', ["id must be int", "tags is required"]),
+        ('{"id": null}', ["tags is required", "id must be int"]),
         ('{"id": 1, "tags": "x", "kind": "c"}', ["kind not allowed", "tags must be array"]),
         ('{"id": 1, "tags": [], "kind": null, "n": 5.5}', ["n above 5"]),
         ('{"id": 1, "tags": [], "n": -1, "at": {"$date": "2024-02-30T00:00:00Z"}}', ["n below 0", "at must be date"]),
