@@ -10,7 +10,7 @@ from cinemetric.llm import (
     alignment, byte_bpe, collocations, graph_search, kneser_ney, mixing, packing, quality, range_join, repeats, secrets, simhash,
     token_files,
 )
-from cinemetric.llm.shared import table, work_dir
+from cinemetric.llm.shared import stored, table, work_dir
 from cinemetric.llm.tokens import vocabulary
 
 
@@ -72,8 +72,8 @@ def op8_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return secrets.findings(docs, secrets.default_forest(docs))
+    found = stored(secrets.extracted(table(spark, sf_dir, "documents")), f"{work_dir(spark, 'secrets')}/candidates")
+    return secrets.findings_of(found, secrets.forest_of(found))
 
 
 def op10_pivot_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,23 +4,30 @@ Candidates are of three kinds: runs of six or more characters, whatever they are
 and quotes, that are assigned to a name that announces a secret (without closing punctuation if
 not quoted); passwords between ``user:`` and ``@`` of a URL; and elsewhere long runs of the
 characters that keys are made of.  Each is described by columns over the candidate and its
-surroundings: length, character classes and transitions between them, distinct characters,
-dictionary coverage, path-likeness and the neighbouring words.  A random forest trained from
+surroundings: length, character classes and transitions between them, distinct characters (of
+the first 256), coverage by a dictionary, path-likeness and the neighbouring words.  The dictionary
+is the corpus's own: the ``DICTIONARY_WORDS`` most frequent words around all its candidates, beside
+common word endings.  A random forest trained from
 labelled findings scores them and drops false positives.  A password of letters alone, or one
 without a name or URL in front, cannot be told from a word by these columns and is not promised.
 
-The forest is compiled into one Spark SQL expression, so a scan is a projection: candidates,
-features and scores of a text are arrays inside its row, nothing is shuffled, and Python only
-builds expressions.
+The forest is compiled into one Spark SQL expression, so a scan is a projection: one pass of the
+pattern parts a text into candidates and what lies between them, features and scores are arrays
+inside its row, nothing is shuffled, and Python only builds expressions.  ``extracted`` candidates
+are stored once for training and scoring.
+
+Labels: there is no table of findings; the corpus gives those whose label is beyond doubt, the seeds
+those of textbook form.  ``held_out_quality`` trains on three quarters of them and measures
+precision and recall on the rest.
 
 Defined cases: null and empty texts have no findings; a text that is one long run is one
-candidate; repeated rows are scanned each for itself; without labelled findings of both kinds in
+candidate; repeated rows are scanned each for itself; columns of any name stay as they are; without labelled findings of both kinds in
 the corpus the seed findings alone train the forest.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,6 +38,10 @@ CONTEXT = 48
 MASK = "[SECRET]"
 #: Labelled corpus findings that the forest learns from at most, of each kind.
 SAMPLE_FINDINGS = 4_000
+#: Words of the corpus that the dictionary holds at most.
+DICTIONARY_WORDS = 256
+#: Private-use characters that part a text; a text that holds one is parted in two passes.
+_OPEN, _CLOSE = "\ue000", "\ue001"
 #: Names that announce a secret, names that announce something else, common words.
 SECRET_NAMES = "key|token|secret|passw|passwd|pwd|auth|credential|bearer|private|signature"
 OTHER_NAMES = "commit|sha1|sha256|md5|hash|checksum|digest|uuid|guid|revision|example|dummy|sample|placeholder|order|isbn|phone"
@@ -46,6 +57,7 @@ CANDIDATE = (
     rf"|(?<=:)(?<=://[^\s:/@\"']{{0,64}}:)[^\s/\"']{{3,}}(?=@)"
     rf"|{RUN}"
 )
+#: Fixed value: common endings and parts of words and paths.
 DICTIONARY = (
     "tion|ment|ness|able|ible|ation|ence|ance|ing|the|and|for|that|with|this|from|have|not|are|was|were|which|"
     "ung|heit|keit|lich|isch|schaft|einer|nicht|und|der|die|das|eux|eau|aux|ique|mente|ado|ción|que|los|las|des|"
@@ -57,11 +69,19 @@ FEATURES = (
 )
 
 
+@dataclass(frozen=True)
+class Forest:
+    """A compiled forest: SQL over a struct ``c`` of ``FEATURES``, and the dictionary's pattern."""
+
+    sql: str
+    dictionary: str = DICTIONARY
+
+
 def _share(of: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(of, f"[^{pattern}]", "")) / F.length(of)
 
 
-def features(secret: Column, before: Column, after: Column) -> list[Column]:
+def features(secret: Column, before: Column, after: Column, dictionary: str) -> list[Column]:
     """The columns of ``FEATURES`` of one candidate, all doubles."""
     n = F.length(secret)
     # one letter per character class, runs squeezed: what is left counts the transitions
@@ -76,7 +96,7 @@ def features(secret: Column, before: Column, after: Column) -> list[Column]:
         "hex_only": secret.rlike("^[0-9a-fA-F]+$"),
         "transitions": F.length(kinds) / n,
         "distinct": F.size(F.array_distinct(F.split(F.substring(secret, 1, 256), ""))) / F.least(n, F.lit(64)),
-        "dictionary": 1 - F.length(F.regexp_replace(F.lower(secret), DICTIONARY, "")) / n,
+        "dictionary": 1 - F.length(F.regexp_replace(F.lower(secret), dictionary, "")) / n,
         "slashes": _share(secret, "/"),
         "dots": _share(secret, "."),
         "vowels": _share(F.lower(secret), "aeiou"),
@@ -97,35 +117,46 @@ def _by_kind(text: Column, of) -> Column:
     return F.when(text.rlike(SIGNED), of(CANDIDATE)).otherwise(of(RUN))
 
 
-def _gaps(text: Column) -> Column:
-    """What lies between the candidates of a text, one more than those."""
-    return _by_kind(text, lambda pattern: F.split(text, pattern, -1))
+def _parts(text: Column) -> Column:
+    """A text in turns of what lies between candidates and a candidate, beginning and ending with the
+    former (one part: no candidate)."""
+
+    def of(pattern: str) -> Column:
+        marked = F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_CLOSE}"), f"[{_OPEN}{_CLOSE}]", -1)
+        found = F.concat(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.array(F.lit("")))
+        turns = F.flatten(F.zip_with(F.split(text, pattern, -1), found, lambda gap, secret: F.array(gap, secret)))
+        return F.when(text.rlike(f"[{_OPEN}{_CLOSE}]"), F.slice(turns, 1, F.size(turns) - 1)).otherwise(marked)
 
+    return _by_kind(text, of)
 
-def candidates(text: Column) -> Column:
-    """Array of ``(secret, before, after)`` of every candidate of a text, in order."""
 
-    def of(pattern: str) -> Column:
-        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        gaps = F.split(text, pattern, -1)  # one more than found
+def _candidates(parts: Column) -> Column:
+    """Array of ``(secret, before, after, gap)``: ``gap`` is the length of what lies in front."""
+
+    def one(i: Column) -> Column:
+        at = lambda k: F.get(parts, 2 * i + k)
         # a candidate in front of this one can hold its name
-        held = F.concat(F.array(F.lit("")), found)
-        return F.when(
-            text.rlike(pattern),
-            F.zip_with(
-                found,
-                F.arrays_zip(
-                    F.slice(held, 1, F.size(found)).alias("p"), F.slice(gaps, 1, F.size(found)).alias("l"), F.slice(gaps, 2, F.size(found)).alias("r")
-                ),
-                lambda s, g: F.struct(
-                    s.alias("secret"),
-                    F.substring(F.concat(g["p"], g["l"]), -CONTEXT, CONTEXT).alias("before"),
-                    F.substring(g["r"], 1, CONTEXT).alias("after"),
-                ),
-            ),
-        )
+        return F.struct(
+            at(1).alias("secret"), F.substring(F.concat(F.coalesce(at(-1), F.lit("")), at(0)), -CONTEXT, CONTEXT).alias("before"),
+            F.substring(at(2), 1, CONTEXT).alias("after"), F.length(at(0)).alias("gap"),
+        )
 
-    return _by_kind(text, of)
+    return F.transform(F.sequence(F.lit(0), F.floor(F.size(parts) / 2).cast("int") - 1), one)
+
+
+def extracted(docs: DataFrame, doc_id: str | None = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, found``: the candidates of every text that has one (``doc_id`` may be left out)."""
+    rows = docs.select((F.col(f"`{doc_id}`") if doc_id else F.lit(None)).alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    parted = rows.select("doc_id", _parts(F.col("text")).alias("parts")).filter(F.size("parts") > 1)
+    return parted.select("doc_id", _candidates(F.col("parts")).alias("found"))
+
+
+def corpus_dictionary(found: DataFrame) -> str:
+    """The pattern of the words around the candidates of ``extracted`` rows, longest first, and common endings."""
+    near = found.select(F.explode("found").alias("c")).select(F.lower(F.concat_ws(" ", "c.before", "c.after")).alias("t"))
+    words = near.select(F.explode(F.regexp_extract_all("t", F.lit(r"\p{L}{4,}"), F.lit(0))).alias("w")).groupBy("w").count()
+    top = [r["w"] for r in words.orderBy(F.col("count").desc(), "w").limit(DICTIONARY_WORDS).collect()]  # bounded
+    return "|".join(sorted({*top, *DICTIONARY.split("|")}, key=lambda w: (-len(w), w)))
 
 
 def seed_findings(spark: SparkSession, rows: int = 1_200) -> DataFrame:
@@ -178,10 +209,11 @@ def seed_findings(spark: SparkSession, rows: int = 1_200) -> DataFrame:
     return spark.range(rows // len(rowset) + 1).select(F.explode(F.array(*rowset)).alias("f")).select("f.*")
 
 
-def corpus_findings(docs: DataFrame, text: str = "text", per_kind: int = SAMPLE_FINDINGS) -> DataFrame:
-    """Candidates whose label is beyond doubt: a random value assigned to a secret's name, or one
-    that is all letters or all digits.  At most ``per_kind`` distinct ones of each kind, by smallest hash."""
-    rows = docs.select(F.explode(candidates(F.col(text))).alias("c")).select("c.*")
+def corpus_findings(found: DataFrame, per_kind: int = SAMPLE_FINDINGS) -> DataFrame:
+    """Candidates of ``extracted`` rows whose label is beyond doubt: a random value assigned to a secret's
+    name, or one that is all letters or all digits.  At most ``per_kind`` distinct ones of each kind,
+    by smallest hash."""
+    rows = found.select(F.explode("found").alias("c")).select("c.secret", "c.before", "c.after")
     s, lead = F.col("secret"), F.lower(F.col("before"))
     sure = F.when(
         lead.rlike(f"({SECRET_NAMES})[a-z0-9_]*\\s*[=:]\\s*[\"']$") & s.rlike("[0-9]") & s.rlike("[A-Za-z]") & (F.length(s) >= 20) & ~s.rlike("(?i)example|your"), 1
@@ -192,13 +224,13 @@ def corpus_findings(docs: DataFrame, text: str = "text", per_kind: int = SAMPLE_
     return parts[0].unionByName(parts[1])
 
 
-def train(findings: DataFrame, trees: int = 16, depth: int = 6, seed: int = 17) -> str:
+def train(findings: DataFrame, dictionary: str = DICTIONARY, trees: int = 16, depth: int = 6, seed: int = 17) -> Forest:
     """Fit the forest to ``(secret, before, after, label)`` and compile it into SQL over a struct
     ``c`` of ``FEATURES``: the mean share of secrets in the leaves that a candidate reaches."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    rows = findings.select(F.col("label").cast("double").alias("y"), *features(F.col("secret"), F.col("before"), F.col("after")))
+    rows = findings.select(F.col("label").cast("double").alias("y"), *features(F.col("secret"), F.col("before"), F.col("after"), dictionary))
     rows = stored(rows, work_dir(findings.sparkSession, "findings")).coalesce(4)  # bounded: see SAMPLE_FINDINGS
     x = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows)
     forest = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=trees, maxDepth=depth, featureSubsetStrategy="onethird", seed=seed).fit(x)
@@ -211,35 +243,50 @@ def train(findings: DataFrame, trees: int = 16, depth: int = 6, seed: int = 17)
         split = node.split()
         return f"IF(c.{FEATURES[split.featureIndex()]} <= {split.threshold()!r}D, {sql(node.leftChild())}, {sql(node.rightChild())})"
 
-    return f"({' + '.join(sql(t._call_java('rootNode')) for t in forest.trees)}) / {len(forest.trees)}D"
+    return Forest(f"({' + '.join(sql(t._call_java('rootNode')) for t in forest.trees)}) / {len(forest.trees)}D", dictionary)
 
 
-def default_forest(docs: DataFrame, text: str = "text") -> str:
-    return train(corpus_findings(docs, text).unionByName(seed_findings(docs.sparkSession)))
+def _labelled(found: DataFrame) -> DataFrame:
+    return corpus_findings(found).unionByName(seed_findings(found.sparkSession))
 
 
-def scan(docs: DataFrame, forest: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``_found``: every candidate of the text with its score, in order."""
-    found = candidates(F.col(f"`{text}`"))
-    with_features = F.transform(found, lambda c: F.struct(c["secret"].alias("secret"), F.struct(*features(c["secret"], c["before"], c["after"])).alias("f")))
-    score = f"transform(__x, d -> named_struct('secret', d.secret, 'score', element_at(transform(array(d.f), c -> {forest}), 1)))"
-    return docs.withColumn("__x", with_features).withColumn("_found", F.expr(score)).drop("__x")
+def forest_of(found: DataFrame) -> Forest:
+    """The forest for a corpus, from its ``extracted`` candidates."""
+    return train(_labelled(found), corpus_dictionary(found))
 
 
-def findings(docs: DataFrame, forest: str, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """One row per secret: ``doc_id, start, length, score, secret_sha256`` (character offsets).
+def default_forest(docs: DataFrame, text: str = "text") -> Forest:
+    return forest_of(stored(extracted(docs, None, text).select("found"), work_dir(docs.sparkSession, "candidates")))
 
-    Offsets are running sums over the candidates of one text, keyed by the row.
-    """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).filter(_by_kind(F.col("text"), F.col("text").rlike))
-    found = scan(rows, forest, "text").withColumn("gaps", _gaps(F.col("text")))
-    found = found.filter(F.exists("_found", lambda c: c["score"] >= threshold))
-    # numbered before the explode: all candidates of a text share its number
-    each = found.withColumn("row", F.monotonically_increasing_id()).select(
-        "doc_id",
-        "row",
-        F.posexplode(F.zip_with("_found", F.slice("gaps", 1, F.size("_found")), lambda c, g: F.struct(c["secret"].alias("secret"), c["score"].alias("score"), F.length(g).alias("gap")))).alias("i", "c"),
+
+def _scored(rows: DataFrame, forest: Forest) -> DataFrame:
+    """``found`` as ``(secret, gap, score)`` of every candidate."""
+    described = F.transform(
+        "found", lambda c: F.struct(c["secret"].alias("secret"), c["gap"].alias("gap"), F.struct(*features(c["secret"], c["before"], c["after"], forest.dictionary)).alias("f"))
     )
+    score = f"transform(found, d -> named_struct('secret', d.secret, 'gap', d.gap, 'score', element_at(transform(array(d.f), c -> {forest.sql}), 1)))"
+    return rows.withColumn("found", described).withColumn("found", F.expr(score))
+
+
+def held_out_quality(found: DataFrame, threshold: float = 0.5) -> dict[str, float]:
+    """Precision and recall on the quarter of the labelled findings that the forest has not seen."""
+    rows = stored(_labelled(found).distinct(), work_dir(found.sparkSession, "labelled"))
+    held = F.pmod(F.xxhash64("secret", "before", "after", F.lit(3)), F.lit(4)) == 0
+    forest = train(rows.filter(~held), corpus_dictionary(found))
+    unseen = rows.filter(held).select("label", F.array(F.struct("secret", "before", "after", F.lit(0).alias("gap"))).alias("found"))
+    hit, secret = F.col("found")[0]["score"] >= threshold, F.col("label") == 1
+    r = _scored(unseen, forest).agg(
+        F.count_if(hit & secret).alias("tp"), F.count_if(hit & ~secret).alias("fp"), F.count_if(~hit & secret).alias("fn"), F.count(F.lit(1)).alias("n")
+    ).first()
+    return {"precision": r["tp"] / max(1, r["tp"] + r["fp"]), "recall": r["tp"] / max(1, r["tp"] + r["fn"]), "findings": r["n"]}
+
+
+def findings_of(found: DataFrame, forest: Forest, threshold: float = 0.5) -> DataFrame:
+    """One row per secret of ``extracted`` candidates: ``doc_id, start, length, score, secret_sha256``
+    (character offsets: running sums over the candidates of one text, keyed by the row)."""
+    rows = _scored(found, forest).filter(F.exists("found", lambda c: c["score"] >= threshold))
+    # numbered before the explode: all candidates of a text share its number
+    each = rows.withColumn("row", F.monotonically_increasing_id()).select("doc_id", "row", F.posexplode("found").alias("i", "c"))
     so_far = Window.partitionBy("row").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = each.select("doc_id", "c.secret", "c.score", (F.sum(F.col("c.gap") + F.length("c.secret")).over(so_far) - F.length("c.secret")).alias("start"))
     return placed.filter(F.col("score") >= threshold).select(
@@ -247,12 +294,21 @@ def findings(docs: DataFrame, forest: str, doc_id: str = "doc_id", text: str = "
     )
 
 
-def redacted(docs: DataFrame, forest: str, text: str = "text", threshold: float = 0.5, mask: str = MASK) -> DataFrame:
+def findings(docs: DataFrame, forest: Forest, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
+    return findings_of(extracted(docs, doc_id, text), forest, threshold)
+
+
+def redacted(docs: DataFrame, forest: Forest, text: str = "text", threshold: float = 0.5, mask: str = MASK) -> DataFrame:
     """``docs`` with every secret replaced by ``mask``; other texts stay as they are."""
-    names: Sequence[str] = docs.columns
-    found = scan(docs, forest, text)
-    gaps = _gaps(F.col(f"`{text}`"))
-    shown = F.transform("_found", lambda c: F.when(c["score"] >= threshold, F.lit(mask)).otherwise(c["secret"]))
-    joined = F.array_join(F.flatten(F.zip_with(gaps, F.concat(shown, F.array(F.lit(""))), lambda g, s: F.array(g, s))), "")
-    secret = F.coalesce(F.exists("_found", lambda c: c["score"] >= threshold), F.lit(False))
-    return found.withColumn(text, F.when(secret, joined).otherwise(F.col(f"`{text}`"))).select(*[f"`{c}`" for c in names])
+    names = docs.columns
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
+    parted = packed.withColumn("parts", _parts(F.col("text")))
+    none = F.array().cast("array<struct<secret:string,before:string,after:string,gap:int>>")
+    scored = _scored(parted.withColumn("found", F.when(F.size("parts") > 1, _candidates(F.col("parts"))).otherwise(none)), forest)
+    turns = F.transform(
+        "found", lambda c, i: F.concat(F.get("parts", 2 * i), F.when(c["score"] >= threshold, F.lit(mask)).otherwise(c["secret"]))
+    )
+    joined = F.concat(F.array_join(turns, ""), F.element_at("parts", -1))
+    secret = F.exists("found", lambda c: c["score"] >= threshold)
+    shown = F.when(secret, joined).otherwise(F.col("text"))
+    return scored.withColumn("shown", shown).select(*[F.col("shown").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in names])

@@ -408,10 +408,28 @@ def test_secret_scan_finds_short_and_marked_values(spark):
     assert spans == {(i, rows[i][1].index(value), len(value)) for i, (_, value) in enumerate(held)}
 
 
+def test_secret_scan_keeps_columns_and_marked_texts(spark):
+    token = hashlib.sha1(b"k").hexdigest()
+    texts = [f'token = "{token}" x', f' a token = "{token}"', "no secret  here", None, ""]
+    rows = [(i, t, i, "p", "f") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `_found` long, `__x` string, `a.b` string")
+    forest = secrets.default_forest(docs)
+    got = [tuple(r) for r in secrets.redacted(docs, forest).orderBy("doc_id").collect()]
+    assert got == [(i, t and t.replace(token, "[SECRET]"), i, "p", "f") for i, t, *_ in rows]
+    assert {(r.doc_id, r.start) for r in secrets.findings(docs, forest).collect()} == {(0, 9), (1, texts[1].index(token))}
+    assert secrets.findings(docs.limit(0), secrets.default_forest(docs.limit(0))).count() == 0
+
+
+def test_secret_forest_on_held_out_findings(spark):
+    found = secrets.extracted(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    measured = secrets.held_out_quality(found)
+    assert measured["findings"] > 100 and measured["precision"] >= 0.97 and measured["recall"] >= 0.97
+
+
 def test_secret_sample_is_of_distinct_findings(spark):
     keys = [hashlib.sha1(bytes([i])).hexdigest() for i in range(4)]
     rows = [(i, f'token = "{keys[i if i < 4 else 0]}" x', "a") for i in range(60)] + [(90 + i, f'token = "{keys[1]}" x', "a") for i in range(60)]
-    found = secrets.corpus_findings(_docs(spark, rows), per_kind=4).filter("label = 1").collect()
+    found = secrets.corpus_findings(secrets.extracted(_docs(spark, rows)), per_kind=4).filter("label = 1").collect()
     assert sorted(r.secret for r in found) == sorted(keys)
 
 
