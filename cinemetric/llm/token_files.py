@@ -146,18 +146,18 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for base, data in zip(batch.column("base").to_pylist(), batch.column("shard").to_pylist()):
                 shard = Shard(data)
-                ends = shard.ends.all()
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                raw = shard.tokens.tobytes()
-                doc_ids = shard.doc_ids()
+                doc_ids, start = shard.doc_ids(), 0
                 for at in range(0, len(shard), 256):
-                    s, e = starts[at : at + 256], ends[at : at + 256]
+                    # boundaries by select, a few hundred at a time: no table of all of them
+                    ends = [shard.ends.select(i) for i in range(at, min(at + 256, len(shard)))]
+                    starts = [start, *ends[:-1]]
+                    start = ends[-1]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(doc_ids[at : at + 256], pa.int64()),
-                            pa.array(base + shard.first + s),
-                            pa.array(e - s),
-                            pa.array([raw[2 * a : 2 * b] for a, b in zip(s, e)], pa.binary()),
+                            pa.array([base + shard.first + s for s in starts], pa.int64()),
+                            pa.array([e - s for s, e in zip(starts, ends)], pa.int64()),
+                            pa.array([shard.tokens[s:e].tobytes() for s, e in zip(starts, ends)], pa.binary()),
                         ],
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )

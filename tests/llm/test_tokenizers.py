@@ -111,8 +111,9 @@ def _brute_alignment(rows):
                 ea, eb = (np.cumsum([len(f(i)) for i in x]).tolist() for f, x in ((a_bytes, a), (b_bytes, b)))
                 i = j = 0
                 said = []
+                in_a, in_b = ({e: k + 1 for k, e in enumerate(x)} for x in (ea, eb))
                 for e in sorted(set(ea) & set(eb)):
-                    x, y = ea.index(e) + 1, eb.index(e) + 1
+                    x, y = in_a[e], in_b[e]
                     said.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
                     links.append((a[x - 1], b[y - 1]))
                     i, j = x, y
