@@ -15,6 +15,7 @@ scoring worker maps them into memory and looks its keys up in sorted order, so i
 of texts, never the model.  Intermediate tables carry compressed arrays rather than rows.
 
 The model has order two: a third level would shuffle about as many keys as there are tokens.
+A bigram's stored count ends at 2^32 - 1 (its context's total does not).
 Text model: bytes A-Z lowered, words between ASCII white space, a begin mark as first context and
 an end token, which is scored.  A word is known by its 64-bit hash.
 
