@@ -132,12 +132,14 @@ def character_classes() -> np.ndarray:
     """The class of every code point, as the tokenizer library's own regular expressions see it."""
     import tiktoken
 
-    text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     single = {bytes([b]): b for b in range(256)}
     classes = np.full(0x110000, OTHER, np.uint8)
     for pattern, value in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", SPACE)):
-        found = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks=single, special_tokens={}).encode_ordinary(text)
-        classes[np.frombuffer(bytes(found).decode().encode("utf-32-le"), np.uint32)] = value
+        library = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks=single, special_tokens={})
+        for at in range(0, 0x110000, 0x8000):  # some at a time: each byte found is a number of its own
+            text = "".join(chr(c) for c in range(at, at + 0x8000) if not 0xD800 <= c < 0xE000)
+            found = library.encode_ordinary(text)
+            classes[np.frombuffer(bytes(found).decode().encode("utf-32-le"), np.uint32)] = value
     return classes
 
 

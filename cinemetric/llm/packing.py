@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinemetric.llm.token_files import ids_crc32
 from cinemetric.llm.tokens import encoder
 
 SEQUENCES = 1 << 20
@@ -99,10 +100,12 @@ def pack(
     seed: int = 7,
     doc_id: str = "doc_id",
     text: str = "text",
+    digest: bool = False,
 ) -> DataFrame:
     """Packed pieces: ``doc_id, start, length, doc_tokens, ids, sequence_id, offset``.
 
-    ``ids`` are 16-bit little-endian ids.  A sequence is its pieces in the order of ``offset``,
+    ``ids`` are 16-bit little-endian ids; with ``digest`` their crc32 as 32-bit ids stands in their
+    place (``ids_crc32``), computed where they are packed.  A sequence is its pieces in the order of ``offset``,
     padded to ``length``.
     """
     groups = max(1, -(-docs.count() // group_rests))
@@ -121,8 +124,11 @@ def pack(
         else:
             bins, offset = first_fit_decreasing(table.column("length").to_numpy(), length)
             sequence = group * SEQUENCES + bins
-        return table.select(["doc_id", "start", "length", "doc_tokens", "ids"]).append_column(
-            "sequence_id", pa.array(sequence)
-        ).append_column("offset", pa.array(offset))
-
-    return dealt.groupBy("group").applyInArrow(run, PACKED)
+        ids = table.column("ids")
+        if digest:
+            ids = pa.array(ids_crc32(ids))
+        names = ["doc_id", "start", "length", "doc_tokens"]
+        columns = [*(table.column(c) for c in names), ids, pa.array(sequence), pa.array(offset)]
+        return pa.table(columns, names=[*names, "ids_crc32" if digest else "ids", "sequence_id", "offset"])
+
+    return dealt.groupBy("group").applyInArrow(run, PACKED.replace("ids binary", "ids_crc32 long") if digest else PACKED)
