@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinemetric.llm import mixing, packing, quality, secrets, simhash, token_files
+from cinemetric.llm import mixing, packing, quality, secrets, simhash
 from cinemetric.llm.queries import quality_model
 from cinemetric.llm.shared import stored, table, work_dir
 from cinemetric.llm.tokens import vocabulary
@@ -58,8 +58,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    packed = packing.pack(docs, vocabulary("byte_bpe_50k.json"), length=2048, end_id=1)
-    return token_files.with_crc32(packed)
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), length=2048, end_id=1, digest=True)
 
 
 STAGES = [
