@@ -3,7 +3,7 @@
 A ``KeyRangeTable`` is a folder of Parquet files in ranges of its key and one manifest per version:
 
     data/<version>-<id>/_range=<n>/...   rows of a range, sorted on the key
-    manifest/v=<version>/                one row per range: its data folder, least and greatest key, rows
+    manifest/v=<version>/                one row per range: its data folder, least and greatest key, rows, bytes
 
 A change reads the manifest (as large as the number of ranges), finds the ranges that the batch's
 keys fall into, joins the batch with those ranges' rows only, writes them to a new data folder and then
@@ -12,7 +12,9 @@ is the commit: a job that dies before it leaves the table at its old version, an
 finds its version taken fails.  Readers keep the version that they opened.
 
 Ranges follow the whole key, so a key prefix that holds a third of the rows (one movie's ratings)
-spans several ranges.  A range that grows beyond twice ``target_rows`` is split when it is written.
+spans several ranges.  A task sorts and writes one range, so ranges are bounded in bytes as well as in
+rows, whatever a row holds; one that grows beyond twice ``target_rows`` or ``target_bytes`` is split
+when it is written.
 """
 
 from __future__ import annotations
@@ -30,13 +32,36 @@ from cinemetric.operators import mutate as W
 Change = Callable[[DataFrame, DataFrame], DataFrame]
 
 
+def value_bytes(c: Column, kind: T.DataType) -> Column:
+    """About the bytes that a value takes in memory, what it nests included (0 where it is NULL)."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(c) + 8
+    elif isinstance(kind, T.ArrayType):
+        each = F.transform(c, lambda x: value_bytes(x, kind.elementType) + 8)
+        size = F.aggregate(each, F.lit(0).cast("long"), lambda total, x: total + x) + 16
+    elif isinstance(kind, T.MapType):
+        size = value_bytes(F.map_keys(c), T.ArrayType(kind.keyType)) + value_bytes(F.map_values(c), T.ArrayType(kind.valueType))
+    elif isinstance(kind, T.StructType):
+        size = sum((value_bytes(c[f.name], f.dataType) for f in kind.fields), F.lit(16))
+    elif isinstance(kind, T.VariantType):
+        size = F.octet_length(F.to_json(c)) + 8
+    else:
+        size = F.lit(16 if isinstance(kind, T.DecimalType) else 8)
+    return F.coalesce(size.cast("long"), F.lit(0).cast("long"))
+
+
+def _row_bytes(schema: T.StructType) -> Column:
+    return sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in schema.fields), F.lit(16).cast("long"))
+
+
 class VersionTaken(RuntimeError):
     """Another writer committed the version that this one meant to write."""
 
 
 class KeyRangeTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], target_rows: int = 2_000_000):
-        self.spark, self.path, self.keys, self.target_rows = spark, path.rstrip("/"), list(keys), target_rows
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], target_rows: int = 2_000_000, target_bytes: int = 128 << 20):
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
+        self.target_rows, self.target_bytes = target_rows, target_bytes
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -53,14 +78,14 @@ class KeyRangeTable:
         return sorted(int(p.getName().split("=")[1]) for p in done)
 
     def _manifest(self, version: int | None = None) -> list:
-        """One row per range, in key order; bounded by rows / ``target_rows``."""
+        """One row per range, in key order; bounded by rows / ``target_rows`` and bytes / ``target_bytes``."""
         version = self.versions()[-1] if version is None else version
         return self.spark.read.parquet(f"{self.path}/manifest/v={version}").orderBy("place").collect()
 
     def _commit(self, version: int, entries: list[tuple], schema: T.StructType, note: str = "") -> None:
         rows = [(i, schema.json(), note, *e) for i, e in enumerate(entries)]
         key = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in schema.fields if f.name in self.keys)
-        frame = self.spark.createDataFrame(rows, f"place int, schema string, note string, folder string, low struct<{key}>, high struct<{key}>, n long")
+        frame = self.spark.createDataFrame(rows, f"place int, schema string, note string, folder string, low struct<{key}>, high struct<{key}>, n long, size long")
         try:
             frame.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/manifest/v={version}")
         except Exception as e:
@@ -92,17 +117,25 @@ class KeyRangeTable:
     def _write(self, rows: DataFrame, version: int, ranges: int) -> list[tuple]:
         """Write rows in new ranges; their manifest entries in key order."""
         folder = f"{self.path}/data/{version}-{uuid.uuid4().hex}"
-        ranged = rows.repartitionByRange(max(1, ranges), *self.keys).sortWithinPartitions(*self.keys)
-        ranged.withColumn("_range", F.spark_partition_id()).write.partitionBy("_range").parquet(folder)
+        ranged = rows.repartitionByRange(max(1, ranges), *self.keys).withColumn("_range", F.spark_partition_id())
+        # sorted on the folder's column first, as the writer wants it: else it sorts the range once more
+        ranged.sortWithinPartitions("_range", *self.keys).write.partitionBy("_range").parquet(folder)
         if not any(f.getPath().getName().startswith("_range=") for f in self._fs.listStatus(self._path(folder))):
             return []
         written = self.spark.read.parquet(folder)
-        stats = written.groupBy("_range").agg(F.min(self._key()).alias("low"), F.max(self._key()).alias("high"), F.count(F.lit(1)).alias("n"))
+        stats = written.groupBy("_range").agg(
+            F.min(self._key()).alias("low"), F.max(self._key()).alias("high"), F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(rows.schema)).alias("size")
+        )
         found = stats.orderBy("_range").collect()  # one row per range
-        return [(f"{folder}/_range={r['_range']}", tuple(r["low"]), tuple(r["high"]), r["n"]) for r in found]
+        return [(f"{folder}/_range={r['_range']}", tuple(r["low"]), tuple(r["high"]), r["n"], r["size"]) for r in found]
+
+    def _ranges_for(self, n: int, size: int) -> int:
+        return max(-(-n // self.target_rows), -(-size // self.target_bytes))
 
-    def _ranges_for(self, n: int) -> int:
-        return -(-n // self.target_rows)
+    @staticmethod
+    def _size(entry) -> int:
+        """Bytes of a range; 0 in manifests from before they were kept."""
+        return entry["size"] if "size" in entry else 0
 
     def note(self) -> str:
         """What the last change was committed with."""
@@ -111,8 +144,9 @@ class KeyRangeTable:
     def create(self, rows: DataFrame, note: str = "") -> "KeyRangeTable":
         """Version 0; rows without a whole key are left out, and keys must be unique."""
         rows = rows.dropna(subset=self.keys)
-        entries = self._write(rows, 0, self._ranges_for(rows.count()))
-        none = [(None, None, None, 0)]
+        found = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(rows.schema)), F.lit(0)).alias("size")).first()
+        entries = self._write(rows, 0, self._ranges_for(found["n"], found["size"]))
+        none = [(None, None, None, 0, 0)]
         self._commit(0, entries or none, rows.schema, note)
         return self
 
@@ -146,21 +180,20 @@ class KeyRangeTable:
         places = set(self._touched(batch, on, entries))
         touched = [e for i, e in enumerate(entries) if i in places]
         rows = how(self._rows(touched, schema), batch).select(*schema.fieldNames())
-        old = sum(e["n"] for e in touched)
-        ranges = max(len(touched), self._ranges_for(old)) if touched else 1
+        ranges = max(len(touched), self._ranges_for(sum(e["n"] for e in touched), sum(map(self._size, touched)))) if touched else 1
         written = self._write(rows, version + 1, ranges) if touched or not batch.isEmpty() else []
-        kept = [(e["folder"], tuple(e["low"]), tuple(e["high"]), e["n"]) for i, e in enumerate(entries) if i not in places and e["folder"]]
+        kept = [(e["folder"], tuple(e["low"]), tuple(e["high"]), e["n"], self._size(e)) for i, e in enumerate(entries) if i not in places and e["folder"]]
         new = sorted([*kept, *self._split_at(written, kept, version + 1, schema)], key=lambda e: e[1])
-        self._commit(version + 1, new or [(None, None, None, 0)], schema, note)
+        self._commit(version + 1, new or [(None, None, None, 0, 0)], schema, note)
         return version + 1
 
     def _split_at(self, written: list[tuple], kept: list[tuple], version: int, schema: T.StructType) -> list[tuple]:
         """New ranges, none of which spans an old one; one that is too large in several."""
         out = []
         for entry in written:
-            folder, low, high, n = entry
+            folder, low, high, n, size = entry
             inside = sorted(k[1] for k in kept if low < k[1] < high)
-            parts = self._ranges_for(n) if n > 2 * self.target_rows else 1
+            parts = self._ranges_for(n, size) if n > 2 * self.target_rows or size > 2 * self.target_bytes else 1
             if not inside and parts == 1:
                 out.append(entry)
                 continue

@@ -149,3 +149,18 @@ def test_mixed_lists(spark):
     numbers = spark.createDataFrame([(x,) for x in ('{"a": {"b": 1}}', '{"a": {"b": "1"}}', '{"a": {"b": 1.5}}', '{"a": 1}', "{}")], "b string")
     b = VT.at(VT.parsed("b"), "a", "b")
     assert [r[0] for r in numbers.select(F.coalesce(VT.is_number(b), F.lit(False))).collect()] == [True, False, True, False, False]
+
+
+def test_ranges_are_bounded_by_bytes(spark, tmp_path):
+    # before: ranges followed rows only, so a task sorted as many bytes as two million rows have
+    rows = spark.range(400).select(F.col("id").alias("k"), F.array_repeat(F.struct(F.repeat(F.lit("x"), 1000).alias("s")), 10).alias("x"))
+    table = KeyRangeTable(spark, str(tmp_path / "t"), ["k"], target_bytes=1 << 20).create(rows)
+    made = table._manifest()
+    assert len(made) >= 4 and max(e["size"] for e in made) <= 2 << 20
+    assert sum(e["size"] for e in made) >= 400 * 10 * 1000
+    table.delete(spark.range(0, 400, 2).select(F.col("id").alias("k")))
+    assert sorted(r["k"] for r in table.read().collect()) == list(range(1, 400, 2))
+    assert max(e["size"] for e in table._manifest()) <= 2 << 20
+    whole = table.read()
+    table.upsert(whole.select("k", F.array_repeat(F.col("x")[0], 60).alias("x"), F.lit(1).alias("seq")), "seq")
+    assert max(e["size"] for e in table._manifest()) <= 2 << 20 and table.read().filter(F.size("x") == 60).count() == 200
