@@ -94,11 +94,14 @@ def facts_from(ratings: DataFrame, named_genres: DataFrame | None) -> DataFrame:
 
 def refresh_facts(facts: DataFrame, ratings: DataFrame, named_genres: DataFrame, changed: DataFrame) -> DataFrame:
     """Incremental maintenance of the stored facts after a change batch: rows of the
-    ``changed`` movies are re-aggregated from the (new) ratings and genres — both
-    semi-joined to the changed ids first — and replace the old rows; all other rows are kept
-    as they are.  Cost grows with the batch, not with the table."""
-    ids = changed.select("movie_id")
-    fresh = facts_from(ratings.join(ids, "movie_id", "left_semi"), named_genres.join(ids, "movie_id", "left_semi"))
+    ``changed`` movies are re-aggregated from the (new) ratings and genres and replace the old
+    rows; all other rows are kept as they are.
+
+    The semi-join to the changed ids stands behind the aggregation: Spark moves it in front of it
+    where the ids are few enough to broadcast, so that cost grows with the batch; where they are
+    not, ratings combine map-side and tasks sort one row per movie, not every rating."""
+    ids = changed.select("movie_id").distinct()
+    fresh = facts_from(ratings, named_genres).join(ids, "movie_id", "left_semi")
     return facts.join(ids, "movie_id", "left_anti").unionByName(fresh)
 
 

@@ -95,3 +95,27 @@ def test_movie_find_union_semantics(spark):
         spark.createDataFrame([(12, "Twelve", None, 0.0)], "movie_id int, title string, released_date date, popularity double"))
     got = S.movie_find(_Cat(m2), "12").orderBy("rank", "title").collect()
     assert [(r.rank, r.movie_id, r.popularity) for r in got] == [(0, 12, 0.0), (1, 7, None)]
+
+
+def test_refreshed_facts_join_one_row_per_movie(spark):
+    # before: every rating and every change row was sorted for the joins, several times over in one task
+    from decimal import Decimal
+
+    from cinemetric.plans.common import facts_from, refresh_facts
+
+    old = [(1, Decimal("1.0")), (1, Decimal("2.0")), (2, Decimal("3.0")), (4, Decimal("4.0")), (None, Decimal("5.0"))]
+    ratings = spark.createDataFrame(old, "movie_id int, rating decimal(3,1)")
+    genres = spark.createDataFrame([(1, "B"), (1, "A"), (2, "A"), (3, "C"), (None, "D")], "movie_id int, genre_name string")
+    new = ratings.unionByName(spark.createDataFrame([(1, Decimal("6.0")), (5, Decimal("7.0"))], ratings.schema))
+    changed = spark.createDataFrame([(1,), (1,), (3,), (5,), (6,), (None,)], "movie_id int")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = refresh_facts(facts_from(ratings, genres), new, genres, changed)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        rows = got.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    want = facts_from(new.filter("movie_id is null or movie_id < 9"), genres).collect()
+    assert sorted(rows, key=repr) == sorted(want, key=repr)
+    assert plan.count("LeftSemi") == 1
