@@ -54,33 +54,39 @@ def _long(v: Column) -> Column:
     return F.try_variant_get(v, "$", "bigint")
 
 
-def _date(v: Column) -> Column:
+def _date(v: Column, t: Column) -> Column:
     """A date is written ``{"$date": ISO text}``."""
-    text = F.when(is_object(v), F.try_variant_get(v, '$["$date"]', "string"))
+    text = F.when(t.startswith("OBJECT"), F.try_variant_get(v, '$["$date"]', "string"))
     return text.try_cast(T.TimestampType()).isNotNull()
 
 
-# The names of the document store's types.
+# The names of the document store's types, told from a value and its type name.
 KINDS = {
-    "null": lambda v: type_name(v) == "VOID",
-    "string": is_string,
-    "int": lambda v: (type_name(v) == "BIGINT") & _long(v).between(INT_LOW, INT_HIGH),
-    "double": lambda v: type_name(v).isin("DOUBLE", "FLOAT") | type_name(v).startswith("DECIMAL"),
-    "bool": lambda v: type_name(v) == "BOOLEAN",
+    "null": lambda v, t: t == "VOID",
+    "string": lambda v, t: t == "STRING",
+    "int": lambda v, t: (t == "BIGINT") & _long(v).between(INT_LOW, INT_HIGH),
+    "double": lambda v, t: t.isin("DOUBLE", "FLOAT") | t.startswith("DECIMAL"),
+    "bool": lambda v, t: t == "BOOLEAN",
     "date": _date,
-    "object": is_object,
-    "array": is_array,
+    "object": lambda v, t: t.startswith("OBJECT"),
+    "array": lambda v, t: t.startswith("ARRAY"),
 }
 
 
-def kind(v: Column, *names: str) -> Column:
-    """Whether a value has one of the named types."""
-    test = KINDS[names[0]](v)
+def kind(v: Column, *names: str, known: Column | None = None) -> Column:
+    """Whether a value has one of the named types; ``known`` is its type name, where that is at hand."""
+    t = type_name(v) if known is None else known
+    test = KINDS[names[0]](v, t)
     for name in names[1:]:
-        test = test | KINDS[name](v)
+        test = test | KINDS[name](v, t)
     return F.coalesce(test, F.lit(False))
 
 
+def items(v: Column) -> Column:
+    """The items of an array as a list of VARIANT; NULL for any other value."""
+    return F.try_variant_get(F.when(is_array(v), v), "$", "array<variant>")
+
+
 def as_list(v: Column, element: T.DataType = NAMED_ITEM) -> Column:
     """R-09: ``array<element>`` of a field that is a list, or the JSON or literal text of one.
     Anything else, and an absent field, is an empty list."""

@@ -2,10 +2,14 @@
 
 A description says what a value may be: ``Value`` (one of some types, perhaps of an enumeration or
 within bounds), ``Fields`` (an object with required and described fields) or ``Items`` (an array whose
-items are described).  ``document_rules`` turns it into one boolean expression per rule over a VARIANT
+items are described).  ``check_documents`` turns it into one boolean expression per rule over a VARIANT
 column, with the rule's path in its name (``recommendations[].score must be double``), so a table of
 documents is checked in one pass without a shuffle, whatever type a field has in which row.
 
+A type name is built from all that a value nests, so it is read once a value, not once a rule:
+every described value and its type name are laid out in columns first (items of an array in one
+column of structs), and the rules look at those.
+
 A field that is absent breaks only "is required"; one that holds null is there, and must allow null.
 """
 
@@ -43,51 +47,110 @@ class Fields:
 
 
 Description = Value | Fields | Items
-Test = Callable[[Column], Column]
 
 
-def _tests(what: Description, path: str) -> list[tuple[str, Test]]:
+@dataclass(frozen=True)
+class _Seen:
+    """A described value as the rules see it: itself, its type name, its described and required
+    fields, and its items (an array of what ``_laid_out`` makes of each)."""
+
+    value: Column
+    type: Column
+    fields: Mapping[str, _Seen]
+    items: Column | None = None
+
+
+def _names(what: Fields) -> list[str]:
+    return list(dict.fromkeys((*what.required, *what.fields)))
+
+
+def _laid_out(what: Description | None, v: Column) -> Column:
+    """A value inside an array, with all that its rules look at, as a struct."""
+    parts = [v.alias("v"), VT.type_name(v).alias("t")]
+    if isinstance(what, Fields):
+        parts += [_laid_out(what.fields.get(name), VT.at(v, name)).alias(f"f{i}") for i, name in enumerate(_names(what))]
+    elif isinstance(what, Items) and what.item is not None:
+        parts.append(_laid_out_items(what, v).alias("items"))
+    return F.struct(*parts)
+
+
+def _laid_out_items(what: Items, v: Column) -> Column:
+    return F.transform(VT.items(v), lambda x: _laid_out(what.item, x))
+
+
+def _seen(what: Description | None, laid: Column) -> _Seen:
+    fields = {n: _seen(what.fields.get(n), laid[f"f{i}"]) for i, n in enumerate(_names(what))} if isinstance(what, Fields) else {}
+    return _Seen(laid["v"], laid["t"], fields, laid["items"] if isinstance(what, Items) and what.item is not None else None)
+
+
+def _broken(what: Description, path: str, seen: _Seen) -> list[tuple[str, Column]]:
     """(name, violated) of a value that is there."""
-    out: list[tuple[str, Test]] = [(f"{path} must be {' or '.join(what.types)}", lambda v: ~VT.kind(v, *what.types))]
+    v, t = seen.value, seen.type
+    out: list[tuple[str, Column]] = [(f"{path} must be {' or '.join(what.types)}", ~VT.kind(v, *what.types, known=t))]
     if isinstance(what, Value):
         if what.allowed:
-            out.append((f"{path} not allowed", lambda v: VT.is_string(v) & ~F.try_variant_get(v, "$", "string").isin(*what.allowed)))
-        number = lambda v: F.try_variant_get(v, "$", "double")
+            out.append((f"{path} not allowed", VT.kind(v, "string", known=t) & ~F.try_variant_get(v, "$", "string").isin(*what.allowed)))
+        number, is_number = F.try_variant_get(v, "$", "double"), t.isin("BIGINT", "DOUBLE", "FLOAT") | t.startswith("DECIMAL")
         if what.low is not None:
-            out.append((f"{path} below {what.low:g}", lambda v: VT.is_number(v) & (number(v) < what.low)))
+            out.append((f"{path} below {what.low:g}", is_number & (number < what.low)))
         if what.high is not None:
-            out.append((f"{path} above {what.high:g}", lambda v: VT.is_number(v) & (number(v) > what.high)))
+            out.append((f"{path} above {what.high:g}", is_number & (number > what.high)))
     elif isinstance(what, Fields):
+        is_object = t.startswith("OBJECT")
         for name in what.required:
-            out.append((f"{_join(path, name)} is required", lambda v, name=name: VT.is_object(v) & VT.at(v, name).isNull()))
+            out.append((f"{_join(path, name)} is required", is_object & seen.fields[name].value.isNull()))
         for name, inner in what.fields.items():
-            for said, test in _tests(inner, _join(path, name)):
-                out.append((said, lambda v, name=name, test=test: VT.is_object(v) & VT.at(v, name).isNotNull() & test(VT.at(v, name))))
+            field_seen = seen.fields[name]
+            for said, test in _broken(inner, _join(path, name), field_seen):
+                out.append((said, is_object & field_seen.value.isNotNull() & test))
     elif what.item is not None:
-        for said, test in _tests(what.item, f"{path}[]"):
+        # the names are the same for every item: told from one that is not looked at
+        for i, (said, _) in enumerate(_broken(what.item, f"{path}[]", _seen(what.item, F.col("_none")))):
+            out.append((said, F.exists(seen.items, _item_test(what.item, i))))
+    return out
 
-            def some(v: Column, test: Test = test) -> Column:
-                items = F.try_variant_get(F.when(VT.is_array(v), v), "$", "array<variant>")
-                return F.exists(items, lambda x: F.coalesce(test(x), F.lit(False)))
 
-            out.append((said, some))
-    return out
+def _item_test(what: Description, i: int) -> Callable[[Column], Column]:
+    """Whether an item breaks the ``i``-th rule of its description."""
+    return lambda x: F.coalesce(_broken(what, "", _seen(what, x))[i][1], F.lit(False))
 
 
 def _join(path: str, name: str) -> str:
     return f"{path}.{name}" if path else name
 
 
-def document_rules(what: Fields, document: str = "document") -> list[Rule]:
-    """The rules of a description over a VARIANT column; a NULL document breaks one rule only."""
-    whole = F.col(document)
-    rules = [Rule("document must be object", whole.isNull() | ~VT.is_object(whole))]
-    return rules + [Rule(name, test(whole)) for name, test in _tests(what, "")[1:]]
+def _columns(what: Description | None, path: tuple[str, ...]) -> list[tuple[tuple[str, ...], Description | None]]:
+    """Paths of the described values that no array holds, the document first."""
+    out = [(path, what)]
+    if isinstance(what, Fields):
+        for name in _names(what):
+            out += _columns(what.fields.get(name), (*path, name))
+    return out
 
 
 def check_documents(docs: DataFrame, what: Fields, document: str = "document") -> DataFrame:
-    """``docs`` with ``reasons``."""
-    return check(docs, document_rules(what, document))
+    """``docs`` with ``reasons``: the rules of a description that a VARIANT column breaks; a NULL
+    document breaks one rule only."""
+    nodes = _columns(what, ())
+    place = {path: i for i, (path, _) in enumerate(nodes)}
+    whole = F.col(document)
+    # flat columns, which Spark computes once; extracts of a struct would be put back into every rule
+    values = docs.select("*", *[(VT.at(whole, *path) if path else whole).alias(f"_v{i}") for path, i in place.items()])
+    listed = [i for i, (_, inner) in enumerate(nodes) if isinstance(inner, Items) and inner.item is not None]
+    laid = values.select(
+        "*", *[VT.type_name(F.col(f"_v{i}")).alias(f"_t{i}") for i in range(len(nodes))],
+        *[_laid_out_items(nodes[i][1], F.col(f"_v{i}")).alias(f"_i{i}") for i in listed],
+    )
+
+    def seen(path: tuple[str, ...], inner: Description | None) -> _Seen:
+        i = place[path]
+        fields = {n: seen((*path, n), inner.fields.get(n)) for n in _names(inner)} if isinstance(inner, Fields) else {}
+        return _Seen(F.col(f"_v{i}"), F.col(f"_t{i}"), fields, F.col(f"_i{i}") if i in listed else None)
+
+    top = seen((), what)
+    rules = [Rule("document must be object", whole.isNull() | ~top.type.startswith("OBJECT"))]
+    rules += [Rule(name, test) for name, test in _broken(what, "", top)[1:]]
+    return check(laid, rules).select(*docs.columns, "reasons")
 
 
 def required_fields(*names: str) -> Fields:

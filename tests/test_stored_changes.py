@@ -151,6 +151,20 @@ def test_mixed_lists(spark):
     assert [r[0] for r in numbers.select(F.coalesce(VT.is_number(b), F.lit(False))).collect()] == [True, False, True, False, False]
 
 
+def test_type_names_are_read_once_a_value(spark):
+    # before: each rule read the type name of the document and of all that lies on its way
+    docs = spark.createDataFrame([('{"a": {"b": [{"c": 1}, {"c": "x"}]}, "n": 1.5}',), ("[1]",), (None,)], "body string")
+    item = DOC.Fields(("c", "d"), {"c": DOC.Value(("int",), low=0, high=5), "d": DOC.Value(("date",))})
+    what = DOC.Fields(("a", "z"), {"a": DOC.Fields(("b",), {"b": DOC.Items(item)}), "n": DOC.Value(("int", "null"), low=0, high=5)})
+    checked = DOC.check_documents(docs.select(VT.parsed("body").alias("document")), what)
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    # the document, a, b, n, z, an item, c and d; b and an item once more for what is in them
+    assert plan.count("schema_of_variant") <= 10
+    assert [r["reasons"] for r in checked.collect()] == [
+        ["z is required", "a.b[].d is required", "a.b[].c must be int", "n must be int or null"], ["document must be object"], ["document must be object"],
+    ]
+
+
 def test_ranges_are_bounded_by_bytes(spark, tmp_path):
     # before: ranges followed rows only, so a task sorted as many bytes as two million rows have
     rows = spark.range(400).select(F.col("id").alias("k"), F.array_repeat(F.struct(F.repeat(F.lit("x"), 1000).alias("s")), 10).alias("x"))
