@@ -15,6 +15,10 @@ taking it is nearer than leaving the gap open.  Documents of one size are taken
 of id, source and text, ranked within hash buckets behind the bucket's offset, so no window runs over
 more than a bucket, and a rerun takes the same whatever the input's partitions are.
 
+The plan per source, the parts per size and the chosen documents are written once each: a query
+that repeats them wherever they are used holds dozens of shuffles, whose tasks, threads and code all
+meet in the driver.  Their known sizes also let Spark join them without moving the texts.
+
 Defined cases: a null text has size 0 and takes 0 words; a source of size 0 has target 0; a null
 source is a source of its own, last in the order; repeated rows and rows without id
 are decided each for itself; an empty table gives an empty result.
@@ -31,7 +35,7 @@ from cinemetric.llm.shared import stored, work_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKETS = 4096
-#: Tasks that a source's documents are spread over where they meet their source's plan.
+#: Parts of a hash bucket, so that a source's documents of one size are counted in many tasks.
 SALTS = 64
 
 
@@ -114,7 +118,8 @@ def mix(
         *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
     )
     # written once, so that every later read sees the same row keys
-    rows = stored(rows, f"{work_dir(docs.sparkSession, 'mix')}/rows").withColumn("_bucket", F.floor(F.col("_u") / 1024))
+    folder = work_dir(docs.sparkSession, "mix")
+    rows = stored(rows, f"{folder}/rows").withColumn("_bucket", F.floor(F.col("_u") / 1024))
 
     hist = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_mass"))
     sizes = hist.groupBy("source").agg(F.sum("_mass").alias("source_size"))
@@ -144,16 +149,16 @@ def mix(
             (F.col("_part") - F.coalesce("_filled", F.lit(0))).alias("_open"),
         )
     )
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    plan = plan.withColumn("_psalt", salts)
+    plan = stored(plan, f"{folder}/plan")  # one row per source
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_key", F.lit(seed + 1)), F.lit(SALTS)))
-    placed = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_salt") == F.col("_psalt")))
+    placed = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
     # what can still be taken: all that fit, and what is nearer than leaving the gap open
     rest = (
         placed.filter((F.col("_bucket") > F.col("_last")) & (F.col("size") > 0) & (F.col("size") < 2 * F.col("_open")))
         .select("source", "size", "_open", "_key", "_salt", "_v", F.pmod("_v", F.lit(BUCKETS)).alias("_a"), F.pmod(F.xxhash64("_v"), F.lit(SALTS)).alias("_b"))
     )
     parts = rest.groupBy("source", "size", "_a", "_b").agg(F.count(F.lit(1)).alias("n"), F.first("_open").alias("_open"))
+    parts = stored(parts, f"{folder}/parts")
     counts = parts.groupBy("source", "size").agg(F.sum("n").alias("n"), F.first("_open").alias("_open"))
     one = "struct<size:bigint,n:bigint>"
     fill = F.aggregate(
@@ -199,6 +204,7 @@ def mix(
         .filter(F.col("_at") <= F.col("_q"))
         .select("_key", F.lit(1).alias("_one"))
     )
+    chosen = stored(chosen, f"{folder}/chosen")
     out = placed.join(chosen, "_key", "left")
     copies = F.col("_whole") + F.when((F.col("_bucket") <= F.col("_last")) | F.col("_one").isNotNull(), 1).otherwise(0)
     return out.withColumn("copies", copies.cast("long")).select(

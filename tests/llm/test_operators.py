@@ -248,6 +248,12 @@ def test_mixing_meets_targets(spark, docs, texts):
     assert mixing.mix(docs.filter("1 = 0")).count() == 0
 
 
+def test_mixing_plan_is_short_and_leaves_texts_in_place(spark, docs):
+    # what several steps read is written once, not repeated in the plan (79 exchanges before)
+    plan = mixing.repeated(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 2 and "Exchange hashpartitioning" not in plan, plan
+
+
 def test_mixing_fills_past_what_does_not_fit(spark):
     rows = [(i, "w " * (3 + i % 40), "a") for i in range(300)] + [(900 + i, "w " * 4000, "a") for i in range(2)]
     rows += [(None, f"n{i} " * 20, "b") for i in range(200)] + [(7, "same " * 30, "c")] * 200  # no ids, one row often
